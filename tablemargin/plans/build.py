@@ -31,6 +31,9 @@ class Warehouse:
     salt: str
     rate: Decimal = COMMISSION_RATE
     tz: str = "UTC"
+    # Directories of the line and sales tables.  A directory per merchant and day would be too
+    # many and too small; `target_month` is added to the rows when it is named here.
+    order_partitions: tuple[str, ...] = ("merchant_id", "target_month")
 
     def path(self, model: str) -> str:
         return f"{self.root}/{model}"
@@ -45,6 +48,12 @@ class Warehouse:
         write_table(df, path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def laid_out(self, df: DataFrame, day: str) -> DataFrame:
+        """Rows with the partition columns they lack."""
+        if "target_month" in self.order_partitions:
+            return df.withColumn("target_month", F.trunc(day, "month"))
+        return df
+
 
 def build(
     wh: Warehouse, orders: DataFrame | None = None, enqueue: DataFrame | None = None,
@@ -76,7 +85,8 @@ def build(
         changed = wh.stage(
             conform_lines(latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), wh.salt, wh.tz), "lines")
         checked(quality.check_silver_orders(changed))
-        _save(wh, "silver_orders", changed, ORDER_KEY, ["merchant_id", "target_date"], full_refresh)
+        _save(wh, "silver_orders", wh.laid_out(changed, "target_date"), ORDER_KEY,
+              list(wh.order_partitions), full_refresh)
     if "silver_reports" in chosen and enqueue is not None:
         reports = wh.stage(silver_reports(enqueue, result, wh.tz), "reports")
         checked(quality.check_silver_reports(reports))
@@ -95,10 +105,10 @@ def build(
         _save(wh, "dim_menu_catalog", dim, ["merchant_id"], ["merchant_id"], full_refresh)
     if "fact_financial_sales" in chosen:
         lines = changed if changed is not None and not full_refresh else silver
-        fact = wh.stage(fact_financial_sales(lines, cogs, wh.rate).withColumn(
-            "target_date", F.col("created_at").cast("date")), "fact")
+        fact = wh.stage(wh.laid_out(
+            fact_financial_sales(lines, cogs, wh.rate), "created_at"), "fact")
         checked(quality.check_fact(fact))
-        _save(wh, "fact_financial_sales", fact, ORDER_KEY, ["merchant_id", "target_date"], full_refresh)
+        _save(wh, "fact_financial_sales", fact, ORDER_KEY, list(wh.order_partitions), full_refresh)
     return _union(results)
 
 

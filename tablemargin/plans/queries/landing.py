@@ -11,7 +11,7 @@ from tablemargin.functions.naming import parse_bronze_filename as parse_name
 from tablemargin.operators.flatten import flatten_items, flatten_orders, silver_orders
 from tablemargin.operators.reports import silver_reports
 from tablemargin.plans.registry import query
-from tablemargin.plans.shared_tables import FIRST_RUN, SALT, SECOND_RUN
+from tablemargin.plans.shared_tables import FIRST_RUN, SALT, SECOND_RUN, landing_date
 from tablemargin.session import scratch_path
 from tablemargin.sources import bronze as bronze_source
 from tablemargin.sources.bronze import incomplete_pages, read_bronze, validate_landing, write_bronze, write_report_pair
@@ -73,7 +73,7 @@ def parse_bronze_filename(t):
     return t.headers().select("order_id", parse_name(name).alias("n")).select("order_id", "n.*")
 
 
-@query("""SELECT merchant_id AS path_merchant_id, CAST(date_trunc('year', created_at) AS DATE) AS path_date,
+@query("""SELECT merchant_id AS path_merchant_id, make_date(CAST(extract(year FROM created_at) - extract(year FROM created_at) % 4 AS INTEGER), 1, 1) AS path_date,
                  order_id, total_amount, line_item_no, line_item_sku, line_item_qty,
                  CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '{0}' ELSE TIMESTAMP '{1}' END AS run_timestamp_utc
           FROM docline""".format(SECOND_RUN, FIRST_RUN), ("docline",))
@@ -104,7 +104,7 @@ def report_pair_round_trip(t):
     money = lambda c: F.struct(F.col(c).alias("amount"), F.col("currency"))
     start = F.col("day").cast("timestamp_ntz")
     jobs = t.report_jobs().where(F.col("d") % 10 != 1).select(
-        "merchant_id", F.trunc("day", "year").alias("target_date"),
+        "merchant_id", landing_date(F.col("day")).alias("target_date"),
         F.lit(str(FIRST_RUN)).cast("timestamp_ntz").alias("run_timestamp_utc"),
         F.to_json(F.struct(F.col("job_id").alias("jobId"))).alias("request_payload"),
         F.to_json(F.struct(
