@@ -1,5 +1,6 @@
 """tablemargin: restaurant-finance analytics as plain Spark DataFrame operators.
 
-Every operator takes DataFrames (or Columns) and returns DataFrames (or Columns); nothing
-runs until the caller writes or collects.  Only the functions that mutate tables start jobs.
+Operators take DataFrames (or Columns) and return DataFrames (or Columns).  They are lazy, except
+those that change tables and those with a `staged` argument, which write an intermediate result
+that is read several times to the shared scratch folder.
 """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tablemargin.sources.tables import stage
+
 # A group with more rows than this is split over several tasks.
 HOT_ROWS = 1_000_000
 # Hex digits of the hash that splits a hot group: 16 ** 3 parts.
@@ -12,7 +14,7 @@ PART_DIGITS = 3
 
 def allocate(
     df: DataFrame, amounts: dict[str, str], weight: str, group: list[str], order: list[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, staged: bool = True,
 ) -> DataFrame:
     """Split group amounts over the group's rows in proportion to `weight`.
 
@@ -26,7 +28,11 @@ def allocate(
     taken one after the other: the running sum inside a part is a window over that part only, and
     the sum of the parts before it comes from a small table with one row per part.  No task ever
     holds a whole hot group, and the explicit repartition keeps its parts apart.
+
+    The rows are read three times, so they are staged first; `staged=False` suits a plain table.
     """
+    if staged:
+        df = stage(df, "allocate")
     zero = F.lit(0).cast("bigint")
     base = F.greatest(F.coalesce(F.col(weight).cast("bigint"), zero), zero)
     totals = df.groupBy(*group).agg(F.sum(base).alias("_sum"), F.count(F.lit(1)).alias("_rows"))

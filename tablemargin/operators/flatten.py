@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tablemargin.functions.pii import salted_hash
 from tablemargin.functions.times import local_date, utc_ntz
 from tablemargin.operators.incremental import latest_run_wins
+from tablemargin.sources.tables import stage
 
 ORDER_KEY = ["merchant_id", "order_id", "source_marketplace"]
 
@@ -81,10 +82,16 @@ def conform_lines(orders: DataFrame, salt: str, tz: str | Column = "UTC") -> Dat
     )
 
 
-def silver_orders(bronze: DataFrame, salt: str, tz: str | Column = "UTC") -> DataFrame:
-    """Line table from order documents; where an order landed in several runs the latest counts."""
+def silver_orders(bronze: DataFrame, salt: str, tz: str | Column = "UTC", staged: bool = True) -> DataFrame:
+    """Line table from order documents; where an order landed in several runs the latest counts.
+
+    Picking the latest run reads the orders twice, so the parsed ones are staged as Parquet first
+    and the JSON is parsed once; `staged=False` keeps the whole plan lazy.
+    """
     orders = flatten_orders(bronze)
     if "run_timestamp_utc" in orders.columns:
+        if staged:
+            orders = stage(orders, "flat-orders")
         orders = latest_run_wins(orders, ORDER_KEY, "run_timestamp_utc")
     return conform_lines(orders, salt, tz)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Fixed value: the mark used before anything was loaded.
 EPOCH = "1900-01-01 00:00:00"
@@ -34,14 +34,13 @@ def latest_run_wins(df: DataFrame, keys: list[str], run_column: str) -> DataFram
     """Rows of each key's latest run, all of them when that run holds several.
 
     The latest run per key is a partially aggregated max that is joined back, instead of a window:
-    a key with very many rows is combined before the shuffle and its join can be split.
+    a key with very many rows is combined before the shuffle and its join can be split.  The join
+    is on the grouping keys alone, so both sides share one partitioning.  `df` is read twice; if
+    it is costly to compute, stage it first.  A row with a NULL key is compared with nothing and kept.
     """
     latest = df.groupBy(*keys).agg(F.max(run_column).alias("_latest"))
-    renamed = latest.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "_latest")
-    same: Column = F.col(run_column).eqNullSafe(F.col("_latest"))
-    for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
-    return df.join(renamed, same, "left_semi")
+    is_latest = F.col("_latest").isNull() | (F.col(run_column) >= F.col("_latest"))
+    return df.join(latest, keys, "left").where(is_latest).select(*df.columns)
 
 
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tablemargin.session import scratch_path
-from tablemargin.sources.tables import _hadoop_path, exists, replace_table, write_table
+from tablemargin.sources.tables import _hadoop_path, exists, replace_table, stage, write_table
 
 # Up to this many distinct values a partition column is pruned by a literal list; beyond it the
 # semi join alone selects the affected rows.
@@ -102,9 +101,7 @@ def merge_replace(
         write_table(source, path, partitions)
         return
     schema = target_schema(spark, path, source, evolve)
-    stage_in, stage_out = scratch_path(spark, "merge-in"), scratch_path(spark, "merge-out")
-    write_table(source, stage_in)
-    incoming = spark.read.schema(source.schema).parquet(stage_in)
+    incoming = stage(source, "merge-in")
     target = spark.read.schema(schema).parquet(path)
 
     if not partitions:
@@ -120,14 +117,11 @@ def merge_replace(
     affected = incoming.select(*partitions)
     if keys_move:
         affected = affected.unionByName(matched.select(*partitions))
-    stage_parts = scratch_path(spark, "merge-parts")
-    write_table(affected.distinct(), stage_parts)
-    affected = spark.read.schema(affected.schema).parquet(stage_parts)
+    affected = stage(affected.distinct(), "merge-parts")
 
     touched = with_keys(prune(target, affected, partitions), affected, partitions)
     merged = replace_by_key(touched, incoming, keys, evolve)
-    write_table(merged, stage_out, partitions)
-    staged = spark.read.schema(merged.schema).parquet(stage_out)
+    staged = stage(merged, "merge-out", partitions)
     # The staged files already hold one partition each, so this write needs no shuffle.
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*partitions).parquet(path))

@@ -13,6 +13,11 @@ from tablemargin.operators.allocate import HOT_ROWS, allocate
 DAY_KEY = ["merchant_id", "report_date"]
 
 
+def _code(currency: str) -> Column:
+    """Currency as a number, NULL for NULL: min and max of strings would rule out hash aggregation."""
+    return F.when(F.col(currency).isNotNull(), F.xxhash64(currency))
+
+
 def settlement_reconciliation(
     headers: DataFrame, reports: DataFrame, rate: Decimal | str = COMMISSION_RATE, tz: str | Column = "UTC"
 ) -> DataFrame:
@@ -28,14 +33,14 @@ def settlement_reconciliation(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("total_amount").alias("order_gross"),
         F.sum(commission("total_amount", rate)).alias("order_commission"),
-        F.min("total_currency").alias("_low"), F.max("total_currency").alias("_high"))
+        F.min(_code("total_currency")).alias("_low"), F.max(_code("total_currency")).alias("_high"))
     paid = reports.groupBy(*DAY_KEY).agg(
         F.count(F.lit(1)).alias("report_count"),
         F.count_if(F.col("result_status") == "READY").alias("_ready"),
         F.sum("gross_sales_amount").alias("reported_gross"),
         F.sum("net_payout_amount").alias("net_payout_amount"),
-        F.min(F.least("gross_sales_currency", "net_payout_currency")).alias("_rlow"),
-        F.max(F.greatest("gross_sales_currency", "net_payout_currency")).alias("_rhigh"))
+        F.min(F.least(_code("gross_sales_currency"), _code("net_payout_currency"))).alias("_rlow"),
+        F.max(F.greatest(_code("gross_sales_currency"), _code("net_payout_currency"))).alias("_rhigh"))
     both = sold.join(paid, DAY_KEY, "full_outer").withColumn(
         "expected_net", F.col("order_gross") - F.col("order_commission"))
     both = both.withColumn("settlement_variance_amount", F.col("expected_net") - F.col("net_payout_amount"))

@@ -15,8 +15,7 @@ from tablemargin.operators.merge import merge_replace
 from tablemargin.operators.reports import silver_reports
 from tablemargin.operators.star import dim_menu_catalog, fact_financial_sales
 from tablemargin.schemas import SILVER_ORDERS
-from tablemargin.session import scratch_path
-from tablemargin.sources.tables import exists, replace_table, write_table
+from tablemargin.sources.tables import exists, replace_table, stage
 
 # Build order; a model only reads those before it.
 MODELS = ("silver_orders", "silver_reports", "dim_menu_catalog", "fact_financial_sales")
@@ -42,12 +41,6 @@ class Warehouse:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(model))
 
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        """Write once, read often: cuts the lineage to a table every executor can see."""
-        path = scratch_path(self.spark, name)
-        write_table(df, path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
     def laid_out(self, df: DataFrame, day: str) -> DataFrame:
         """Rows with the partition columns they lack."""
         if "target_month" in self.order_partitions:
@@ -73,7 +66,7 @@ def build(
     results: list[DataFrame] = []
 
     def checked(found: DataFrame) -> None:
-        found = wh.stage(found, "checks")
+        found = stage(found, "checks")
         quality.enforce(found)
         results.append(found)
 
@@ -81,14 +74,14 @@ def build(
     if "silver_orders" in chosen:
         # Parsing nested JSON is the expensive part, so it happens once.
         fresh = _new_orders(wh, orders, full_refresh)
-        flat = wh.stage(fresh, "orders")
-        changed = wh.stage(
+        flat = stage(fresh, "orders")
+        changed = stage(
             conform_lines(latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), wh.salt, wh.tz), "lines")
         checked(quality.check_silver_orders(changed))
         _save(wh, "silver_orders", wh.laid_out(changed, "target_date"), ORDER_KEY,
               list(wh.order_partitions), full_refresh)
     if "silver_reports" in chosen and enqueue is not None:
-        reports = wh.stage(silver_reports(enqueue, result, wh.tz), "reports")
+        reports = stage(silver_reports(enqueue, result, wh.tz), "reports")
         checked(quality.check_silver_reports(reports))
         _save(wh, "silver_reports", reports, ["job_id"], ["merchant_id"], full_refresh)
     if not chosen & {"dim_menu_catalog", "fact_financial_sales"}:
@@ -100,12 +93,12 @@ def build(
         if changed is not None and not full_refresh:
             # Only merchants with new lines can have new names or seen times.
             source = silver.join(changed.select("merchant_id").distinct(), "merchant_id", "left_semi")
-        dim = wh.stage(dim_menu_catalog(source), "dim")
+        dim = stage(dim_menu_catalog(source), "dim")
         checked(quality.check_dim(dim))
         _save(wh, "dim_menu_catalog", dim, ["merchant_id"], ["merchant_id"], full_refresh)
     if "fact_financial_sales" in chosen:
         lines = changed if changed is not None and not full_refresh else silver
-        fact = wh.stage(wh.laid_out(
+        fact = stage(wh.laid_out(
             fact_financial_sales(lines, cogs, wh.rate), "created_at"), "fact")
         checked(quality.check_fact(fact))
         _save(wh, "fact_financial_sales", fact, ORDER_KEY, list(wh.order_partitions), full_refresh)

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tablemargin.functions.money import commission
 from tablemargin.functions.naming import RUN_TIME_FORMAT
 from tablemargin.operators.flatten import with_salted_customer
-from tablemargin.schemas import BRONZE_ORDERS, RUN_EVENTS  # noqa: F401
+from tablemargin.schemas import BRONZE_ORDERS
+from tablemargin.sources.tables import input_bytes
 
 MERCHANTS = 20
 SALT = "pepper-for-tests"
@@ -21,6 +22,8 @@ FIRST_RUN = dt.datetime(2002, 1, 1, 2, 0, 0)
 SECOND_RUN = dt.datetime(2002, 1, 2, 2, 0, 0)
 # Lines per order document; an order with more lands as several documents of one run.
 PAGE_LINES = 500
+# Input sizes between which a table is worth spreading by hand.
+SPREAD_ABOVE, SPREAD_BELOW = 1 << 20, 128 << 20
 ZONES = ("UTC", "America/New_York", "America/Bogota", "Asia/Tokyo")
 
 
@@ -56,7 +59,18 @@ class SharedTables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """The table, spread over all cores by its key where it is one small file.
+
+        Such a file holds a single row group, which one task would read and process alone.  Large
+        inputs bring their own splits and are never shuffled here.
+        """
+        path = f"{self.sf_dir}/{name}.parquet"
+        df = self.spark.read.parquet(path)
+        cores = self.spark.sparkContext.defaultParallelism
+        size = input_bytes(self.spark, path)
+        if SPREAD_ABOVE < size < SPREAD_BELOW and cores > 1:
+            return df.repartition(cores, df.columns[0])
+        return df
 
     def headers(self) -> DataFrame:
         """One row per order, in conformed columns plus the source keys."""

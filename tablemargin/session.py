@@ -19,12 +19,14 @@ RUNTIME_CONF = {
 }
 
 
-def build_session(app_name: str = "tablemargin", master: str | None = None, **conf) -> SparkSession:
-    """Build a session with our defaults; `conf` keys use `_` for `.`-free names or full names."""
+def build_session(
+    app_name: str = "tablemargin", master: str | None = None, conf: dict[str, str] | None = None
+) -> SparkSession:
+    """A session with our defaults; `conf` adds to them or overrides them."""
     builder = SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -54,4 +56,4 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so a retry cannot see old files."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/tablemargin-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

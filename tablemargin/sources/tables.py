@@ -7,6 +7,8 @@ import uuid
 from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tablemargin.session import scratch_path, shared_dir
+
 
 def write_table(
     df: DataFrame, path: str, partitions: list[str] | None = None, mode: str = "overwrite", **options
@@ -34,6 +36,22 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def stage(df: DataFrame, name: str, partitions: list[str] | None = None) -> DataFrame:
+    """Write `df` once to the shared scratch folder and read it back.
+
+    For results that are read several times: the lineage ends at files every executor can see,
+    so neither a second reader nor a lost executor makes them be computed again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path, partitions)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application staged; call it when its results are no longer read."""
+    delete_path(spark, f"{shared_dir(spark)}/tablemargin-{spark.sparkContext.applicationId}")
+
+
 def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """The catalog table, or an empty frame of `schema` while it does not exist yet."""
     if spark.catalog.tableExists(name):
@@ -59,6 +77,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files below `path`, from their metadata."""
+    fs, hpath = _hadoop_path(spark, path)
+    return fs.getContentSummary(hpath).getLength()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, hpath = _hadoop_path(spark, path)
     fs.delete(hpath, True)
