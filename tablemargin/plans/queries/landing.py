@@ -120,7 +120,7 @@ def report_pair_round_trip(t):
         "job_id", "merchant_id", "report_date", "result_status", "gross_sales_amount", "net_payout_amount")
 
 
-@query("SELECT order_id FROM hdr WHERE o_orderkey % 11 = 0 GROUP BY ALL", ("hdr",))
+@query("SELECT order_id FROM dochdr WHERE o_orderkey % 11 = 0", ("dochdr",))
 def incomplete_order_pages(t):
     return incomplete_pages(t.bronze_orders()).select(F.explode("orders").alias("o")).select(
         F.col("o.id").alias("order_id")).distinct()

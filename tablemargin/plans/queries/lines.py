@@ -14,11 +14,9 @@ from tablemargin.plans.shared_tables import FIRST_RUN, SALT, SECOND_RUN, sql_fee
 
 
 @query("""SELECT order_id, source_marketplace, merchant_id, created_at, total_amount + extra AS total_amount,
-                 total_currency, customer_name_hash, customer_phone_hash, coalesce(n, 0) AS item_count
-          FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 100 ELSE 0 END AS extra FROM hdr
-                UNION ALL SELECT *, 0 FROM hdr WHERE o_orderkey % 3 = 0)
-          LEFT JOIN (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS n FROM lineitem GROUP BY 1)
-            ON l_orderkey = o_orderkey""", ("hdr",))
+                 total_currency, customer_name_hash, customer_phone_hash, item_count
+          FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 100 ELSE 0 END AS extra FROM dochdr
+                UNION ALL SELECT *, 0 FROM dochdr WHERE o_orderkey % 3 = 0)""", ("dochdr",))
 def flatten_orders(t):
     orders = flatten.flatten_orders(t.bronze_orders())
     return orders.withColumn("item_count", F.size("items")).drop(

@@ -181,7 +181,7 @@ def incremental_build(t):
 
 @query("""SELECT order_id, merchant_id, source_marketplace, total_amount, CAST(extract(year FROM created_at) AS INTEGER)
             AS order_year, CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2002-01-02 02:00:00'
-            ELSE TIMESTAMP '2002-01-01 02:00:00' END AS run_timestamp_utc FROM hdr""", ("hdr",))
+            ELSE TIMESTAMP '2002-01-01 02:00:00' END AS run_timestamp_utc FROM dochdr""", ("dochdr",))
 def stream_ingest(t):
     """Two rounds of landing and streaming; the later run replaces the earlier."""
     root, path, checkpoint = (scratch_path(t.spark, n) for n in ("stream-landing", "stream-table", "stream-log"))

@@ -165,7 +165,7 @@ def tenant_isolation(t):
 
 @query("""SELECT 'bronze_orders' AS table_name, 'page_complete' AS check_name, 'warn' AS severity,
                  count(*) AS failing_rows
-          FROM (SELECT * FROM hdr UNION ALL SELECT * FROM hdr WHERE o_orderkey % 3 = 0) WHERE o_orderkey % 11 = 0""",
-       ("hdr",))
+          FROM (SELECT * FROM dochdr UNION ALL SELECT * FROM dochdr WHERE o_orderkey % 3 = 0)
+          WHERE o_orderkey % 11 = 0""", ("dochdr",))
 def page_complete(t):
     return quality.run_checks(t.bronze_orders(), "bronze_orders", [quality.page_complete()])

@@ -20,7 +20,7 @@ MERCHANTS = 20
 SALT = "pepper-for-tests"
 FIRST_RUN = dt.datetime(2002, 1, 1, 2, 0, 0)
 SECOND_RUN = dt.datetime(2002, 1, 2, 2, 0, 0)
-# Lines per order document; an order with more lands as several documents of one run.
+# Lines per order document; an order with more lands as several orders, `ord_5`, `ord_5-1`, ...
 PAGE_LINES = 500
 # Input sizes between which a table is worth spreading by hand.
 SPREAD_ABOVE, SPREAD_BELOW = 1 << 20, 128 << 20
@@ -136,27 +136,31 @@ class SharedTables:
     def order_documents(self) -> DataFrame:
         """Landed order documents: landing columns and the JSON payload.
 
-        An order's lines are nested in its document, at most about PAGE_LINES of them: the few
-        orders with more are cut into pages by a hash before they are collected, and the explicit
-        repartition sends the pages of one order to different tasks.  Orders whose key is a
-        multiple of 3 landed twice, first with a total that is 100 too high.
+        An order's lines are nested in its document, at most about PAGE_LINES of them: an order
+        with more is cut into part orders by a hash of the line before they are collected, and
+        the explicit repartition sends the parts of one order to different tasks.  Orders whose
+        key is a multiple of 3 landed twice, first with a total that is 100 too high.
         """
         part = self.table("part").select(
             F.col("p_partkey").alias("l_partkey"), "p_name", cents(F.col("p_retailprice")).alias("price"))
-        raw = self.table("lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_suppkey")
+        raw = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("int").alias("l_quantity"),
+            "l_suppkey", cents(F.col("l_extendedprice")).alias("l_cents"))
         large = raw.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAGE_LINES)
-        pages = F.ceil(F.col("n") / PAGE_LINES)
+        line = F.concat_ws("|", *[_text(F.col(c)) for c in raw.columns[1:]])
+        number = F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
         paged = raw.join(part, "l_partkey").join(large, "l_orderkey", "left").withColumn(
-            "page", F.when(F.col("n").isNull(), 0).otherwise(
-                F.pmod(F.xxhash64("l_partkey", "l_linenumber", "l_quantity", "l_suppkey"), pages)))
+            "page", F.when(F.col("n").isNull(), 0).otherwise(number % F.ceil(F.col("n") / PAGE_LINES)))
         item = F.struct(
             F.concat(F.lit("SKU_"), _text(F.col("l_partkey"))).alias("sku"), F.col("p_name").alias("name"),
-            F.col("l_quantity").cast("int").alias("qty"),
+            F.col("l_quantity").alias("qty"),
             F.struct(F.col("price").alias("amount"), F.lit("USD").alias("currency")).alias("unit_price"))
         sortable = F.struct("l_partkey", "l_linenumber", "l_quantity", item.alias("item"))
         nested = paged.repartition("l_orderkey", "page").groupBy("l_orderkey", "page").agg(
             F.transform(F.sort_array(F.collect_list(sortable)), lambda s: s["item"]).alias("items"))
-        orders = self.headers().join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        orders = self.headers().join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn(
+            "order_id", F.when(F.col("page") > 0, F.concat_ws("-", "order_id", _text(F.col("page"))))
+            .otherwise(F.col("order_id")))
         twice = F.array(F.struct(_ntz(FIRST_RUN).alias("run"), F.lit(100).alias("extra")),
                         F.struct(_ntz(SECOND_RUN).alias("run"), F.lit(0).alias("extra")))
         once = F.array(F.struct(_ntz(FIRST_RUN).alias("run"), F.lit(0).alias("extra")))
@@ -327,13 +331,25 @@ SQL: dict[str, tuple[list[str], str]] = {
                sha256('{SALT}' || customer_name_hash) AS customer_name_hash_salted,
                sha256('{SALT}' || customer_phone_hash) AS customer_phone_hash_salted, store_tz, o_orderkey
         FROM hdr JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"""),
-    "docline": (["hdr"], f"""
-        SELECT hdr.*, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_quantity)
-                      AS INTEGER) AS line_item_no,
+    "paged": ([], f"""
+        SELECT *, CASE WHEN n > {PAGE_LINES} THEN CAST('0x' || substr(md5(concat_ws('|', l_partkey, l_linenumber,
+                    CAST(l_quantity AS INTEGER), l_suppkey, {sql_cents('l_extendedprice')})), 1, 8) AS BIGINT)
+                  % CAST(ceil(n / {PAGE_LINES}.0) AS BIGINT) ELSE 0 END AS page
+        FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)"""),
+    # The orders and the lines of the landed documents.
+    "dochdr": (["hdr", "paged"], """
+        SELECT hdr.* REPLACE (order_id || CASE WHEN page > 0 THEN '-' || page ELSE '' END AS order_id),
+               coalesce(items, 0) AS item_count, page
+        FROM hdr LEFT JOIN (SELECT l_orderkey, page, CAST(count(*) AS INTEGER) AS items FROM paged GROUP BY 1, 2)
+          ON l_orderkey = o_orderkey"""),
+    "docline": (["dochdr", "paged"], f"""
+        SELECT h.*, CAST(row_number() OVER (PARTITION BY l_orderkey, h.page
+                      ORDER BY l_partkey, l_linenumber, l_quantity) AS INTEGER) AS line_item_no,
                'SKU_' || l_partkey AS line_item_sku, p_name AS line_item_name,
                CAST(l_quantity AS INTEGER) AS line_item_qty,
                {sql_cents('p_retailprice')} AS line_item_unit_price, 'USD' AS line_item_unit_currency
-        FROM hdr JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"""),
+        FROM dochdr h JOIN paged l ON l_orderkey = o_orderkey AND l.page = h.page
+        JOIN part ON p_partkey = l_partkey"""),
     "cogs": ([], f"""
         SELECT {sql_merchant('m')} AS merchant_id, 'SKU_' || p_partkey AS line_item_sku,
                {sql_cents('p_retailprice')} // 4 + m AS recipe_cost,
