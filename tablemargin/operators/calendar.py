@@ -42,6 +42,12 @@ def backfill_calendar(stores: DataFrame, days: int, now: Column | dt.datetime) -
 
 
 def backfill_gaps(stores: DataFrame, days: int, now: Column | dt.datetime, landed: DataFrame) -> DataFrame:
-    """Calendar days of each store for which nothing landed (`merchant_id`, `target_date`)."""
-    present = landed.select("merchant_id", "target_date")
+    """Calendar days of each store for which nothing landed (`merchant_id`, `target_date`).
+
+    Landed rows are limited to the calendar's days and made distinct before the join, so a
+    merchant-day with very many rows reaches it as one.
+    """
+    today = (now if isinstance(now, Column) else F.lit(now)).cast("date")
+    present = landed.select("merchant_id", "target_date").where(
+        F.col("target_date").between(F.date_sub(today, days), F.date_sub(today, 1))).distinct()
     return backfill_calendar(stores, days, now).join(present, ["merchant_id", "target_date"], "left_anti")

@@ -12,7 +12,8 @@ PRUNE_VALUES = 10_000
 
 
 def _keys_equal(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, list[Column]]:
-    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    # Distinct first: the join can split a hot key on its left side only.
+    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
     return renamed, [left[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]
 
 
@@ -126,7 +127,7 @@ def merge_replace(
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*partitions).parquet(path))
 
-    emptied = without_keys(affected, staged.select(*partitions).distinct(), partitions)
+    emptied = without_keys(affected, staged, partitions)
     drop_partitions(spark, path, schema, emptied, partitions)
 
 

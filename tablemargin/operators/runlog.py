@@ -125,14 +125,17 @@ def freshness(
     before the hour.  LATE: it succeeded after.  PENDING: the hour has not come.  MISSED: it has.
     """
     at = now if isinstance(now, Column) else F.lit(now).cast("timestamp_ntz")
-    done = runs.where((F.col("status") == "SUCCESS") & (F.col("finished_at") <= at)).join(
-        stores.select("merchant_id", "store_tz"), "merchant_id")
-    local_done = local_time("finished_at", F.col("store_tz"))
+    zones = stores.select("merchant_id", "store_tz")
+    done = runs.where((F.col("status") == "SUCCESS") & (F.col("finished_at") <= at))
+    last = done.groupBy("merchant_id").agg(F.max("finished_at").alias("last_success_at"))
+    # No local day is longer than 25 hours: only these runs can be of the current one.
+    recent = done.where(F.col("finished_at") >= F.timestamp_add("HOUR", F.lit(-26), at))
     today = local_time(at, F.col("store_tz")).cast("date")
-    first_today = done.groupBy("merchant_id").agg(
-        F.max("finished_at").alias("last_success_at"),
-        F.min(F.when(local_done.cast("date") == today, local_done)).alias("_first"))
-    joined = stores.select("merchant_id", "store_tz").join(first_today, "merchant_id", "left")
+    first = recent.select("merchant_id", "finished_at").join(zones, "merchant_id").select(
+        "merchant_id", local_time("finished_at", F.col("store_tz")).alias("local_done"), today.alias("today")).where(
+        F.col("local_done").cast("date") == F.col("today")).groupBy("merchant_id").agg(
+        F.min("local_done").alias("_first"))
+    joined = zones.join(last, "merchant_id", "left").join(first, "merchant_id", "left")
     deadline = F.timestamp_add("HOUR", F.lit(by_hour), today.cast("timestamp_ntz"))
     state = (F.when(F.col("_first") <= deadline, "FRESH").when(F.col("_first").isNotNull(), "LATE")
              .when(local_time(at, F.col("store_tz")) <= deadline, "PENDING").otherwise("MISSED"))

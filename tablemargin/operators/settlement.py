@@ -19,17 +19,19 @@ def _code(currency: str) -> Column:
 
 
 def settlement_reconciliation(
-    headers: DataFrame, reports: DataFrame, rate: Decimal | str = COMMISSION_RATE, tz: str | Column = "UTC"
+    headers: DataFrame, reports: DataFrame, rate: Decimal | str = COMMISSION_RATE,
+    tz: str | Column = "UTC", day: str | None = None,
 ) -> DataFrame:
     """Daily order totals per merchant against the daily payout reports.
 
     `headers` holds one row per order, `reports` one per job; both are summed per merchant and
     store-local day before the full outer join, so the join sees one row per merchant-day a side.
+    The day of an order is its `day` column, or that of `created_at` in zone `tz`.
     expected_net = gross - commission; a positive variance is money not paid out.  The reason is
     the first that applies: MISSING_REPORT, MISSING_ORDERS, CURRENCY_MISMATCH, REPORT_NOT_READY,
     GROSS_MISMATCH, PAYOUT_SHORT, PAYOUT_OVER, or empty.
     """
-    sold = headers.withColumn("report_date", local_date("created_at", tz)).groupBy(*DAY_KEY).agg(
+    sold = headers.withColumn("report_date", _day_of(day, tz)).groupBy(*DAY_KEY).agg(
         F.count(F.lit(1)).alias("order_count"),
         F.sum("total_amount").alias("order_gross"),
         F.sum(commission("total_amount", rate)).alias("order_commission"),
@@ -61,8 +63,13 @@ def settlement_reconciliation(
         "reported_gross", "net_payout_amount", "settlement_variance_amount", reason.alias("variance_reason"))
 
 
+def _day_of(day: str | None, tz: str | Column) -> Column:
+    return F.col(day) if day else local_date("created_at", tz)
+
+
 def fact_with_settlement(
-    fact: DataFrame, reconciliation: DataFrame, tz: str | Column = "UTC", hot_rows: int = HOT_ROWS
+    fact: DataFrame, reconciliation: DataFrame, tz: str | Column = "UTC", day: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The fact with its part of each day's payout and variance.
 
@@ -72,7 +79,7 @@ def fact_with_settlement(
     days = reconciliation.select(
         *DAY_KEY, F.col("net_payout_amount").alias("_net"),
         F.col("settlement_variance_amount").alias("_variance"), "variance_reason")
-    dated = fact.withColumn("report_date", local_date("created_at", tz)).join(days, DAY_KEY, "left")
+    dated = fact.withColumn("report_date", _day_of(day, tz)).join(days, DAY_KEY, "left")
     order = ["order_id", "source_marketplace"] + [
         c for c in ("line_item_no", "line_item_sku", "true_net_payout_margin") if c in fact.columns]
     split = allocate(

@@ -48,30 +48,24 @@ def join_cogs(lines: DataFrame, cogs: DataFrame) -> DataFrame:
     })
 
 
-def _fact(lines: DataFrame, gross: str, rate: Decimal | str, line_no: bool) -> DataFrame:
-    fee = commission(gross, rate)
-    keys = ["merchant_id", "order_id", "source_marketplace"]
-    keys += ["line_item_no"] if line_no and "line_item_no" in lines.columns else []
-    return lines.withColumn("_fee", fee).select(
-        *keys, "line_item_sku", "created_at",
-        F.col(gross).alias("gross_order_value"),
-        F.col("_fee").alias("estimated_marketplace_commission"),
-        F.col("recipe_cost").alias("calculated_recipe_cogs"),
-        F.col("packaging_cost"),
-        (F.col(gross) - F.col("_fee") - F.col("recipe_cost") - F.col("packaging_cost"))
-        .alias("true_net_payout_margin"))
-
-
 def fact_financial_sales(
-    silver: DataFrame, cogs: DataFrame, rate: Decimal | str = COMMISSION_RATE, line_no: bool = True
+    silver: DataFrame, cogs: DataFrame, rate: Decimal | str = COMMISSION_RATE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
     """One row per order line with commission, costs and margin.
 
     Gross is the order total on every line, and commission and costs are charged per line, so a
     sum over an order with several lines counts its total several times; see
-    `allocated_fact` for figures that add up.
+    `allocated_fact` for figures that add up.  `keep` names further line columns to carry along.
     """
-    return _fact(join_cogs(silver, cogs), "total_amount", rate, line_no)
+    gross, fee = F.col("total_amount"), F.col("_fee")
+    recipe, packaging = F.col("recipe_cost"), F.col("packaging_cost")
+    return join_cogs(silver, cogs).withColumn("_fee", commission("total_amount", rate)).select(
+        "merchant_id", "order_id", "source_marketplace", "line_item_no", "line_item_sku", "created_at", *keep,
+        gross.alias("gross_order_value"),
+        fee.alias("estimated_marketplace_commission"),
+        recipe.alias("calculated_recipe_cogs"),
+        packaging.alias("packaging_cost"),
+        (gross - fee - recipe - packaging).alias("true_net_payout_margin"))
 
 
 def allocated_fact(

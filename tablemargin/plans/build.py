@@ -5,16 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tablemargin.functions.money import COMMISSION_RATE
 from tablemargin.operators import quality
-from tablemargin.operators.flatten import ORDER_KEY, conform_lines, flatten_orders
+from tablemargin.operators.flatten import ORDER_KEY, conform_lines, flatten_orders, order_headers
 from tablemargin.operators.incremental import incremental_filter, latest_run_wins
 from tablemargin.operators.merge import merge_replace
 from tablemargin.operators.reports import silver_reports
+from tablemargin.operators.settlement import fact_with_settlement, settlement_reconciliation
 from tablemargin.operators.star import dim_menu_catalog, fact_financial_sales
-from tablemargin.schemas import SILVER_ORDERS
+from tablemargin.schemas import SILVER_ORDERS, SILVER_REPORTS
 from tablemargin.sources.tables import exists, replace_table, stage
 
 # Build order; a model only reads those before it.
@@ -41,6 +42,13 @@ class Warehouse:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(model))
 
+    def served_fact(self) -> DataFrame:
+        """The sales fact with its part of each day's payout and variance, as the figures need it."""
+        headers = order_headers(self.read("silver_orders", SILVER_ORDERS))
+        recon = settlement_reconciliation(
+            headers, self.read("silver_reports", SILVER_REPORTS), self.rate, day="target_date")
+        return fact_with_settlement(self.read("fact_financial_sales"), recon, day="target_date")
+
     def laid_out(self, df: DataFrame, day: str) -> DataFrame:
         """Rows with the partition columns they lack."""
         if "target_month" in self.order_partitions:
@@ -50,14 +58,15 @@ class Warehouse:
 
 def build(
     wh: Warehouse, orders: DataFrame | None = None, enqueue: DataFrame | None = None,
-    result: DataFrame | None = None, cogs: DataFrame | None = None,
+    result: DataFrame | None = None, cogs: DataFrame | None = None, stores: DataFrame | None = None,
     select: list[str] | None = None, full_refresh: bool = False,
 ) -> DataFrame:
     """Build the selected models in order and return the results of all checks run.
 
     Each model is staged and checked; a failed error check raises before its table changes.
     Without `full_refresh` only landing rows newer than a merchant's last run are processed and
-    merged by key; with it the tables are rebuilt beside the old ones and swapped.
+    merged by key; with it the tables are rebuilt beside the old ones and swapped.  `stores`
+    (merchant_id, store_tz) gives each merchant its own calendar day, otherwise `wh.tz` applies.
     """
     chosen = set(select or MODELS)
     unknown = chosen - set(MODELS)
@@ -73,15 +82,15 @@ def build(
     changed = None
     if "silver_orders" in chosen:
         # Parsing nested JSON is the expensive part, so it happens once.
-        fresh = _new_orders(wh, orders, full_refresh)
-        flat = stage(fresh, "orders")
-        changed = stage(
-            conform_lines(latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), wh.salt, wh.tz), "lines")
+        flat = stage(_new_orders(wh, orders, full_refresh), "orders")
+        latest, tz = _zoned(wh, latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), stores, "merchant_id")
+        changed = stage(conform_lines(latest, wh.salt, tz), "lines")
         checked(quality.check_silver_orders(changed))
         _save(wh, "silver_orders", wh.laid_out(changed, "target_date"), ORDER_KEY,
               list(wh.order_partitions), full_refresh)
     if "silver_reports" in chosen and enqueue is not None:
-        reports = stage(silver_reports(enqueue, result, wh.tz), "reports")
+        enqueue, tz = _zoned(wh, enqueue, stores, "path_merchant_id")
+        reports = stage(silver_reports(enqueue, result, tz), "reports")
         checked(quality.check_silver_reports(reports))
         _save(wh, "silver_reports", reports, ["job_id"], ["merchant_id"], full_refresh)
     if not chosen & {"dim_menu_catalog", "fact_financial_sales"}:
@@ -99,7 +108,7 @@ def build(
     if "fact_financial_sales" in chosen:
         lines = changed if changed is not None and not full_refresh else silver
         fact = stage(wh.laid_out(
-            fact_financial_sales(lines, cogs, wh.rate), "created_at"), "fact")
+            fact_financial_sales(lines, cogs, wh.rate, keep=("target_date",)), "target_date"), "fact")
         checked(quality.check_fact(fact))
         _save(wh, "fact_financial_sales", fact, ORDER_KEY, list(wh.order_partitions), full_refresh)
     return _union(results)
@@ -113,6 +122,16 @@ def _new_orders(wh: Warehouse, orders: DataFrame, full_refresh: bool) -> DataFra
     return incremental_filter(flat, held, "run_timestamp_utc", per=["merchant_id"])
 
 
+def _zoned(
+    wh: Warehouse, df: DataFrame, stores: DataFrame | None, merchant: str
+) -> tuple[DataFrame, str | Column]:
+    """`df` with its merchants' time zones, and the zone to use."""
+    if stores is None:
+        return df, wh.tz
+    zones = stores.select(F.col("merchant_id").alias(merchant), "store_tz")
+    return df.join(zones, merchant, "left"), F.coalesce("store_tz", F.lit(wh.tz))
+
+
 def _save(
     wh: Warehouse, model: str, rows: DataFrame, keys: list[str], partitions: list[str], full_refresh: bool
 ) -> None:

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tablemargin.functions.naming import ENDPOINTS, MERCHANT_ID_PATTERN, RUN_TIME_FORMAT, parse_bronze_filename
 from tablemargin.schemas import ENDPOINT_SCHEMAS
 
-PARTITIONS = ["endpoint", "merchant_id", "year", "month", "day", "run_ts"]
+# One directory per merchant, day and run fences the tenants; with very many small merchants,
+# `DAILY` keeps the number of directories independent of theirs.
+FENCED = ["endpoint", "merchant_id", "year", "month", "day", "run_ts"]
+DAILY = ["endpoint", "year", "month", "day"]
 CORRUPT = "_corrupt_record"
 
 
@@ -35,13 +38,14 @@ def validate_landing(df: DataFrame, today: dt.date | Column) -> tuple[DataFrame,
     return accepted, checked.where(F.col("reject_reason").isNotNull())
 
 
-def write_bronze(payloads: DataFrame, root: str) -> None:
+def write_bronze(payloads: DataFrame, root: str, partitions: list[str] = FENCED) -> None:
     """Append payload rows unchanged below `root`.
 
     Columns: merchant_id, endpoint, target_date, run_timestamp_utc, payload.  The payload is kept
-    as one string, the rest becomes the directory path; a later run of the same day adds a
-    directory and never replaces one.  The rebalance brings small directories together and splits
-    the ones that are too large for one task.
+    as one string; what is not in `partitions` becomes a column, and `read_bronze` reads either.
+    A later run of the same day adds files and never replaces any.  The rebalance brings small
+    directories together and splits the ones that are too large for one task; rows are sorted by
+    merchant within a file, so that one tenant's can be skipped to.
     """
     day = F.col("target_date")
     laid_out = payloads.select(
@@ -50,8 +54,9 @@ def write_bronze(payloads: DataFrame, root: str) -> None:
         F.date_format("run_timestamp_utc", RUN_TIME_FORMAT).alias("run_ts"),
         "payload",
     )
-    (laid_out.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-        .write.mode("append").partitionBy(*PARTITIONS).option("compression", "snappy").parquet(root))
+    spread = laid_out.hint("rebalance", *[F.col(c) for c in partitions])
+    (spread.sortWithinPartitions(*partitions, *[c for c in ("merchant_id", "run_ts") if c not in partitions])
+        .write.mode("append").partitionBy(*partitions).option("compression", "snappy").parquet(root))
 
 
 def write_report_pair(jobs: DataFrame, root: str) -> None:

@@ -15,7 +15,7 @@ from tablemargin.streaming.ingest import stream_bronze, stream_bronze_files, str
 DAY = dt.timedelta(days=1)
 
 
-@pytest.fixture()
+@pytest.fixture(scope="module")
 def cogs(spark):
     return spark.createDataFrame([("store_001", "X", 10, 1), ("store_002", "Y", 20, 2)], COGS_SEED)
 
@@ -45,9 +45,10 @@ def tables(wh):
             *keep, "line_item_no", "gross_order_value", "true_net_payout_margin").collect()))
 
 
-@pytest.fixture()
-def built_in_rounds(spark, cogs, tmp_path):
-    wh = Warehouse(spark, str(tmp_path / "rounds"), "salt")
+@pytest.fixture(scope="module")
+def built_in_rounds(spark, cogs, tmp_path_factory):
+    """Built once: none of the tests below may change its tables."""
+    wh = Warehouse(spark, str(tmp_path_factory.mktemp("rounds")), "salt")
     landed = []
     for rows in rounds():
         landed += rows
@@ -128,6 +129,38 @@ def test_reports_model(spark, tmp_path):
     assert wh.read("silver_reports").count() == 1
 
 
+def test_stores_have_their_own_day(spark, cogs, tmp_path):
+    """A Tokyo store's order and report of the same local day meet, though their UTC dates differ."""
+    import json
+
+    wh = Warehouse(spark, str(tmp_path / "w"), "salt")
+    stores = spark.createDataFrame([("store_001", "Asia/Tokyo")], "merchant_id string, store_tz string")
+    order = samples.order("a", [("X", 1, 60), ("Y", 1, 40)], at="2026-06-09T20:00:00Z", total=100)
+    result = json.loads(json.dumps(samples.RESULT))
+    result["result"].update(period_start="2026-06-09T15:00:00Z", totals={
+        "gross_sales": {"amount": 100, "currency": "USD"}, "net_payout": {"amount": 80, "currency": "USD"}})
+    root = tmp_path / "files"
+    samples.write_file(root, "reports_enqueue", samples.ENQUEUE)
+    samples.write_file(root, "reports_result", result)
+    build(wh, orders=samples.bronze(spark, [samples.landing_row([order])]), cogs=cogs, stores=stores,
+          enqueue=read_bronze(spark, str(root), "reports_enqueue", "files"),
+          result=read_bronze(spark, str(root), "reports_result", "files"))
+    rows = wh.served_fact().orderBy("line_item_no").collect()
+    assert [(r.report_date, r.net_payout_amount, r.settlement_variance_amount, r.variance_reason) for r in rows] == [
+        (dt.date(2026, 6, 10), 40, 2, "PAYOUT_SHORT"), (dt.date(2026, 6, 10), 40, 3, "PAYOUT_SHORT")]
+
+
+def test_landing_without_merchant_directories(spark, tmp_path):
+    from tablemargin.sources.bronze import DAILY
+
+    root = str(tmp_path / "landing")
+    write_bronze(samples.landing(spark, [r for rows in rounds() for r in rows]), root, DAILY)
+    got = flatten.silver_orders(read_bronze(spark, root, "orders"), "s")
+    assert sorted((r.order_id, r.merchant_id)
+                  for r in got.collect()) == [
+        ("a", "store_001"), ("b", "store_001"), ("old", "store_001"), ("y", "store_002"), ("z", "store_002")]
+
+
 def silver(batch):
     return flatten.silver_orders(batch, "salt")
 
