@@ -6,10 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablemargin.sources.tables import stage
 
-# A group with more rows than this is split over several tasks.
+# A group with more rows than this is spread over several tasks, in up to this many parts.
 HOT_ROWS = 1_000_000
-# Hex digits of the hash that splits a hot group: 16 ** 3 parts.
-PART_DIGITS = 3
+PARTS = 4096
 
 
 def allocate(
@@ -22,37 +21,26 @@ def allocate(
     on every row of the group.  Each part is the difference of two running floors of
     amount * weight so far / total weight, so the parts of a group sum to the amount exactly and
     none has the wrong sign.  A group whose weights are all zero is split evenly; a NULL amount
-    gives NULL parts; negative or NULL weights count as zero.  `group` columns must not be NULL.
+    gives NULL parts; negative or NULL weights count as zero.  The running sum follows `order`.
 
-    The running sum follows `order`.  A group above `hot_rows` rows is first cut into hash parts
-    taken one after the other: the running sum inside a part is a window over that part only, and
-    the sum of the parts before it comes from a small table with one row per part.  No task ever
-    holds a whole hot group, and the explicit repartition keeps its parts apart.
+    A window holds a whole group in one task, so groups above `hot_rows` rows are looked for
+    first, with one small job.  Usually there are none and one shuffle does everything.  The rows
+    of a hot group are cut into hash parts taken one after the other: see `_spread_windows`.
 
-    The rows are read three times, so they are staged first; `staged=False` suits a plain table.
+    The rows are read once for that check and once more for the result, so they are staged first;
+    `staged=False` suits a plain table.
     """
     if staged:
         df = stage(df, "allocate")
-    zero = F.lit(0).cast("bigint")
-    base = F.greatest(F.coalesce(F.col(weight).cast("bigint"), zero), zero)
-    totals = df.groupBy(*group).agg(F.sum(base).alias("_sum"), F.count(F.lit(1)).alias("_rows"))
-    even = F.col("_sum") == 0
-    hashed = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in order]))
-    weighted = df.join(totals, group, "left").withColumns({
-        "_w": F.when(even, F.lit(1).cast("bigint")).otherwise(base),
-        "_total": F.when(even, F.col("_rows")).otherwise(F.col("_sum")),
-        "_part": F.when(F.col("_rows") > hot_rows, F.substring(hashed, 1, PART_DIGITS)).otherwise(""),
-    }).drop("_sum", "_rows")
-
-    by_part = weighted.where(F.col("_part") != "").groupBy(*group, "_part").agg(F.sum("_w").alias("_part_sum"))
-    earlier = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = by_part.select(*group, "_part", F.sum("_part_sum").over(earlier).alias("_before"))
-
-    # This exchange serves both the join on (group, part) and the window inside a part.
-    placed = weighted.repartition(*group, "_part").join(before, [*group, "_part"], "left")
-    inside = Window.partitionBy(*group, "_part").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    placed = placed.withColumn("_run", F.coalesce(F.col("_before"), zero) + F.sum("_w").over(inside))
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
+    hot = stage(sizes.select(F.struct(*group).alias("_group")), "hot-groups")
+    weighted = df.withColumn("_w", F.greatest(F.coalesce(F.col(weight).cast("bigint"), _zero()), _zero()))
+    if hot.isEmpty():
+        placed = _whole_windows(weighted, group, order)
+    else:
+        is_hot = F.struct(*group) == F.col("_group")
+        placed = _whole_windows(weighted.join(hot, is_hot, "left_anti"), group, order).unionByName(
+            _spread_windows(weighted.join(hot, is_hot, "left_semi"), group, order))
     shares = {}
     for name, amount in amounts.items():
         size = F.abs(F.col(amount).cast("bigint"))
@@ -62,6 +50,54 @@ def allocate(
     return placed.withColumns(shares).select(*df.columns, *[c for c in shares if c not in df.columns])
 
 
+def _zero() -> Column:
+    return F.lit(0).cast("bigint")
+
+
+def _running(window, total_weight: Column, total_rows: Column, weight_before: Column, rows_before: Column) -> dict:
+    """Effective weight, its running sum and its total: rows are counted where no weight is positive."""
+    even = total_weight == 0
+    ordered = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return {
+        "_run": F.when(even, rows_before + F.row_number().over(window)).otherwise(
+            weight_before + F.sum("_w").over(ordered)).cast("bigint"),
+        "_total": F.when(even, total_rows).otherwise(total_weight),
+        "_w": F.when(even, F.lit(1).cast("bigint")).otherwise(F.col("_w")),
+    }
+
+
+def _whole_windows(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Running and total weight with a group per task."""
+    window = Window.partitionBy(*group).orderBy(*order)
+    all_rows = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return rows.withColumns(_running(
+        window, F.sum("_w").over(all_rows), F.count(F.lit(1)).over(all_rows), _zero(), _zero()))
+
+
+def _spread_windows(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """Running and total weight with a part of a group per task.
+
+    The running sum inside a part is a window over that part; what the parts before it sum to
+    comes from a table with one row per part.  The explicit repartition keeps the parts of a
+    group in different tasks and serves both the join and the window.
+    """
+    cut = rows.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(PARTS)))
+    parts = cut.groupBy(*group, "_part").agg(F.sum("_w").alias("_pw"), F.count(F.lit(1)).alias("_pn"))
+    window = Window.partitionBy(*group).orderBy("_part")
+    earlier = window.rowsBetween(Window.unboundedPreceding, -1)
+    every = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = parts.select(
+        F.struct(*group).alias("_k_group"), F.col("_part").alias("_k_part"),
+        F.coalesce(F.sum("_pw").over(earlier), _zero()).alias("_w0"),
+        F.coalesce(F.sum("_pn").over(earlier), _zero()).alias("_n0"),
+        F.sum("_pw").over(every).alias("_tw"), F.sum("_pn").over(every).alias("_tn"))
+    cut = cut.withColumn("_group", F.struct(*group)).repartition("_group", "_part")
+    joined = cut.join(offsets, (F.col("_group") == F.col("_k_group")) & (F.col("_part") == F.col("_k_part")))
+    inside = Window.partitionBy("_group", "_part").orderBy(*order)
+    return joined.withColumns(_running(
+        inside, F.col("_tw"), F.col("_tn"), F.col("_w0"), F.col("_n0"))).select(*rows.columns, "_run", "_total")
+
+
 def _floor_share(size: Column, running: Column, total: Column) -> Column:
     """floor(size * running / total); BIGINT arithmetic wherever the product surely fits."""
     fits = size.cast("double") * total.cast("double") < 4e18

@@ -11,22 +11,26 @@ from tablemargin.sources.tables import _hadoop_path, exists, replace_table, stag
 PRUNE_VALUES = 10_000
 
 
-def _keys_equal(left: DataFrame, right: DataFrame, keys: list[str]) -> tuple[DataFrame, list[Column]]:
-    # Distinct first: the join can split a hot key on its left side only.
-    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
-    return renamed, [left[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]
+def _key(keys: list[str]) -> Column:
+    """The key as one struct: never NULL itself, and NULL fields equal NULL fields."""
+    return F.struct(*keys)
+
+
+def _match(df: DataFrame, other: DataFrame, keys: list[str], how: str) -> DataFrame:
+    # Distinct first, as the join can split a hot key on its left side only; grouping by the
+    # struct that is joined on leaves the right side partitioned for the join.
+    wanted = other.select(_key(keys).alias("_key")).distinct()
+    return df.join(wanted, _key(keys) == F.col("_key"), how)
 
 
 def without_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `df` whose key is not in `other`; NULL keys match NULL keys."""
-    renamed, on = _keys_equal(df, other, keys)
-    return df.join(renamed, on, "left_anti")
+    return _match(df, other, keys, "left_anti")
 
 
 def with_keys(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of `df` whose key is in `other`; NULL keys match NULL keys."""
-    renamed, on = _keys_equal(df, other, keys)
-    return df.join(renamed, on, "left_semi")
+    return _match(df, other, keys, "left_semi")
 
 
 def replace_by_key(target: DataFrame, source: DataFrame, keys: list[str], evolve: bool = False) -> DataFrame:
@@ -61,10 +65,8 @@ def delete_cogs(target: DataFrame, keys_to_delete: DataFrame) -> DataFrame:
 
 def keep_newest(source: DataFrame, target: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Source rows that are not older than what the target already holds for their key."""
-    held = target.groupBy(*keys).agg(F.max(version).alias("_held"))
-    renamed = held.select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_held")
-    on = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys] + [F.col("_held") > F.col(version)]
-    return source.join(renamed, on, "left_anti")
+    held = target.groupBy(_key(keys).alias("_key")).agg(F.max(version).alias("_held"))
+    return source.join(held, (_key(keys) == F.col("_key")) & (F.col("_held") > F.col(version)), "left_anti")
 
 
 def target_schema(spark: SparkSession, path: str, source: DataFrame, evolve: bool) -> T.StructType:

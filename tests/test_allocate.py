@@ -48,6 +48,7 @@ def test_against_brute_force(spark, seed):
 def test_hot_group_is_cut_and_still_exact(spark):
     rng = random.Random(9)
     rows = [("hot", i, rng.randint(0, 1000), 987654321) for i in range(5000)]
+    rows += [("hot and even", i, 0, 1001) for i in range(500)] + [(None, i, 1, 90) for i in range(300)]
     rows += [(f"cold{g}", i, rng.randint(0, 9), -50) for g in range(50) for i in range(3)]
     got = shares(spark, rows, hot_rows=100)
     assert len(got) == len(rows)
@@ -56,6 +57,8 @@ def test_hot_group_is_cut_and_still_exact(spark):
         by_group.setdefault(r.g, []).append(r)
     assert sum(r.share for r in by_group["hot"]) == 987654321
     assert all(sum(r.share for r in by_group[f"cold{g}"]) == -50 for g in range(50))
+    assert sorted(r.share for r in by_group["hot and even"]) == [2] * 499 + [3]
+    assert sum(r.share for r in by_group[None]) == 90
     total = sum(r.weight for r in by_group["hot"])
     # A part is the exact share, rounded either way.
     assert all(abs(r.share - 987654321 * r.weight / total) < 1 for r in by_group["hot"])
