@@ -43,6 +43,16 @@ def latest_run_wins(df: DataFrame, keys: list[str], run_column: str) -> DataFram
     return df.join(latest, keys, "left").where(is_latest).select(*df.columns)
 
 
+def latest_row(df: DataFrame, keys: list[str], run_column: str) -> DataFrame:
+    """Exactly one row per key, from its latest run; equal runs are ordered by the other columns.
+
+    One partially aggregated max of the whole row, for rows that are small: no join is needed.
+    """
+    others = [c for c in df.columns if c not in keys and c != run_column]
+    latest = df.groupBy(*keys).agg(F.max(F.struct(run_column, *others)).alias("_row"))
+    return latest.select(*keys, "_row.*").select(*df.columns)
+
+
 def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Drop rows with a NULL in any key column."""
     return df.dropna(subset=keys)

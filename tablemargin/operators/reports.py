@@ -5,17 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablemargin.functions.times import local_date, utc_ntz
-from tablemargin.operators.incremental import latest_run_wins
+from tablemargin.operators.incremental import latest_row
 
 
 def join_reports(enqueue: DataFrame, result: DataFrame) -> DataFrame:
     """Requests with their result, if any, by job id.
 
-    Both sides are first reduced to each job's latest run, so landing a job again adds no rows.
+    Both sides are first reduced to each job's latest document, so landing a job again adds no
+    rows and a job is one row.
     Result columns are prefixed `r_`.
     """
-    left = latest_run_wins(enqueue, ["jobId"], "run_timestamp_utc")
-    right = latest_run_wins(result, ["jobId"], "run_timestamp_utc")
+    left = latest_row(enqueue, ["jobId"], "run_timestamp_utc")
+    right = latest_row(result, ["jobId"], "run_timestamp_utc")
     right = right.select("jobId", *[F.col(c).alias(f"r_{c}") for c in right.columns if c != "jobId"])
     return left.join(right, "jobId", "left")
 

@@ -7,6 +7,7 @@ the matching common table expressions for the reference check.
 from __future__ import annotations
 
 import datetime as dt
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -52,12 +53,25 @@ def landing_date(c: Column) -> Column:
     return F.make_date(F.year(c) - F.year(c) % 4, F.lit(1), F.lit(1))
 
 
+def _once(method):
+    """Keep a method's frame on its object, so that it is analyzed only once."""
+    @wraps(method)
+    def frame(self, *args):
+        key = (method.__name__, *args)
+        if key not in self._frames:
+            self._frames[key] = method(self, *args)
+        return self._frames[key]
+    return frame
+
+
 class SharedTables:
-    """Lazy frames over one scale factor's directory."""
+    """Lazy frames over one scale factor's directory; each is made once and shared."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._frames: dict[tuple, DataFrame] = {}
 
+    @_once
     def table(self, name: str) -> DataFrame:
         """The table, spread over all cores by its key where it is one small file.
 
@@ -72,6 +86,7 @@ class SharedTables:
             return df.repartition(cores, df.columns[0])
         return df
 
+    @_once
     def headers(self) -> DataFrame:
         """One row per order, in conformed columns plus the source keys."""
         o = self.table("orders")
@@ -91,6 +106,7 @@ class SharedTables:
             "o_orderkey", "o_custkey",
         )
 
+    @_once
     def lines(self) -> DataFrame:
         """Conformed order lines; `line_item_no` is the table's own line number."""
         part = self.table("part").select(
@@ -111,6 +127,7 @@ class SharedTables:
             "customer_name_hash", "customer_phone_hash",
             "customer_name_hash_salted", "customer_phone_hash_salted", "store_tz", "o_orderkey")
 
+    @_once
     def cogs(self) -> DataFrame:
         """Costs in minor units for nine of ten (merchant, SKU) pairs."""
         price = cents(F.col("p_retailprice"))
@@ -122,17 +139,20 @@ class SharedTables:
             (F.call_function("div", price, F.lit(4)) + F.col("m")).alias("recipe_cost"),
             F.call_function("div", price, F.lit(40)).alias("packaging_cost"))
 
+    @_once
     def cogs_ledger(self) -> DataFrame:
         """The same costs as the editable ledger holds them: major units with an edit time."""
         major = {c: (F.col(c) / F.lit(100)).cast("decimal(10,4)") for c in ("recipe_cost", "packaging_cost")}
         return self.cogs().withColumns(major).withColumn("updated_at", _ntz(FIRST_RUN))
 
+    @_once
     def stores(self) -> DataFrame:
         """One store per customer, with its time zone."""
         return self.table("customer").select(
             F.concat(F.lit("cust_"), _text(F.col("c_custkey"))).alias("merchant_id"),
             zone_of(F.col("c_custkey")).alias("store_tz"))
 
+    @_once
     def order_documents(self) -> DataFrame:
         """Landed order documents: landing columns and the JSON payload.
 
@@ -181,6 +201,7 @@ class SharedTables:
             F.col("r.run").alias("run_timestamp_utc"),
             F.to_json(F.struct(F.array(order).alias("orders"), cursor.alias("next_cursor"))).alias("payload"))
 
+    @_once
     def bronze_orders(self) -> DataFrame:
         """The documents parsed, as `read_bronze` returns them."""
         return self.order_documents().select(
@@ -188,6 +209,7 @@ class SharedTables:
             "run_timestamp_utc", F.from_json("payload", BRONZE_ORDERS).alias("d"),
         ).select("path_merchant_id", "path_date", "run_timestamp_utc", "d.*")
 
+    @_once
     def report_jobs(self) -> DataFrame:
         """One row per report job, flat; one job per merchant and order day with gaps and faults."""
         day = F.col("created_at").cast("date")
@@ -209,6 +231,7 @@ class SharedTables:
             (F.col("gross") - F.col("fee") - short + F.when(d % 11 == 0, 300).otherwise(0)).alias("net"),
             F.when(d == 23, "EUR").otherwise("USD").alias("currency"))
 
+    @_once
     def bronze_enqueue(self) -> DataFrame:
         """Report requests; on days divisible by 4 the job was requested again half an hour later."""
         jobs = self.report_jobs()
@@ -220,6 +243,7 @@ class SharedTables:
             F.when(F.col("late") == 0, "QUEUED").otherwise("REQUEUED").alias("status"),
             F.when(F.col("d") % 2 == 0, F.timestamp_add("SECOND", F.lit(5), F.col("run_at"))).alias("created_at"))
 
+    @_once
     def bronze_result(self) -> DataFrame:
         """Report results; jobs of days ending in 1 are still pending."""
         jobs = self.report_jobs().where(F.col("d") % 10 != 1)
@@ -235,11 +259,13 @@ class SharedTables:
                 F.struct(money("gross").alias("gross_sales"), money("net").alias("net_payout")).alias("totals"),
             ).alias("result"))
 
+    @_once
     def reports(self) -> DataFrame:
         from tablemargin.operators.reports import silver_reports
 
         return silver_reports(self.bronze_enqueue(), self.bronze_result())
 
+    @_once
     def run_events(self) -> DataFrame:
         """Pairs of events form a run; errors are failed runs, views and sign-ups started ones."""
         k = F.get_json_object("props", "$.k").cast("int")
@@ -254,6 +280,7 @@ class SharedTables:
             F.col("ts").alias("event_at"), F.when(failed, kind).alias("error_class"),
             F.when(failed, F.concat(F.repeat(F.lit("x"), k * 20), _text(F.col("event_id")))).alias("error_message"))
 
+    @_once
     def run_log(self) -> DataFrame:
         """One finished row per event, with status code and stack trace where it failed."""
         k = F.get_json_object("props", "$.k").cast("int")
@@ -271,6 +298,7 @@ class SharedTables:
             F.when(failed, F.repeat(F.lit("at line "), k * 20)).alias("stack_trace"),
             F.when(failed, code).alias("http_status"))
 
+    @_once
     def polls(self) -> DataFrame:
         """Twelve poll responses per report job."""
         k = F.get_json_object("props", "$.k").cast("int")
