@@ -47,16 +47,22 @@ def delete_by_key(target: DataFrame, keys_to_delete: DataFrame, keys: list[str])
     return without_keys(target, keys_to_delete, keys)
 
 
-def upsert_cogs(target: DataFrame, edits: DataFrame) -> DataFrame:
-    """The cost ledger after a batch of edits: the last edit of a (merchant, SKU) wins.
+def last_edits(edits: DataFrame) -> DataFrame:
+    """The last edit of each (merchant, SKU).
 
     Edits of the same instant are ordered by their costs, so the outcome does not depend on task order.
     """
-    key = ["merchant_id", "line_item_sku"]
-    last = edits.groupBy(*key).agg(F.max(F.struct("updated_at", "recipe_cost", "packaging_cost")).alias("e"))
-    return replace_by_key(target, last.select(
-        *key, F.col("e.recipe_cost").alias("recipe_cost"), F.col("e.packaging_cost").alias("packaging_cost"),
-        F.col("e.updated_at").alias("updated_at")).select(*target.columns), key)
+    last = edits.groupBy("merchant_id", "line_item_sku").agg(
+        F.max(F.struct("updated_at", "recipe_cost", "packaging_cost")).alias("e"))
+    return last.select(
+        "merchant_id", "line_item_sku", F.col("e.recipe_cost").alias("recipe_cost"),
+        F.col("e.packaging_cost").alias("packaging_cost"), F.col("e.updated_at").alias("updated_at"))
+
+
+def upsert_cogs(target: DataFrame, edits: DataFrame) -> DataFrame:
+    """The cost ledger after a batch of edits, several of which may be of one (merchant, SKU)."""
+    return replace_by_key(
+        target, last_edits(edits).select(*target.columns), ["merchant_id", "line_item_sku"])
 
 
 def delete_cogs(target: DataFrame, keys_to_delete: DataFrame) -> DataFrame:

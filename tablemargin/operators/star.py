@@ -101,7 +101,9 @@ def enrich_fact(fact: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def recompute_affected(
-    silver: DataFrame, cogs: DataFrame, changed: DataFrame, rate: Decimal | str = COMMISSION_RATE
+    silver: DataFrame, cogs: DataFrame, changed: DataFrame, rate: Decimal | str = COMMISSION_RATE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Fact rows of every line whose (merchant, SKU) cost changed, ready to merge."""
-    return fact_financial_sales(silver.join(changed.select(*ITEM_KEY), ITEM_KEY, "left_semi"), cogs, rate)
+    touched = silver.join(changed.select(*ITEM_KEY).distinct(), ITEM_KEY, "left_semi")
+    return fact_financial_sales(touched, cogs, rate, keep)

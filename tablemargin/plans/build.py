@@ -11,11 +11,12 @@ from tablemargin.functions.money import COMMISSION_RATE
 from tablemargin.operators import quality
 from tablemargin.operators.flatten import ORDER_KEY, conform_lines, flatten_orders, order_headers
 from tablemargin.operators.incremental import incremental_filter, latest_run_wins
-from tablemargin.operators.merge import merge_replace
+from tablemargin.operators.merge import last_edits, merge_replace
 from tablemargin.operators.reports import silver_reports
 from tablemargin.operators.settlement import fact_with_settlement, settlement_reconciliation
-from tablemargin.operators.star import dim_menu_catalog, fact_financial_sales
-from tablemargin.schemas import SILVER_ORDERS, SILVER_REPORTS
+from tablemargin.operators.star import ITEM_KEY, dim_menu_catalog, fact_financial_sales, recompute_affected
+from tablemargin.schemas import COGS_LEDGER, SILVER_ORDERS, SILVER_REPORTS
+from tablemargin.sources.cogs import cogs_in_minor_units
 from tablemargin.sources.tables import exists, replace_table, stage
 
 # Build order; a model only reads those before it.
@@ -114,6 +115,21 @@ def build(
     return _union(results)
 
 
+def save_costs(wh: Warehouse, edits: DataFrame) -> None:
+    """Save a batch of cost edits to the ledger and recompute the margins of what they touch.
+
+    `edits` has the ledger's columns, in major units; the last edit of a (merchant, SKU) wins.
+    """
+    edits = stage(last_edits(edits), "cost-edits")
+    merge_replace(wh.path("merchant_cogs"), edits, ITEM_KEY, ["merchant_id"], keys_move=False)
+    affected = recompute_affected(
+        wh.read("silver_orders", SILVER_ORDERS), cogs_in_minor_units(wh.read("merchant_cogs", COGS_LEDGER)),
+        edits, wh.rate, keep=("target_date",))
+    merge_replace(
+        wh.path("fact_financial_sales"), wh.laid_out(affected, "target_date"), [*ORDER_KEY, "line_item_no"],
+        list(wh.order_partitions), keys_move=False)
+
+
 def _new_orders(wh: Warehouse, orders: DataFrame, full_refresh: bool) -> DataFrame:
     flat = flatten_orders(orders)
     if full_refresh or not exists(wh.spark, wh.path("silver_orders")):

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from tablemargin.functions.naming import bronze_key as bronze_key_of
 from tablemargin.functions.naming import parse_bronze_filename as parse_name
-from tablemargin.operators.flatten import flatten_items, flatten_orders, silver_orders
+from tablemargin.operators.flatten import ORDER_KEY, flatten_items, flatten_orders, silver_orders
+from tablemargin.operators.incremental import latest_run_wins
 from tablemargin.operators.reports import silver_reports
 from tablemargin.plans.registry import query
 from tablemargin.plans.shared_tables import FIRST_RUN, SALT, SECOND_RUN, landing_date
@@ -82,18 +83,12 @@ def landing_round_trip(t):
     root = scratch_path(t.spark, "landing")
     write_bronze(t.order_documents(), root)
     landed = read_bronze(t.spark, root, "orders")
-    return flatten_items(_latest(flatten_orders(landed))).select(
+    orders = latest_run_wins(flatten_orders(landed), ORDER_KEY, "run_timestamp_utc")
+    return flatten_items(orders).select(
         "path_merchant_id", "path_date", "order_id", "total_amount", "line_item_no", "line_item_sku",
         "line_item_qty", "run_timestamp_utc")
 
 
-def _latest(orders):
-    from tablemargin.operators.flatten import ORDER_KEY
-    from tablemargin.operators.incremental import latest_run_wins
-
-    return latest_run_wins(orders, ORDER_KEY, "run_timestamp_utc")
-
-
 @query("""SELECT job_id, merchant_id, day AS report_date, result_status, gross AS gross_sales_amount,
                  net AS net_payout_amount
           FROM jobs WHERE d % 10 <> 1""", ("jobs",))

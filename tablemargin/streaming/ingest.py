@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tablemargin.functions.naming import RUN_TIME_FORMAT
+from tablemargin.functions.naming import RUN_TIME_FORMAT, parse_bronze_filename
 from tablemargin.operators.merge import merge_replace
 from tablemargin.schemas import ENDPOINT_SCHEMAS
 
@@ -33,10 +33,6 @@ def stream_bronze_files(
     spark: SparkSession, root: str, endpoint: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """Stream of one endpoint's documents stored as one JSON file each."""
-    from pyspark.sql import types as T
-
-    from tablemargin.functions.naming import parse_bronze_filename
-
     schema = ENDPOINT_SCHEMAS[endpoint]
     path_columns = [T.StructField("merchant_id", T.StringType())] + [
         T.StructField(name, T.IntegerType()) for name in ("year", "month", "day")]

@@ -7,7 +7,7 @@ import pytest
 import samples
 from tablemargin.operators import flatten, quality
 from tablemargin.operators.reports import silver_reports
-from tablemargin.plans.build import Warehouse, build
+from tablemargin.plans.build import Warehouse, build, save_costs
 from tablemargin.schemas import COGS_SEED
 from tablemargin.sources.bronze import read_bronze, write_bronze, write_report_pair
 from tablemargin.streaming.ingest import stream_bronze, stream_bronze_files, stream_merge
@@ -129,6 +129,23 @@ def test_reports_model(spark, tmp_path):
     assert wh.read("silver_reports").count() == 1
 
 
+def test_saved_costs_change_past_margins(spark, cogs, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "w"), "salt")
+    build(wh, orders=samples.bronze(spark, rounds()[0]), cogs=cogs)
+    row = "timestamp_ntz'2026-06-1{d}' updated_at, cast({c} as decimal(10,4)) recipe_cost, " \
+        "cast(0.5 as decimal(10,4)) packaging_cost"
+    columns = ["merchant_id", "line_item_sku", "recipe_cost", "packaging_cost", "updated_at"]
+    edits = [spark.sql(f"select 'store_001' merchant_id, 'X' line_item_sku, {row.format(d=d, c=c)}").select(*columns)
+             for d, c in ((2, 0.3), (1, 0.2))]
+    save_costs(wh, edits[0].unionByName(edits[1]))
+    got = {(r.order_id, r.line_item_sku): (r.calculated_recipe_cogs, r.packaging_cost, r.true_net_payout_margin)
+           for r in wh.read("fact_financial_sales").where("merchant_id = 'store_001'").collect()}
+    assert got == {("a", "X"): (30, 50, 47), ("a", "Y"): (0, 0, 127), ("b", "X"): (30, 50, 770)}
+    save_costs(wh, edits[1])
+    assert wh.read("merchant_cogs").count() == 1
+    assert wh.read("fact_financial_sales").agg({"calculated_recipe_cogs": "max"}).first()[0] == 20
+
+
 def test_stores_have_their_own_day(spark, cogs, tmp_path):
     """A Tokyo store's order and report of the same local day meet, though their UTC dates differ."""
     import json

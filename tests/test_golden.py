@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import samples
 from samples import records
+from tablemargin.functions.pii import fill_missing_salts
 from tablemargin.operators import flatten, reports, serving, star
 from tablemargin.schemas import BRONZE_ORDERS
 from tablemargin.sources.bronze import bronze_rejects, incomplete_pages, read_bronze, strip_provenance
@@ -182,5 +183,12 @@ def test_served_figures(spark):
         == {"", "Fee mismatch", "Commission overcharge"}
 
 
+def test_salts(spark):
+    salts = spark.createDataFrame([("a", "0" * 32), ("b", None), ("c", None)], "merchant_id string, pii_salt string")
+    filled = {r.merchant_id: r.pii_salt for r in fill_missing_salts(salts).collect()}
+    assert filled["a"] == "0" * 32 and len({filled["b"], filled["c"]}) == 2
+    assert all(len(s) == 32 and "-" not in s for s in filled.values())
+
+
 def test_schema_of_documents_is_explicit():
     assert BRONZE_ORDERS.fieldNames() == ["orders", "next_cursor"]
