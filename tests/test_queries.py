@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as contract
 import oracle
+from tablemargin.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +15,10 @@ def con():
 
 
 def test_every_query_has_a_counterpart():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(registry.ORACLES) == set(registry.QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_query(spark, con, name):
     difference = oracle.compare(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name])
     assert difference is None, difference
