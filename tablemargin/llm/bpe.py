@@ -250,10 +250,13 @@ def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "de
     return df.withColumn(text, BpeTokenizer(df.sparkSession, path).decode(F.col(ids)))
 
 
+def digest_columns(ids: str = "token_ids", text: str = "decoded_text") -> list[Column]:
+    """Number of ids, SHA-256 of the decimal ids joined by commas, and of the decoded text."""
+    joined = F.concat_ws(",", F.col(ids).cast("array<string>"))
+    return [F.size(ids).cast("long").alias("n_tokens"), F.sha2(joined.cast("binary"), 256).alias("ids_sha256"),
+            F.sha2(F.col(text).cast("binary"), 256).alias("decoded_sha256")]
+
+
 def digests(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: number of ids, SHA-256 of the decimal ids joined by commas, and of the decoded text."""
-    encoded = encode_texts(df.select(key, text), path, text)
-    return decode_ids(encoded, path).select(
-        key, F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded_text").cast("binary"), 256).alias("decoded_sha256"))
+    """Per row the digests of its ids and of what they decode to."""
+    return decode_ids(encode_texts(df.select(key, text), path, text), path).select(key, *digest_columns())
