@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemargin.llm import bpe, classlm, decontaminate, html_extract, licenses, neardup, quality_mil, quality_rules, toxicity, urlfilter
+from tablemargin.llm import (
+    bpe, classlm, decontaminate, html_extract, licenses, neardup, oracles, quality_mil, quality_rules, toxicity, urlfilter)
 from tablemargin.sources.tables import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_near_duplicates": oracles.NEAR_DUPLICATES, "op7_decontaminate": oracles.DECONTAMINATE}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
