@@ -6,14 +6,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tablemargin.sources.tables import stage
 
-# A group with more rows than this is spread over several tasks, in up to this many parts.
-HOT_ROWS = 1_000_000
-PARTS = 4096
-
 
 def allocate(
-    df: DataFrame, amounts: dict[str, str], weight: str, group: list[str], order: list[str],
-    hot_rows: int = HOT_ROWS, staged: bool = True,
+    df: DataFrame, amounts: dict[str, str], weight: str, group: list[str], order: list[str]
 ) -> DataFrame:
     """Split group amounts over the group's rows in proportion to `weight`.
 
@@ -23,24 +18,15 @@ def allocate(
     none has the wrong sign.  A group whose weights are all zero is split evenly; a NULL amount
     gives NULL parts; negative or NULL weights count as zero.  The running sum follows `order`.
 
-    A window holds a whole group in one task, so groups above `hot_rows` rows are looked for
-    first, with one small job.  Usually there are none and one shuffle does everything.  The rows
-    of a hot group are cut into hash parts taken one after the other: see `_spread_windows`.
-
-    The rows are read once for that check and once more for the result, so they are staged first;
-    `staged=False` suits a plain table.
+    A group may hold any share of all rows, so no task ever sees a whole one.  The rows are cut
+    by range of (group, order) into partitions of like size and written with their partition's
+    number, which thus ascends with `order` inside a group.  A table with one row per group and
+    partition chains the partitions' sums, and windows only run inside a group's part of one
+    partition.  The result does not depend on where the cuts fall.
     """
-    if staged:
-        df = stage(df, "allocate")
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > hot_rows)
-    hot = stage(sizes.select(F.struct(*group).alias("_group")), "hot-groups")
     weighted = df.withColumn("_w", F.greatest(F.coalesce(F.col(weight).cast("bigint"), _zero()), _zero()))
-    if hot.isEmpty():
-        placed = _whole_windows(weighted, group, order)
-    else:
-        is_hot = F.struct(*group) == F.col("_group")
-        placed = _whole_windows(weighted.join(hot, is_hot, "left_anti"), group, order).unionByName(
-            _spread_windows(weighted.join(hot, is_hot, "left_semi"), group, order))
+    cut = weighted.repartitionByRange(*group, *order).withColumn("_part", F.spark_partition_id())
+    placed = _running(stage(cut, "allocate"), group, order)
     shares = {}
     for name, amount in amounts.items():
         size = F.abs(F.col(amount).cast("bigint"))
@@ -54,34 +40,8 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
-def _running(window, total_weight: Column, total_rows: Column, weight_before: Column, rows_before: Column) -> dict:
+def _running(cut: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     """Effective weight, its running sum and its total: rows are counted where no weight is positive."""
-    even = total_weight == 0
-    ordered = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return {
-        "_run": F.when(even, rows_before + F.row_number().over(window)).otherwise(
-            weight_before + F.sum("_w").over(ordered)).cast("bigint"),
-        "_total": F.when(even, total_rows).otherwise(total_weight),
-        "_w": F.when(even, F.lit(1).cast("bigint")).otherwise(F.col("_w")),
-    }
-
-
-def _whole_windows(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Running and total weight with a group per task."""
-    window = Window.partitionBy(*group).orderBy(*order)
-    all_rows = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return rows.withColumns(_running(
-        window, F.sum("_w").over(all_rows), F.count(F.lit(1)).over(all_rows), _zero(), _zero()))
-
-
-def _spread_windows(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
-    """Running and total weight with a part of a group per task.
-
-    The running sum inside a part is a window over that part; what the parts before it sum to
-    comes from a table with one row per part.  The explicit repartition keeps the parts of a
-    group in different tasks and serves both the join and the window.
-    """
-    cut = rows.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(PARTS)))
     parts = cut.groupBy(*group, "_part").agg(F.sum("_w").alias("_pw"), F.count(F.lit(1)).alias("_pn"))
     window = Window.partitionBy(*group).orderBy("_part")
     earlier = window.rowsBetween(Window.unboundedPreceding, -1)
@@ -91,11 +51,18 @@ def _spread_windows(rows: DataFrame, group: list[str], order: list[str]) -> Data
         F.coalesce(F.sum("_pw").over(earlier), _zero()).alias("_w0"),
         F.coalesce(F.sum("_pn").over(earlier), _zero()).alias("_n0"),
         F.sum("_pw").over(every).alias("_tw"), F.sum("_pn").over(every).alias("_tn"))
-    cut = cut.withColumn("_group", F.struct(*group)).repartition("_group", "_part")
+    # A struct is never NULL itself and its NULL fields are equal, so a NULL group is one like others.
+    cut = cut.withColumn("_group", F.struct(*group))
     joined = cut.join(offsets, (F.col("_group") == F.col("_k_group")) & (F.col("_part") == F.col("_k_part")))
     inside = Window.partitionBy("_group", "_part").orderBy(*order)
-    return joined.withColumns(_running(
-        inside, F.col("_tw"), F.col("_tn"), F.col("_w0"), F.col("_n0"))).select(*rows.columns, "_run", "_total")
+    sofar = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    even = F.col("_tw") == 0
+    return joined.withColumns({
+        "_run": F.when(even, F.col("_n0") + F.row_number().over(inside)).otherwise(
+            F.col("_w0") + F.sum("_w").over(sofar)).cast("bigint"),
+        "_total": F.when(even, F.col("_tn")).otherwise(F.col("_tw")),
+        "_w": F.when(even, F.lit(1).cast("bigint")).otherwise(F.col("_w")),
+    })
 
 
 def _floor_share(size: Column, running: Column, total: Column) -> Column:

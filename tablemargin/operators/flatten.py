@@ -21,10 +21,14 @@ def _created_at(bronze: DataFrame) -> Column:
 def flatten_orders(bronze: DataFrame) -> DataFrame:
     """One row per order of `orders[]`, keeping `items` nested; landing columns are carried along.
 
-    Documents with an empty or NULL `orders` disappear.
+    Documents with an empty or NULL `orders` disappear; a document that did not parse is one of
+    these, so check it first (`quality.check_landing`).
     """
     carried = [c for c in bronze.columns if c in ("path_merchant_id", "path_date", "run_timestamp_utc")]
-    return bronze.select(*carried, F.explode("orders").alias("o")).select(
+    # The outer form, as the inner one lets the planner infer a filter on the array's size, and with it
+    # a second parse of the documents below.
+    exploded = bronze.select(*carried, F.posexplode_outer("orders").alias("_at", "o")).where(F.col("_at").isNotNull())
+    return exploded.select(
         *carried,
         F.col("o.id").alias("order_id"),
         F.col("o.channel").alias("source_marketplace"),
@@ -71,7 +75,8 @@ def conform_lines(orders: DataFrame, salt: str, tz: str | Column = "UTC") -> Dat
     """Flattened order rows to the conformed line table."""
     if "run_timestamp_utc" not in orders.columns:
         orders = orders.withColumn("run_timestamp_utc", F.lit(None).cast("timestamp_ntz"))
-    lines = with_salted_customer(with_target_date(flatten_items(orders), tz), salt)
+    # What belongs to the order is computed once for it, not once for each of its lines.
+    lines = flatten_items(with_salted_customer(with_target_date(orders, tz), salt))
     return lines.select(
         "order_id", "source_marketplace", "merchant_id", "target_date", "run_timestamp_utc", "created_at",
         "total_amount", "total_currency",

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from functools import reduce
 
-from tablemargin.sources.tables import _hadoop_path, exists, replace_table, stage, write_table
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-# Up to this many distinct values a partition column is pruned by a literal list; beyond it the
-# semi join alone selects the affected rows.
-PRUNE_VALUES = 10_000
+from tablemargin.operators.incremental import latest_run_wins
+from tablemargin.session import scratch_scope
+from tablemargin.sources.tables import (
+    _hadoop_path, exists, replace_table, save_schema, saved_schema, stage, write_table)
 
 
 def _key(keys: list[str]) -> Column:
@@ -78,10 +80,18 @@ def keep_newest(source: DataFrame, target: DataFrame, keys: list[str], version:
 def target_schema(spark: SparkSession, path: str, source: DataFrame, evolve: bool) -> T.StructType:
     """Schema to read the target with: its own columns, typed as in `source` where both have them.
 
-    The types come from `source`, so partition values such as "007" are not read as numbers.
+    The table's columns are those saved beside it.  Only a table from elsewhere has none saved: then
+    the footers tell, or, if it holds no file yet, `source`.  The types come from `source`, so
+    partition values such as "007" are not read as numbers.
     """
-    reader = spark.read.option("mergeSchema", "true") if evolve else spark.read
-    held = reader.parquet(path).schema
+    held = saved_schema(spark, path)
+    if held is None:
+        try:
+            held = spark.read.option("mergeSchema", "true").parquet(path).schema
+        except AnalysisException as error:
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            held = source.schema
     if not evolve and set(held.names) != set(source.columns):
         raise ValueError(
             f"columns differ from the table's: {sorted(set(held.names) ^ set(source.columns))}; use evolve=True")
@@ -91,10 +101,12 @@ def target_schema(spark: SparkSession, path: str, source: DataFrame, evolve: boo
 
 def merge_replace(
     path: str, source: DataFrame, keys: list[str], partitions: list[str],
-    evolve: bool = False, keys_move: bool = True, version: str | None = None,
+    evolve: bool = False, keys_move: bool = True, version: str | None = None, clear: DataFrame | None = None,
 ) -> None:
     """Merge `source` into the Parquet table at `path`, replacing whole keys.
 
+    Keys in `clear` lose the rows they have, too, whether or not `source` has new ones for them.
+
     Only the partitions that hold an incoming key, before or after, are rewritten.
     1. `source` is staged, since it is read several times and may read the table itself.
     2. Affected partitions are those of the source plus those of matching target rows.  With
@@ -103,34 +115,52 @@ def merge_replace(
        staged copy outlives a failure half way, and repeating the merge gives the same table.
     4. Dynamic overwrite leaves a partition alone that receives no rows, so those that became
        empty are deleted.
-    `version` names a column (a run time) by which a source key older than the target's is ignored.
+    `version` names a column (a run time).  A source key older than the target's is ignored, and of
+    several versions of a key in the source only the latest counts; `clear` needs that column then.
     """
+    with scratch_scope(source.sparkSession):
+        _merge_replace(path, source, keys, partitions, evolve, keys_move, version, clear)
+
+
+def _merge_replace(path, source, keys, partitions, evolve, keys_move, version, clear) -> None:
     spark = source.sparkSession
+    incoming = stage(source, "merge-in")
+    if version:
+        incoming = latest_run_wins(incoming, keys, version)
     if not exists(spark, path):
-        write_table(source, path, partitions)
+        write_table(incoming, path, partitions)
+        save_schema(spark, path, incoming.schema)
         return
     schema = target_schema(spark, path, source, evolve)
-    incoming = stage(source, "merge-in")
     target = spark.read.schema(schema).parquet(path)
+    named = [*keys, version] if version else keys
+    wanted = incoming.select(*named)
+    if clear is not None:
+        wanted = wanted.unionByName(clear.select(*named))
+    wanted = stage(wanted.distinct(), "merge-keys")
 
+    after = T.StructType([*schema, *[f for f in source.schema if f.name not in schema.names]])
     if not partitions:
         if version:
-            incoming = keep_newest(incoming, with_keys(target, incoming, keys), keys, version)
-        replace_table(replace_by_key(target, incoming, keys, evolve), path)
+            held = with_keys(target, wanted, keys)
+            incoming, wanted = (keep_newest(x, held, keys, version) for x in (incoming, wanted))
+        replace_table(without_keys(target, wanted, keys).unionByName(incoming, allowMissingColumns=evolve), path)
         return
 
     fixed = [p for p in partitions if p in keys]
-    matched = with_keys(prune(target, incoming, partitions if not keys_move else fixed), incoming, keys)
+    searched = prune(target, incoming, partitions) if not keys_move and clear is None else prune(target, wanted, fixed)
+    matched = with_keys(searched, wanted, keys)
     if version:
-        incoming = keep_newest(incoming, matched, keys, version)
+        incoming, wanted = (keep_newest(x, matched, keys, version) for x in (incoming, wanted))
     affected = incoming.select(*partitions)
-    if keys_move:
+    if keys_move or clear is not None:
         affected = affected.unionByName(matched.select(*partitions))
     affected = stage(affected.distinct(), "merge-parts")
 
     touched = with_keys(prune(target, affected, partitions), affected, partitions)
-    merged = replace_by_key(touched, incoming, keys, evolve)
+    merged = without_keys(touched, wanted, keys).unionByName(incoming, allowMissingColumns=evolve)
     staged = stage(merged, "merge-out", partitions)
+    save_schema(spark, path, after)
     # The staged files already hold one partition each, so this write needs no shuffle.
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy").partitionBy(*partitions).parquet(path))
@@ -140,24 +170,34 @@ def merge_replace(
 
 
 def prune(df: DataFrame, wanted: DataFrame, columns: list[str]) -> DataFrame:
-    """Narrow `df` to the values its partition columns take in `wanted`, where these are few.
+    """Narrow `df` to the partitions whose values occur in `wanted`.
 
-    A superset of the wanted partitions: the exact choice is left to a join.
+    A superset of the wanted rows: the exact choice is left to a join.  The smallest and largest
+    wanted values prune statically, the distinct ones at run time.  These are broadcast: there are
+    at most as many as the table has, or is getting, directories, and the planner lists those
+    anyway.  However many there are, no list of literals is made.
     """
-    for c in columns:
-        values = [row[0] for row in wanted.select(c).distinct().limit(PRUNE_VALUES + 1).collect()]
-        if len(values) <= PRUNE_VALUES:
-            known = F.col(c).isin([v for v in values if v is not None])
-            df = df.where(known | F.col(c).isNull() if None in values else known)
-    return df
+    if not columns:
+        return df
+    ends = wanted.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("lo", F.min), ("hi", F.max))],
+                      *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns]).first()
+    within = [F.col(c).between(F.lit(ends[f"lo_{c}"]), F.lit(ends[f"hi_{c}"])) for c in columns if ends[f"lo_{c}"] is not None]
+    if len(within) < len(columns):
+        return df
+    inside = reduce(Column.__and__, within)
+    found = df.where(inside).join(F.broadcast(wanted.select(*columns).where(inside).distinct()), columns, "left_semi")
+    missing = [F.col(c).isNull() for c in columns]
+    if any(ends[f"null_{c}"] for c in columns):
+        found = found.unionByName(df.where(reduce(Column.__or__, missing)))
+    return found
 
 
 def drop_partitions(
     spark: SparkSession, path: str, schema: T.StructType, gone: DataFrame, partitions: list[str]
 ) -> None:
     """Delete the directories of the given partitions; only their paths reach the driver."""
-    held = prune(spark.read.schema(schema).parquet(path), gone, partitions)
-    files = held.select(*partitions, F.col("_metadata.file_path").alias("file")).distinct()
+    held = spark.read.schema(schema).parquet(path).select(*partitions, F.col("_metadata.file_path").alias("file"))
+    files = prune(held, gone, partitions).distinct()
     folders = with_keys(files, gone, partitions).select(
         F.regexp_replace("file", "/[^/]+$", "").alias("folder")).distinct()
     for row in folders.toLocalIterator():

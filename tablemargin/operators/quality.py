@@ -168,4 +168,18 @@ def check_fact(fact: DataFrame) -> DataFrame:
 
 
 def check_cogs(cogs: DataFrame) -> DataFrame:
-    return run_checks(cogs, "merchant_cogs", not_null(["merchant_id", "line_item_sku"]))
+    return run_checks(cogs, "merchant_cogs", not_null(["merchant_id", "line_item_sku"])).unionByName(
+        check_unique(cogs, "merchant_cogs", ["merchant_id", "line_item_sku"]))
+
+
+def document_parsed(severity: str = "error") -> Check:
+    """A landed document that is no JSON of its endpoint: its rows would be missing without a trace."""
+    return Check("document_parsed", F.col("_corrupt_record").isNotNull(), severity)
+
+
+def check_landing(bronze: DataFrame) -> DataFrame:
+    """What must hold of landed order documents before they are flattened."""
+    checks = [page_complete()]
+    if "_corrupt_record" in bronze.columns:
+        checks.append(document_parsed())
+    return run_checks(bronze, "bronze_orders", checks)

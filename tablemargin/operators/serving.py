@@ -50,7 +50,10 @@ def list_fact_financial_sales(fact: DataFrame, *, merchant_id: str) -> DataFrame
 
 
 class GoldTables:
-    """The same reads by catalog table name; a table that does not exist yet reads as empty."""
+    """The same reads by catalog table name; a table that does not exist yet reads as empty.
+
+    Sales are read from `served_fact`, the model that holds payouts and variances.
+    """
 
     def __init__(self, spark: SparkSession, database: str = "default"):
         self.spark, self.database = spark, database
@@ -67,7 +70,7 @@ class GoldTables:
     def list_fact_financial_sales(self, *, merchant_id: str) -> DataFrame:
         empty = "merchant_id string, order_id string, source_marketplace string, line_item_sku string, " + \
             ", ".join(f"{c} bigint" for c in SERVED_FACT[3:]) + ", variance_reason string"
-        return list_fact_financial_sales(self._table("fact_financial_sales", empty), merchant_id=merchant_id)
+        return list_fact_financial_sales(self._table("served_fact", empty), merchant_id=merchant_id)
 
 
 def kpis(fact: DataFrame, by: str | None = None) -> DataFrame:
@@ -104,12 +107,15 @@ def menu_engineering(
     """Net profit per SKU, most profitable first; ties by SKU.
 
     With `target_pct` each SKU also gets its lines, gross, margin % and whether that falls below
-    the target.  With `k` only the k most profitable SKUs are kept.
+    the target, and the units sold where the fact holds them.  With `k` only the k most profitable
+    SKUs are kept.
     """
     keys = [*(by or []), "line_item_sku"]
     aggs = [F.sum("true_net_payout_margin").alias("net_profit")]
     if target_pct is not None:
         aggs += [F.count(F.lit(1)).alias("line_count"), F.sum("gross_order_value").alias("gross_sales")]
+        if "units_sold" in fact.columns:
+            aggs.append(F.sum("units_sold").alias("units_sold"))
     ranked = fact.groupBy(*keys).agg(*aggs)
     if target_pct is not None:
         target = Decimal(str(target_pct))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tablemargin.functions.money import COMMISSION_RATE, commission
 from tablemargin.functions.times import local_date
-from tablemargin.operators.allocate import HOT_ROWS, allocate
+from tablemargin.operators.allocate import allocate
 
 DAY_KEY = ["merchant_id", "report_date"]
 
@@ -68,13 +68,13 @@ def _day_of(day: str | None, tz: str | Column) -> Column:
 
 
 def fact_with_settlement(
-    fact: DataFrame, reconciliation: DataFrame, tz: str | Column = "UTC", day: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    fact: DataFrame, reconciliation: DataFrame, tz: str | Column = "UTC", day: str | None = None
 ) -> DataFrame:
     """The fact with its part of each day's payout and variance.
 
     Both daily figures are split over the day's lines by gross value, to the cent, in order of
-    order_id; a merchant-day without a report keeps NULLs (not reconciled).
+    order_id; a merchant-day without a report keeps NULLs (not reconciled).  `fact` should be the
+    allocated one: with an order's total on each of its lines an order weighs as often as it has lines.
     """
     days = reconciliation.select(
         *DAY_KEY, F.col("net_payout_amount").alias("_net"),
@@ -84,14 +84,18 @@ def fact_with_settlement(
         c for c in ("line_item_no", "line_item_sku", "true_net_payout_margin") if c in fact.columns]
     split = allocate(
         dated, {"net_payout_amount": "_net", "settlement_variance_amount": "_variance"},
-        "gross_order_value", DAY_KEY, order, hot_rows)
+        "gross_order_value", DAY_KEY, order)
     return split.drop("_net", "_variance")
 
 
-def variance_by_settlement_date(reconciliation: DataFrame) -> DataFrame:
-    """Audit totals per merchant and settlement date, unbalanced days only."""
-    return (reconciliation.where(F.col("variance_reason") != "")
-        .groupBy(*DAY_KEY).agg(
-            F.count(F.lit(1)).alias("exceptions"),
-            F.sum("settlement_variance_amount").alias("settlement_variance_amount"),
-            F.max("variance_reason").alias("variance_reason")))
+def variance_by_settlement_date(settled: DataFrame) -> DataFrame:
+    """Audit totals per merchant and settlement date: the orders on days that do not balance.
+
+    `settled` holds order lines with their part of the day's variance (`fact_with_settlement`).
+    """
+    orders = settled.where(F.col("variance_reason") != "").groupBy(
+        *DAY_KEY, "variance_reason", "order_id", "source_marketplace").agg(
+        F.sum("settlement_variance_amount").alias("variance"), F.sum("gross_order_value").alias("gross"))
+    return orders.groupBy(*DAY_KEY, "variance_reason").agg(
+        F.count(F.lit(1)).alias("exceptions"), F.sum("gross").alias("gross_order_value"),
+        F.sum("variance").alias("settlement_variance_amount"))

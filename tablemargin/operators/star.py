@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, functions as F
 
 from tablemargin.functions.money import COMMISSION_RATE, commission
-from tablemargin.operators.allocate import HOT_ROWS, allocate
+from tablemargin.operators.allocate import allocate
 
 ITEM_KEY = ["merchant_id", "line_item_sku"]
 
@@ -18,16 +18,15 @@ def dim_menu_catalog(silver: DataFrame, name: str = "min") -> DataFrame:
     name = "min"   alphabetically first name
            "mode"  most frequent name, ties to the alphabetically first
     """
-    if name == "min":
-        return silver.groupBy(*ITEM_KEY).agg(
-            F.min("line_item_name").alias("line_item_name"),
-            F.min("created_at").alias("first_seen_at"),
-            F.max("created_at").alias("last_seen_at"))
-    if name != "mode":
+    if name not in ("min", "mode"):
         raise ValueError(f"unknown name rule {name!r}")
-    # Count per name first: what is left per SKU is one row per distinct name.
+    # Per name first, which hash aggregation can do: a string in a min or max buffer would sort all lines.
     per_name = silver.groupBy(*ITEM_KEY, "line_item_name").agg(
         F.count(F.lit(1)).alias("n"), F.min("created_at").alias("first"), F.max("created_at").alias("last"))
+    if name == "min":
+        return per_name.groupBy(*ITEM_KEY).agg(
+            F.min("line_item_name").alias("line_item_name"),
+            F.min("first").alias("first_seen_at"), F.max("last").alias("last_seen_at"))
     best = F.min(F.when(F.col("line_item_name").isNotNull(),
                         F.struct((-F.col("n")).alias("n"), F.col("line_item_name").alias("name"))))
     return per_name.groupBy(*ITEM_KEY).agg(
@@ -39,9 +38,11 @@ def join_cogs(lines: DataFrame, cogs: DataFrame) -> DataFrame:
     """Lines with their costs; a SKU without costs gets 0, no line is dropped.
 
     No broadcast is forced: the planner broadcasts the costs when their measured size allows,
-    otherwise the sort-merge join can be split on a hot (merchant, SKU).
+    otherwise the sort-merge join can be split on a hot (merchant, SKU).  Several cost rows of one
+    SKU count as their largest, so they double no line; `check_cogs` reports them.
     """
-    costs = cogs.select(*ITEM_KEY, "recipe_cost", "packaging_cost")
+    costs = cogs.groupBy(*ITEM_KEY).agg(
+        F.max("recipe_cost").alias("recipe_cost"), F.max("packaging_cost").alias("packaging_cost"))
     return lines.join(costs, ITEM_KEY, "left").withColumns({
         "recipe_cost": F.coalesce("recipe_cost", F.lit(0)).cast("bigint"),
         "packaging_cost": F.coalesce("packaging_cost", F.lit(0)).cast("bigint"),
@@ -69,25 +70,26 @@ def fact_financial_sales(
 
 
 def allocated_fact(
-    silver: DataFrame, cogs: DataFrame, rate: Decimal | str = COMMISSION_RATE, hot_rows: int = HOT_ROWS
+    silver: DataFrame, cogs: DataFrame, rate: Decimal | str = COMMISSION_RATE, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """The fact with the order total and its commission split over the lines.
+    """The fact with the order total and its commission split over the lines, and the units sold.
 
     The weight is quantity * unit price; costs are charged per unit sold.  Sums over the lines of
-    an order give its total, its commission and its margin exactly.
+    an order give its total, its commission and its margin exactly.  `keep` names further line
+    columns to carry along; nothing else is read.
     """
-    weighted = silver.withColumn(
-        "_value", F.coalesce(F.col("line_item_qty").cast("bigint") * F.col("line_item_unit_price"), F.lit(0)))
     key = ["merchant_id", "order_id", "source_marketplace"]
-    split = allocate(
-        weighted.withColumn("_order_fee", commission("total_amount", rate)),
-        {"_gross": "total_amount", "_fee": "_order_fee"}, "_value", key,
-        ["line_item_no", "line_item_sku", "_value"], hot_rows)
+    narrow = silver.select(
+        *key, "line_item_no", "line_item_sku", "line_item_qty", "created_at", *keep, "total_amount",
+        F.coalesce(F.col("line_item_qty").cast("bigint") * F.col("line_item_unit_price"), F.lit(0)).alias("_value"),
+        commission("total_amount", rate).alias("_order_fee"))
+    split = allocate(narrow, {"_gross": "total_amount", "_fee": "_order_fee"}, "_value", key,
+                     ["line_item_no", "line_item_sku", "_value"])
     costed = join_cogs(split, cogs)
     qty = F.col("line_item_qty").cast("bigint")
     recipe, packaging = qty * F.col("recipe_cost"), qty * F.col("packaging_cost")
     return costed.select(
-        *key, "line_item_no", "line_item_sku", "created_at",
+        *key, "line_item_no", "line_item_sku", qty.alias("units_sold"), "created_at", *keep,
         F.col("_gross").alias("gross_order_value"),
         F.col("_fee").alias("estimated_marketplace_commission"),
         recipe.alias("calculated_recipe_cogs"),

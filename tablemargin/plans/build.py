@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import uuid
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -10,17 +13,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tablemargin.functions.money import COMMISSION_RATE
 from tablemargin.operators import quality
 from tablemargin.operators.flatten import ORDER_KEY, conform_lines, flatten_orders, order_headers
-from tablemargin.operators.incremental import incremental_filter, latest_run_wins
-from tablemargin.operators.merge import last_edits, merge_replace
+from tablemargin.operators.incremental import latest_run_wins
+from tablemargin.operators.merge import last_edits, merge_replace, without_keys
 from tablemargin.operators.reports import silver_reports
 from tablemargin.operators.settlement import fact_with_settlement, settlement_reconciliation
-from tablemargin.operators.star import ITEM_KEY, dim_menu_catalog, fact_financial_sales, recompute_affected
+from tablemargin.operators.star import (
+    ITEM_KEY, allocated_fact, dim_menu_catalog, fact_financial_sales, recompute_affected)
 from tablemargin.schemas import COGS_LEDGER, SILVER_ORDERS, SILVER_REPORTS
+from tablemargin.session import scratch_scope
 from tablemargin.sources.cogs import cogs_in_minor_units
-from tablemargin.sources.tables import exists, replace_table, stage
+from tablemargin.sources.tables import delete_path, exists, read_text, replace_table, stage, write_table, write_text
 
 # Build order; a model only reads those before it.
-MODELS = ("silver_orders", "silver_reports", "dim_menu_catalog", "fact_financial_sales")
+MODELS = ("silver_orders", "silver_reports", "dim_menu_catalog", "fact_financial_sales", "served_fact")
+# Models that take up what the line and report tables changed, each at its own pace.
+FOLLOWERS = ("dim_menu_catalog", "fact_financial_sales", "served_fact")
+MONTH = ["merchant_id", "target_month"]
+# How long before a build its landing files may have been listed, or a file's time lie before it shows.
+OVERLAP = dt.timedelta(days=1)
 
 
 @dataclass(frozen=True)
@@ -43,12 +53,24 @@ class Warehouse:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(model))
 
-    def served_fact(self) -> DataFrame:
-        """The sales fact with its part of each day's payout and variance, as the figures need it."""
-        headers = order_headers(self.read("silver_orders", SILVER_ORDERS))
-        recon = settlement_reconciliation(
-            headers, self.read("silver_reports", SILVER_REPORTS), self.rate, day="target_date")
-        return fact_with_settlement(self.read("fact_financial_sales"), recon, day="target_date")
+    def landing_mark(self) -> str | None:
+        """For `read_bronze(..., modified_after=...)`: a day before the last build began.
+
+        Files from that day on are opened again, and those that were processed then are left out by name.
+        """
+        path = f"{self.root}/_progress/landing_mark.json"
+        return json.loads(read_text(self.spark, path))["mark"] if exists(self.spark, path) else None
+
+    def costs(self, seed: DataFrame | None) -> DataFrame:
+        """The saved costs in minor units; the seed fills in for items without any."""
+        saved = None
+        if exists(self.spark, self.path("merchant_cogs")):
+            saved = cogs_in_minor_units(self.read("merchant_cogs", COGS_LEDGER))
+        if seed is None or saved is None:
+            if seed is None and saved is None:
+                raise ValueError("costs are needed: pass `cogs` or save some first")
+            return saved if seed is None else seed
+        return saved.unionByName(without_keys(seed.select(saved.columns), saved, ITEM_KEY))
 
     def laid_out(self, df: DataFrame, day: str) -> DataFrame:
         """Rows with the partition columns they lack."""
@@ -65,14 +87,30 @@ def build(
     """Build the selected models in order and return the results of all checks run.
 
     Each model is staged and checked; a failed error check raises before its table changes.
-    Without `full_refresh` only landing rows newer than a merchant's last run are processed and
-    merged by key; with it the tables are rebuilt beside the old ones and swapped.  `stores`
-    (merchant_id, store_tz) gives each merchant its own calendar day, otherwise `wh.tz` applies.
+    Without `full_refresh` new landing files are processed and merged by key; with it the tables
+    are rebuilt beside the old ones and swapped.  `stores` (merchant_id, store_tz) gives each
+    merchant its own calendar day, otherwise `wh.tz` applies.
+
+    Nothing is lost between builds.  Landing files are remembered by path once their orders are
+    merged, so a file that arrives late, or a second one of the same second, is processed when it
+    comes; documents without a `landing_file` are merged again each time.  An older run never
+    replaces a newer one, and an order whose latest run has no items loses its lines, for good.
+    What a merge is about to change is logged first, and each model that follows the line and
+    report tables takes up all changes it has not yet taken up: a build that stopped half way, or
+    built only some models, is caught up by the next.
     """
+    with scratch_scope(wh.spark):
+        found = _build(wh, orders, enqueue, result, cogs, stores, select, full_refresh)
+        # A row for each check: they stay when what was staged goes.
+        return wh.spark.createDataFrame(found.collect(), found.schema)
+
+
+def _build(wh, orders, enqueue, result, cogs, stores, select, full_refresh) -> DataFrame:
     chosen = set(select or MODELS)
     unknown = chosen - set(MODELS)
     if unknown:
         raise ValueError(f"unknown models {sorted(unknown)}")
+    began = dt.datetime.now(dt.timezone.utc) - OVERLAP
     results: list[DataFrame] = []
 
     def checked(found: DataFrame) -> None:
@@ -80,62 +118,161 @@ def build(
         quality.enforce(found)
         results.append(found)
 
-    changed = None
-    if "silver_orders" in chosen:
-        # Parsing nested JSON is the expensive part, so it happens once.
-        flat = stage(_new_orders(wh, orders, full_refresh), "orders")
-        latest, tz = _zoned(wh, latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), stores, "merchant_id")
-        changed = stage(conform_lines(latest, wh.salt, tz), "lines")
-        checked(quality.check_silver_orders(changed))
-        _save(wh, "silver_orders", wh.laid_out(changed, "target_date"), ORDER_KEY,
-              list(wh.order_partitions), full_refresh)
+    if "silver_orders" in chosen and orders is not None:
+        _build_orders(wh, orders, stores, full_refresh, checked)
+        write_text(wh.spark, f"{wh.root}/_progress/landing_mark.json", json.dumps({"mark": began.strftime("%Y-%m-%dT%H:%M:%S")}))
     if "silver_reports" in chosen and enqueue is not None:
         enqueue, tz = _zoned(wh, enqueue, stores, "path_merchant_id")
         reports = stage(silver_reports(enqueue, result, tz), "reports")
         checked(quality.check_silver_reports(reports))
+        # Only jobs that are new or differ change the table; the others would rewrite every partition.
+        if not full_refresh and exists(wh.spark, wh.path("silver_reports")):
+            reports = stage(reports.exceptAll(wh.read("silver_reports", SILVER_REPORTS).select(reports.columns)), "changed-reports")
+        _log_change(wh, reports.select("merchant_id", F.trunc("report_date", "month").alias("target_month")))
         _save(wh, "silver_reports", reports, ["job_id"], ["merchant_id"], full_refresh)
-    if not chosen & {"dim_menu_catalog", "fact_financial_sales"}:
+    if not chosen & set(FOLLOWERS) or not exists(wh.spark, wh.path("silver_orders")):
         return _union(results)
 
     silver = wh.read("silver_orders", SILVER_ORDERS)
     if "dim_menu_catalog" in chosen:
-        source = silver
-        if changed is not None and not full_refresh:
-            # Only merchants with new lines can have new names or seen times.
-            source = silver.join(changed.select("merchant_id").distinct(), "merchant_id", "left_semi")
+        changed, done = _pending(wh, "dim_menu_catalog", full_refresh)
+        # Only merchants with changed lines can have changed names or seen times.
+        source = silver if changed is None else silver.join(changed.select("merchant_id").distinct(), "merchant_id", "left_semi")
         dim = stage(dim_menu_catalog(source), "dim")
         checked(quality.check_dim(dim))
-        _save(wh, "dim_menu_catalog", dim, ["merchant_id"], ["merchant_id"], full_refresh)
+        clear = None if changed is None else changed.select("merchant_id").dropna()
+        _save(wh, "dim_menu_catalog", dim, ["merchant_id"], ["merchant_id"], changed is None, clear)
+        done()
+    if chosen & {"fact_financial_sales", "served_fact"}:
+        costs = stage(wh.costs(cogs), "costs")
+        checked(quality.check_cogs(costs))
     if "fact_financial_sales" in chosen:
-        lines = changed if changed is not None and not full_refresh else silver
+        changed, done = _pending(wh, "fact_financial_sales", full_refresh)
+        keys = None if changed is None else stage(changed.where("order_id is not null").select(*ORDER_KEY).distinct(), "changed-orders")
+        lines = silver if keys is None else silver.join(keys, ORDER_KEY, "left_semi")
         fact = stage(wh.laid_out(
-            fact_financial_sales(lines, cogs, wh.rate, keep=("target_date",)), "target_date"), "fact")
+            fact_financial_sales(lines, costs, wh.rate, keep=("target_date",)), "target_date"), "fact")
         checked(quality.check_fact(fact))
-        _save(wh, "fact_financial_sales", fact, ORDER_KEY, list(wh.order_partitions), full_refresh)
+        _save(wh, "fact_financial_sales", fact, ORDER_KEY, list(wh.order_partitions), changed is None, keys)
+        done()
+    if "served_fact" in chosen:
+        changed, done = _pending(wh, "served_fact", full_refresh)
+        months = None if changed is None else stage(changed.select(*MONTH).distinct(), "changed-months")
+        _save(wh, "served_fact", stage(_served(wh, silver, costs, months), "served"), MONTH, MONTH, changed is None, months)
+        done()
     return _union(results)
 
 
+def _build_orders(wh: Warehouse, orders: DataFrame, stores: DataFrame | None, full_refresh: bool, checked) -> None:
+    """Merge the orders of all landing files that were not merged before."""
+    known = "landing_file" in orders.columns
+    if known and not full_refresh and exists(wh.spark, wh.path("_progress/orders")):
+        # Before the documents are parsed: the join is on the file's name alone.
+        orders = orders.join(wh.read("_progress/orders", "landing_file string"), "landing_file", "left_anti")
+    # Parsing nested JSON is the expensive part, so it happens once.
+    landed = stage(orders, "landed")
+    checked(quality.check_landing(landed))
+    flat = stage(flatten_orders(landed), "orders")
+    latest, tz = _zoned(wh, latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), stores, "merchant_id")
+    emptied_path = wh.path("_progress/emptied_orders")
+    run_schema = "merchant_id string, order_id string, source_marketplace string, run_timestamp_utc timestamp_ntz"
+    heads = stage(latest.select(*ORDER_KEY, "run_timestamp_utc", (F.coalesce(F.size("items"), F.lit(0)) <= 0).alias("empty"),
+                                F.trunc(F.coalesce("created_at", F.lit("1970-01-01").cast("timestamp_ntz")), "month").alias("target_month")), "order-heads")
+    lines = conform_lines(latest, wh.salt, tz)
+    if not full_refresh and exists(wh.spark, emptied_path):
+        # An order that a later run emptied stays empty when an older run arrives.
+        gone = wh.read("_progress/emptied_orders", run_schema).withColumnRenamed("run_timestamp_utc", "_gone")
+        late = heads.join(gone.groupBy(*ORDER_KEY).agg(F.max("_gone").alias("_gone")), ORDER_KEY).where("_gone > run_timestamp_utc")
+        lines = without_keys(lines, stage(late.select(*ORDER_KEY), "late-orders"), ORDER_KEY)
+    lines = stage(lines, "lines")
+    checked(quality.check_silver_orders(lines))
+    clear = heads.where("empty").select(*ORDER_KEY, "run_timestamp_utc")
+    laid_out = wh.laid_out(lines, "target_date")
+    if full_refresh:
+        for old in ("_progress", "_changes"):
+            delete_path(wh.spark, wh.path(old))
+        replace_table(laid_out, wh.path("silver_orders"), list(wh.order_partitions))
+    else:
+        before = None
+        if exists(wh.spark, wh.path("silver_orders")):
+            # The months that orders leave change, too.
+            before = wh.read("silver_orders", SILVER_ORDERS).join(heads.select(*ORDER_KEY), ORDER_KEY, "left_semi").select(
+                *ORDER_KEY, F.trunc("target_date", "month").alias("target_month"))
+        after = lines.select(*ORDER_KEY, F.trunc("target_date", "month").alias("target_month"))
+        touched = after if before is None else after.unionByName(before)
+        _log_change(wh, touched.unionByName(heads.where("empty").select(*ORDER_KEY, F.lit(None).cast("date").alias("target_month"))).distinct())
+        merge_replace(wh.path("silver_orders"), laid_out, ORDER_KEY, list(wh.order_partitions), evolve=True,
+                      version="run_timestamp_utc", clear=clear)
+    write_table(clear, emptied_path, mode="append")
+    if known:
+        write_table(landed.select("landing_file").distinct(), wh.path("_progress/orders"), mode="append")
+
+
+def _log_change(wh: Warehouse, rows: DataFrame) -> None:
+    """Write down what is about to change: orders (by key and month) or months of a merchant."""
+    if "order_id" not in rows.columns:
+        rows = rows.withColumns({"order_id": F.lit(None).cast("string"), "source_marketplace": F.lit(None).cast("string")})
+    write_table(rows.select(*ORDER_KEY, "target_month"), f"{wh.path('_changes')}/batch={uuid.uuid4().hex}")
+
+
+def _pending(wh: Warehouse, model: str, full_refresh: bool):
+    """The logged changes that `model` has not taken up (None: everything), and how to note that it has."""
+    changes = wh.path("_changes")
+    schema = "order_id string, source_marketplace string, merchant_id string, target_month date, batch string"
+    rows = wh.spark.createDataFrame([], schema)
+    if exists(wh.spark, changes):
+        rows = wh.spark.read.schema(schema).parquet(changes)
+    batches = stage(rows.select("batch").distinct(), "batches")
+    taken = wh.path(f"_progress/{model}")
+
+    def done() -> None:
+        write_table(batches, taken)
+
+    if full_refresh or not exists(wh.spark, wh.path(model)) or not exists(wh.spark, taken):
+        return None, done
+    before = wh.spark.read.schema("batch string").parquet(taken)
+    # Staged, so that noting it down later cannot change what is read here.
+    return stage(rows.join(batches, "batch", "left_semi").join(before, "batch", "left_anti"), "pending"), done
+
+
+def _served(wh: Warehouse, silver: DataFrame, costs: DataFrame, months: DataFrame | None) -> DataFrame:
+    """Sales with order totals split over their lines and each day's payout and variance split over its lines.
+
+    Only the given months of merchants, each of them whole: a payout belongs to a day.
+    """
+    lines = silver.withColumn("target_month", F.trunc("target_date", "month"))
+    reports = None
+    if exists(wh.spark, wh.path("silver_reports")):
+        reports = wh.read("silver_reports", SILVER_REPORTS).withColumn("target_month", F.trunc("report_date", "month"))
+    else:
+        reports = wh.spark.createDataFrame([], SILVER_REPORTS).withColumn("target_month", F.trunc("report_date", "month"))
+    if months is not None:
+        lines, reports = (x.join(months, MONTH, "left_semi") for x in (lines, reports))
+    lines = stage(lines, "served-lines")
+    recon = settlement_reconciliation(order_headers(lines), reports, wh.rate, day="target_date")
+    fact = allocated_fact(lines, costs, wh.rate, keep=("target_date", "target_month"))
+    return fact_with_settlement(fact, recon, day="target_date")
+
+
 def save_costs(wh: Warehouse, edits: DataFrame) -> None:
     """Save a batch of cost edits to the ledger and recompute the margins of what they touch.
 
     `edits` has the ledger's columns, in major units; the last edit of a (merchant, SKU) wins.
     """
-    edits = stage(last_edits(edits), "cost-edits")
+    with scratch_scope(wh.spark):
+        _save_costs(wh, stage(last_edits(edits), "cost-edits"))
+
+
+def _save_costs(wh: Warehouse, edits: DataFrame) -> None:
     merge_replace(wh.path("merchant_cogs"), edits, ITEM_KEY, ["merchant_id"], keys_move=False)
-    affected = recompute_affected(
-        wh.read("silver_orders", SILVER_ORDERS), cogs_in_minor_units(wh.read("merchant_cogs", COGS_LEDGER)),
-        edits, wh.rate, keep=("target_date",))
+    silver, ledger = wh.read("silver_orders", SILVER_ORDERS), cogs_in_minor_units(wh.read("merchant_cogs", COGS_LEDGER))
+    affected = recompute_affected(silver, ledger, edits, wh.rate, keep=("target_date",))
     merge_replace(
         wh.path("fact_financial_sales"), wh.laid_out(affected, "target_date"), [*ORDER_KEY, "line_item_no"],
         list(wh.order_partitions), keys_move=False)
-
-
-def _new_orders(wh: Warehouse, orders: DataFrame, full_refresh: bool) -> DataFrame:
-    flat = flatten_orders(orders)
-    if full_refresh or not exists(wh.spark, wh.path("silver_orders")):
-        return flat
-    held = wh.read("silver_orders", SILVER_ORDERS)
-    return incremental_filter(flat, held, "run_timestamp_utc", per=["merchant_id"])
+    # The served sales take the new costs up with the next build.
+    sold = silver.join(edits.select(*ITEM_KEY), ITEM_KEY, "left_semi")
+    _log_change(wh, sold.select("merchant_id", F.trunc("target_date", "month").alias("target_month")).distinct())
 
 
 def _zoned(
@@ -144,20 +281,24 @@ def _zoned(
     """`df` with its merchants' time zones, and the zone to use."""
     if stores is None:
         return df, wh.tz
-    zones = stores.select(F.col("merchant_id").alias(merchant), "store_tz")
+    # One zone for each merchant, whatever the list holds.
+    zones = stores.groupBy(F.col("merchant_id").alias(merchant)).agg(F.min("store_tz").alias("store_tz"))
     return df.join(zones, merchant, "left"), F.coalesce("store_tz", F.lit(wh.tz))
 
 
 def _save(
-    wh: Warehouse, model: str, rows: DataFrame, keys: list[str], partitions: list[str], full_refresh: bool
+    wh: Warehouse, model: str, rows: DataFrame, keys: list[str], partitions: list[str], full_refresh: bool,
+    clear: DataFrame | None = None,
 ) -> None:
     if full_refresh:
         replace_table(rows, wh.path(model), partitions)
     else:
-        merge_replace(wh.path(model), rows, keys, partitions)
+        merge_replace(wh.path(model), rows, keys, partitions, evolve=True, clear=clear)
 
 
 def _union(results: list[DataFrame]) -> DataFrame:
+    if not results:
+        raise ValueError("nothing to build: the selected models have no input")
     out = results[0]
     for more in results[1:]:
         out = out.unionByName(more)

@@ -16,7 +16,7 @@ from tablemargin.plans.shared_tables import FIRST_RUN, SALT, SECOND_RUN, landing
 from tablemargin.session import scratch_path
 from tablemargin.sources import bronze as bronze_source
 from tablemargin.sources.bronze import incomplete_pages, read_bronze, validate_landing, write_bronze, write_report_pair
-from tablemargin.sources.cogs import cogs_in_minor_units
+from tablemargin.sources.cogs import cogs_in_minor_units, read_cogs_seed
 from tablemargin.sources.tables import read_table, write_table
 
 _TODAY = dt.date(2001, 6, 1)
@@ -89,25 +89,29 @@ def landing_round_trip(t):
         "line_item_qty", "run_timestamp_utc")
 
 
-@query("""SELECT job_id, merchant_id, day AS report_date, result_status, gross AS gross_sales_amount,
-                 net AS net_payout_amount
-          FROM jobs WHERE d % 10 <> 1""", ("jobs",))
+@query("""SELECT job_id, merchant_id, CASE WHEN d % 10 <> 1 THEN day
+                   ELSE make_date(CAST(extract(year FROM day) - extract(year FROM day) % 4 AS INTEGER), 1, 1) END AS report_date,
+                 CASE WHEN d % 10 <> 1 THEN result_status ELSE 'PENDING' END AS result_status,
+                 CASE WHEN d % 10 <> 1 THEN gross END AS gross_sales_amount,
+                 CASE WHEN d % 10 <> 1 THEN net END AS net_payout_amount
+          FROM jobs""", ("jobs",))
 def report_pair_round_trip(t):
-    """Requests and results landed together, read back and joined."""
+    """Requests and results landed together, read back and joined; a pending job's result holds no figures yet."""
     root = scratch_path(t.spark, "report-pairs")
     iso = lambda c: F.concat(F.replace(c.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
     money = lambda c: F.struct(F.col(c).alias("amount"), F.col("currency"))
     start = F.col("day").cast("timestamp_ntz")
-    jobs = t.report_jobs().where(F.col("d") % 10 != 1).select(
+    ready = F.col("d") % 10 != 1
+    jobs = t.report_jobs().select(
         "merchant_id", landing_date(F.col("day")).alias("target_date"),
         F.lit(str(FIRST_RUN)).cast("timestamp_ntz").alias("run_timestamp_utc"),
         F.to_json(F.struct(F.col("job_id").alias("jobId"))).alias("request_payload"),
         F.to_json(F.struct(
-            F.col("job_id").alias("jobId"), F.col("result_status").alias("status"),
-            F.struct(F.col("merchant_id").alias("store_id"), iso(start).alias("period_start"),
+            F.col("job_id").alias("jobId"), F.when(ready, F.col("result_status")).otherwise("PENDING").alias("status"),
+            F.when(ready, F.struct(F.col("merchant_id").alias("store_id"), iso(start).alias("period_start"),
                      iso(F.timestamp_add("SECOND", F.lit(86399), start)).alias("period_end"),
                      F.struct(money("gross").alias("gross_sales"), money("net").alias("net_payout"))
-                     .alias("totals")).alias("result"))).alias("result_payload"))
+                     .alias("totals"))).alias("result"))).alias("result_payload"))
     write_report_pair(jobs, root)
     reports = silver_reports(
         read_bronze(t.spark, root, "reports_enqueue"), read_bronze(t.spark, root, "reports_result"))
@@ -128,17 +132,33 @@ def strip_provenance(t):
     return bronze_source.strip_provenance(tagged)
 
 
-@query("""SELECT merchant_id, CAST(extract(year FROM created_at) AS INTEGER) AS order_year, count(*) AS orders,
-                 CAST(sum(total_amount) AS BIGINT) AS gross
-          FROM hdr WHERE merchant_id = 'store_007' GROUP BY ALL""", ("hdr",))
+@query("SELECT *, CAST(extract(year FROM created_at) AS INTEGER) AS order_year FROM hdr", ("hdr",))
 def materialized_table(t):
-    """Written as partitioned Parquet and read back for one tenant."""
+    """Written as partitioned Parquet and read back."""
     path = scratch_path(t.spark, "headers")
     held = t.headers().withColumn("order_year", F.year("created_at"))
     write_table(held, path, ["merchant_id", "order_year"])
-    return read_table(t.spark, path, held.schema).where(F.col("merchant_id") == "store_007").groupBy(
-        "merchant_id", "order_year").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("gross"))
+    return read_table(t.spark, path, held.schema)
+
+
+@query("""SELECT 'store_' || lpad(CAST(o_custkey % 20 AS VARCHAR), 3, '0') AS path_merchant_id, order_id, total_amount + extra AS total_amount, run
+          FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN 100 ELSE 0 END AS extra, 1 AS run FROM dochdr
+                UNION ALL SELECT *, 0, 2 FROM dochdr WHERE o_orderkey % 3 = 0)""", ("dochdr",))
+def landing_as_table(t):
+    """Documents kept in a catalog table of their own and read by name."""
+    t.bronze_orders().write.mode("overwrite").option("path", scratch_path(t.spark, "landed-documents")).saveAsTable(
+        "landed_order_documents")
+    run = F.when(F.col("run_timestamp_utc") == str(FIRST_RUN), 1).otherwise(2).alias("run")
+    read = read_bronze(t.spark, "landed_order_documents", "orders", "table")
+    return flatten_orders(read).select("path_merchant_id", "order_id", "total_amount", run)
+
+
+@query("SELECT * FROM cogs", ("cogs",))
+def cogs_seed(t):
+    """Costs written as CSV with a header and read with the seed's schema."""
+    path = scratch_path(t.spark, "cogs-seed")
+    t.cogs().write.option("header", True).csv(path)
+    return read_cogs_seed(t.spark, path)
 
 
 @query("""SELECT order_id, source_marketplace, merchant_id, CAST(created_at AS DATE) AS target_date,

@@ -6,12 +6,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tablemargin.operators import flatten, merge, star
-from tablemargin.plans.build import Warehouse, build
+from tablemargin.operators import flatten, merge, quality, star
+from tablemargin.plans.build import Warehouse, build, save_costs
 from tablemargin.plans.registry import query
 from tablemargin.plans.shared_tables import FIRST_RUN, SALT
 from tablemargin.session import scratch_path
-from tablemargin.sources.bronze import write_bronze
+from tablemargin.sources.bronze import read_bronze, write_bronze
 from tablemargin.sources.tables import replace_table, write_table
 from tablemargin.streaming.ingest import stream_bronze, stream_merge
 
@@ -159,24 +159,59 @@ def cogs_recompute(t):
     return merge.replace_by_key(fact, star.recompute_affected(lines, updated, changed), key)
 
 
-@query("""SELECT source_marketplace, count(*) AS line_count, CAST(sum(gross_order_value) AS BIGINT) AS gross,
-                 CAST(sum(margin) AS BIGINT) AS margin
-          FROM (SELECT source_marketplace, total_amount AS gross_order_value,
-                       total_amount - CAST(round(total_amount * 0.15) AS BIGINT) - coalesce(recipe_cost, 0)
-                         - coalesce(packaging_cost, 0) AS margin
-                FROM docline LEFT JOIN cogs USING (merchant_id, line_item_sku)) GROUP BY 1""", ("docline", "cogs"))
+@query("SELECT * FROM docsettled", ("docsettled",))
 def incremental_build(t):
-    """Two builds, the second fed all documents again plus the later runs, equal one full build."""
-    root = scratch_path(t.spark, "warehouse")
-    wh = Warehouse(t.spark, root, SALT, order_partitions=("merchant_id",))
+    """All models built twice, the second time from all documents again plus the later runs and the reports."""
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), SALT, order_partitions=("merchant_id",))
     docs = t.bronze_orders()
-    build(wh, orders=docs.where(F.col("run_timestamp_utc") == str(FIRST_RUN)), cogs=t.cogs(),
-          select=["silver_orders"])
-    build(wh, orders=docs, cogs=t.cogs(), select=["silver_orders"])
-    fact = star.fact_financial_sales(wh.read("silver_orders"), t.cogs())
-    return fact.groupBy("source_marketplace").agg(
-        F.count(F.lit(1)).alias("line_count"), F.sum("gross_order_value").alias("gross"),
-        F.sum("true_net_payout_margin").alias("margin"))
+    build(wh, orders=docs.where(F.col("run_timestamp_utc") == str(FIRST_RUN)), cogs=t.cogs())
+    build(wh, orders=docs, cogs=t.cogs(), enqueue=t.bronze_enqueue(), result=t.bronze_result())
+    return wh.read("served_fact").drop("target_date", "target_month").select(
+        "merchant_id", "report_date", "order_id", "source_marketplace", "line_item_no", "line_item_sku", "units_sold", "created_at",
+        "gross_order_value", "estimated_marketplace_commission", "calculated_recipe_cogs", "packaging_cost",
+        "true_net_payout_margin", "variance_reason", "net_payout_amount", "settlement_variance_amount")
+
+
+@query("SELECT * FROM docfact", ("docfact",))
+def late_and_stopped_build(t):
+    """The later runs land first and their build stops after the lines; then the earlier runs arrive, in a file each."""
+    root = scratch_path(t.spark, "landing")
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), SALT, order_partitions=("merchant_id",))
+    docs = t.order_documents()
+    write_bronze(docs.where(F.col("run_timestamp_utc") != str(FIRST_RUN)), root)
+    build(wh, orders=read_bronze(t.spark, root, "orders"), select=["silver_orders"])
+    write_bronze(docs.where(F.col("run_timestamp_utc") == str(FIRST_RUN)), root)
+    build(wh, orders=read_bronze(t.spark, root, "orders"), cogs=t.cogs(), select=["silver_orders", "fact_financial_sales"])
+    return wh.read("fact_financial_sales").drop("target_date")
+
+
+@query("SELECT * FROM docfact", ("docfact",))
+def costs_saved_then_built(t):
+    """Costs saved to the ledger hold for orders that are built afterwards; the seed is only asked where none is saved."""
+    wh = Warehouse(t.spark, scratch_path(t.spark, "warehouse"), SALT, order_partitions=("merchant_id",))
+    docs = t.bronze_orders()
+    build(wh, orders=docs.where(F.col("run_timestamp_utc") == str(FIRST_RUN)), cogs=t.cogs().limit(0),
+          select=["silver_orders", "fact_financial_sales"])
+    save_costs(wh, t.cogs_ledger())
+    wrong = t.cogs().withColumn("recipe_cost", F.lit(1).cast("bigint"))
+    build(wh, orders=docs, cogs=wrong, select=["silver_orders", "fact_financial_sales"])
+    return wh.read("fact_financial_sales").drop("target_date")
+
+
+@query("""SELECT 'bronze_orders' AS table_name, 'document_parsed' AS check_name, 'error' AS severity,
+                 count_if(o_orderkey % 41 = 0) + count_if(o_orderkey % 41 = 0 AND o_orderkey % 3 = 0) AS failing_rows FROM dochdr
+          UNION ALL
+          SELECT 'bronze_orders', 'page_complete', 'warn',
+                 count_if(o_orderkey % 11 = 0 AND o_orderkey % 41 <> 0)
+                 + count_if(o_orderkey % 11 = 0 AND o_orderkey % 41 <> 0 AND o_orderkey % 3 = 0) FROM dochdr""", ("dochdr",))
+def landing_gate(t):
+    """Landed documents, some cut off half way: the build refuses them, and these are the checks it reads."""
+    root = scratch_path(t.spark, "landing")
+    key = F.get_json_object("payload", "$.orders[0].id")
+    cut = F.substring(key, 5, 20).cast("bigint") % 41 == 0
+    half = F.expr("left(payload, length(payload) div 2)")
+    write_bronze(t.order_documents().withColumn("payload", F.when(cut, half).otherwise(F.col("payload"))), root)
+    return quality.check_landing(read_bronze(t.spark, root, "orders"))
 
 
 @query("""SELECT order_id, merchant_id, source_marketplace, total_amount, CAST(extract(year FROM created_at) AS INTEGER)
@@ -200,3 +235,23 @@ def stream_ingest(t):
     return t.spark.read.schema(
         "order_id string, merchant_id string, total_amount bigint, run_timestamp_utc timestamp_ntz, "
         "source_marketplace string, order_year int").parquet(path)
+
+
+@query("""SELECT order_id, merchant_id, source_marketplace, total_amount, CAST(extract(year FROM created_at) AS INTEGER)
+            AS order_year, CASE WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2002-01-02 02:00:00'
+            ELSE TIMESTAMP '2002-01-01 02:00:00' END AS run_timestamp_utc FROM dochdr""", ("dochdr",))
+def stream_backlog(t):
+    """Both runs of an order in one micro-batch: one row, of the later run."""
+    root, path, checkpoint = (scratch_path(t.spark, n) for n in ("stream-landing", "stream-table", "stream-log"))
+
+    def headers(batch):
+        return flatten.flatten_orders(batch).select(
+            "order_id", "merchant_id", "source_marketplace", "total_amount",
+            F.year("created_at").alias("order_year"), "run_timestamp_utc")
+
+    write_bronze(t.order_documents(), root)
+    stream_merge(stream_bronze(t.spark, root, "orders"), path, flatten.ORDER_KEY, ["source_marketplace", "order_year"],
+                 checkpoint, headers, version="run_timestamp_utc").awaitTermination()
+    return t.spark.read.schema(
+        "order_id string, merchant_id string, total_amount bigint, run_timestamp_utc timestamp_ntz, "
+        "source_marketplace string, order_year int").parquet(path)

@@ -43,7 +43,11 @@ _LINE_CHECKS = [(f"not_null_{c}", "error", f"{c} IS NULL") for c in _LINE_NULLS]
     ("total_amount_not_zero", "warn", "total_amount = 0"),
     ("currency_three_letters", "warn", "NOT regexp_matches(total_currency, '^[A-Z]{3}$')"),
     ("merchant_id_well_formed", "warn", "NOT regexp_matches(merchant_id, '^[A-Za-z0-9_-]{1,64}$')")]
-_LINES_SQL = _sql_results("silver_orders", _LINE_CHECKS, "dirty")
+_LINES_SQL = _sql_results("silver_orders", _LINE_CHECKS, "dirty") + """
+    UNION ALL SELECT 'silver_orders', 'unique_order_id_source_marketplace_line_item_no', 'error', count(*) FROM
+      (SELECT 1 FROM dirty GROUP BY order_id, source_marketplace, line_item_no HAVING count(*) > 1)
+    UNION ALL SELECT 'silver_orders', 'unique_order_id_source_marketplace', 'error', count(*) FROM
+      (SELECT 1 FROM dirty WHERE line_item_no = 1 GROUP BY order_id, source_marketplace HAVING count(*) > 1)"""
 
 
 def _over_dirty(select: str) -> str:
@@ -53,8 +57,8 @@ def _over_dirty(select: str) -> str:
 
 @query(_over_dirty(_LINES_SQL), ("silver",))
 def quality_lines(t):
-    """Null, range, currency and id checks of the line table in one pass."""
-    return quality.run_checks(_dirty(t), "silver_orders", quality.silver_orders_checks())
+    """All checks of the line table: nulls, ranges, currency and ids in one pass, and uniqueness."""
+    return quality.check_silver_orders(_dirty(t))
 
 
 _REPORT_CHECKS = [(f"not_null_{c}", "error", f"{c} IS NULL") for c in
@@ -79,7 +83,9 @@ def quality_reports(t):
            (f"not_null_{c}", "error", f"{c} IS NULL") for c in
            ("merchant_id", "order_id", "source_marketplace", "line_item_sku")], "fact") + " UNION ALL "
        + _sql_results("merchant_cogs", [(f"not_null_{c}", "error", f"{c} IS NULL")
-                                        for c in ("merchant_id", "line_item_sku")], "cogs"), ("dim", "fact", "cogs"))
+                                        for c in ("merchant_id", "line_item_sku")], "cogs")
+       + """ UNION ALL SELECT 'merchant_cogs', 'unique_merchant_id_line_item_sku', 'error', count(*) FROM
+             (SELECT 1 FROM cogs GROUP BY merchant_id, line_item_sku HAVING count(*) > 1)""", ("dim", "fact", "cogs"))
 def quality_star(t):
     lines, cogs = t.lines(), t.cogs()
     return quality.check_dim(star.dim_menu_catalog(lines)).unionByName(

@@ -15,8 +15,13 @@ def _recon(t):
     return settlement.settlement_reconciliation(t.headers(), t.reports())
 
 
-def _settled(t):
-    return settlement.fact_with_settlement(star.fact_financial_sales(t.lines(), t.cogs()), _recon(t))
+def _settled(t, merchant_id=None):
+    """Allocated sales with their part of payout and variance; of one tenant, if named, from the inputs on."""
+    def fenced(df):
+        return df if merchant_id is None else serving.tenant(df, merchant_id=merchant_id)
+
+    recon = settlement.settlement_reconciliation(fenced(t.headers()), fenced(t.reports()))
+    return settlement.fact_with_settlement(star.allocated_fact(fenced(t.lines()), fenced(t.cogs())), recon)
 
 
 @query("SELECT * FROM recon", ("recon",))
@@ -29,12 +34,13 @@ def fact_with_settlement(t):
     return _settled(t)
 
 
-@query("""SELECT merchant_id, report_date, count(*) AS exceptions,
-                 CAST(sum(settlement_variance_amount) AS BIGINT) AS settlement_variance_amount,
-                 max(variance_reason) AS variance_reason
-          FROM recon WHERE variance_reason <> '' GROUP BY 1, 2""", ("recon",))
+@query("""SELECT merchant_id, report_date, variance_reason,
+                 count(DISTINCT (order_id, source_marketplace)) AS exceptions,
+                 CAST(sum(gross_order_value) AS BIGINT) AS gross_order_value,
+                 CAST(sum(settlement_variance_amount) AS BIGINT) AS settlement_variance_amount
+          FROM settled WHERE variance_reason <> '' GROUP BY 1, 2, 3""", ("settled",))
 def variance_by_settlement_date(t):
-    return settlement.variance_by_settlement_date(_recon(t))
+    return settlement.variance_by_settlement_date(_settled(t))
 
 
 @query("""SELECT order_id, source_marketplace, gross_order_value, net_payout_amount, settlement_variance_amount,
@@ -52,7 +58,7 @@ def variance_log(t):
                   coalesce(variance_reason, '') AS variance_reason
            FROM settled WHERE merchant_id = '{TENANT}'""", ("settled",))
 def list_fact_financial_sales(t):
-    return serving.list_fact_financial_sales(_settled(t), merchant_id=TENANT)
+    return serving.list_fact_financial_sales(_settled(t, TENANT), merchant_id=TENANT)
 
 
 _KPI = f"""SELECT %s gross_total, margin_total, commission_total,
@@ -68,7 +74,7 @@ _KPI = f"""SELECT %s gross_total, margin_total, commission_total,
 
 @query(_KPI % ("", "", f"WHERE merchant_id = '{TENANT}'"), ("settled",))
 def kpi_tenant(t):
-    return serving.kpis(serving.tenant(_settled(t), merchant_id=TENANT))
+    return serving.kpis(serving.tenant(_settled(t, TENANT), merchant_id=TENANT))
 
 
 @query(_KPI % ("merchant_id,", "merchant_id,", "GROUP BY merchant_id"), ("settled",))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tablemargin.operators import flatten, serving, star
+from tablemargin.operators import flatten, serving, settlement, star
 from tablemargin.plans.registry import query
-from tablemargin.plans.shared_tables import SALT, SECOND_RUN, sql_fee, sql_pct  # noqa: F401
+from tablemargin.plans.shared_tables import SALT, sql_pct
+from tablemargin.sources.tables import stage
 
 TENANT = "store_007"
 
@@ -29,22 +30,7 @@ def join_cogs(t):
         F.sum("packaging_cost").alias("packaging_cost"))
 
 
-@query(f"""SELECT merchant_id, order_id, source_marketplace, line_item_no, line_item_sku, created_at,
-                  gross AS gross_order_value, fee AS estimated_marketplace_commission,
-                  recipe AS calculated_recipe_cogs, packaging AS packaging_cost,
-                  gross - fee - recipe - packaging AS true_net_payout_margin
-           FROM (SELECT *, CAST(amount * run // total - amount * (run - w) // total AS BIGINT) AS gross,
-                        CAST(fees * run // total - fees * (run - w) // total AS BIGINT) AS fee,
-                        line_item_qty * coalesce(c.recipe_cost, 0) AS recipe,
-                        line_item_qty * coalesce(c.packaging_cost, 0) AS packaging
-                 FROM (SELECT *, CAST(line_item_qty * line_item_unit_price AS HUGEINT) AS w,
-                              CAST(total_amount AS HUGEINT) AS amount,
-                              CAST({sql_fee('total_amount')} AS HUGEINT) AS fees,
-                              sum(line_item_qty * line_item_unit_price) OVER (PARTITION BY order_id) AS total,
-                              sum(line_item_qty * line_item_unit_price) OVER (PARTITION BY order_id
-                                ORDER BY line_item_no, line_item_sku, line_item_qty * line_item_unit_price
-                                ROWS UNBOUNDED PRECEDING) AS run
-                       FROM silver) s LEFT JOIN cogs c USING (merchant_id, line_item_sku))""", ("silver", "cogs"))
+@query("SELECT * FROM alloc", ("alloc",))
 def allocated_fact(t):
     return star.allocated_fact(t.lines(), t.cogs())
 
@@ -109,10 +95,11 @@ def menu_engineering(t):
 @query(f"""SELECT *, {sql_pct('net_profit', 'gross_sales')} AS margin_pct,
                   net_profit * 100 < gross_sales * 84.5 AS below_target
            FROM (SELECT merchant_id, line_item_sku, CAST(sum(true_net_payout_margin) AS BIGINT) AS net_profit,
-                        count(*) AS line_count, CAST(sum(gross_order_value) AS BIGINT) AS gross_sales
-                 FROM fact GROUP BY 1, 2)""", ("fact",))
+                        count(*) AS line_count, CAST(sum(gross_order_value) AS BIGINT) AS gross_sales,
+                        CAST(sum(units_sold) AS BIGINT) AS units_sold
+                 FROM alloc GROUP BY 1, 2)""", ("alloc",))
 def menu_engineering_vs_target(t):
-    return serving.menu_engineering(fact(t), target_pct="84.5", by=["merchant_id"])
+    return serving.menu_engineering(star.allocated_fact(t.lines(), t.cogs()), target_pct="84.5", by=["merchant_id"])
 
 
 @query("""SELECT line_item_sku, CAST(sum(true_net_payout_margin) AS BIGINT) AS net_profit
@@ -121,14 +108,12 @@ def menu_engineering_top_k(t):
     return serving.menu_engineering(fact(t), k=25)
 
 
-@query("""SELECT s.source_marketplace, CAST(sum(total_amount) AS BIGINT) AS gross_sales,
-                 CAST(sum(total_amount - CAST(round(total_amount * 0.15) AS BIGINT)) AS BIGINT) AS net_payout,
-                 CAST(sum(total_amount - CAST(round(total_amount * 0.15) AS BIGINT) - coalesce(recipe_cost, 0)
-                      - coalesce(packaging_cost, 0)) AS BIGINT) AS true_profit
-          FROM docline s LEFT JOIN cogs USING (merchant_id, line_item_sku) GROUP BY 1""", ("docline", "cogs"))
+@query("""SELECT source_marketplace, CAST(sum(gross_order_value) AS BIGINT) AS gross_sales,
+                 CAST(sum(net_payout_amount) AS BIGINT) AS net_payout,
+                 CAST(sum(true_net_payout_margin) AS BIGINT) AS true_profit
+          FROM docsettled GROUP BY 1""", ("docsettled",))
 def documents_to_leakage(t):
-    """End to end: landed documents to lines, fact and profit per marketplace."""
-    lines = flatten.silver_orders(t.bronze_orders(), SALT)
-    sold = star.fact_financial_sales(lines, t.cogs()).withColumn(
-        "net_payout_amount", F.col("gross_order_value") - F.col("estimated_marketplace_commission"))
-    return serving.profit_leakage(sold)
+    """End to end: landed documents to lines, allocated sales, settled payout and profit per marketplace."""
+    lines = stage(flatten.silver_orders(t.bronze_orders(), SALT), "lines")
+    recon = settlement.settlement_reconciliation(flatten.order_headers(lines), t.reports())
+    return serving.profit_leakage(settlement.fact_with_settlement(star.allocated_fact(lines, t.cogs()), recon))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tablemargin.plans.shared_tables import SharedTables, sql_with
-from tablemargin.session import configure
+from tablemargin.session import own_session
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 def query(select: str | None = None, needs: tuple[str, ...] = ()) -> Callable:
     """Register a function of `SharedTables` under its name; `select` is its SQL counterpart."""
     def register(fn: Callable[[SharedTables], DataFrame]) -> Callable[[SharedTables], DataFrame]:
-        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(SharedTables(configure(spark), sf_dir))
+        QUERIES[fn.__name__] = lambda spark, sf_dir: fn(SharedTables(own_session(spark), sf_dir))
         if select is not None:
             ORACLES[fn.__name__] = sql_with(list(needs), select)
         return fn

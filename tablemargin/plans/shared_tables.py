@@ -15,16 +15,11 @@ from tablemargin.functions.money import commission
 from tablemargin.functions.naming import RUN_TIME_FORMAT
 from tablemargin.operators.flatten import with_salted_customer
 from tablemargin.schemas import BRONZE_ORDERS
-from tablemargin.sources.tables import input_bytes
 
 MERCHANTS = 20
 SALT = "pepper-for-tests"
 FIRST_RUN = dt.datetime(2002, 1, 1, 2, 0, 0)
 SECOND_RUN = dt.datetime(2002, 1, 2, 2, 0, 0)
-# Lines per order document; an order with more lands as several orders, `ord_5`, `ord_5-1`, ...
-PAGE_LINES = 500
-# Input sizes between which a table is worth spreading by hand.
-SPREAD_ABOVE, SPREAD_BELOW = 1 << 20, 128 << 20
 ZONES = ("UTC", "America/New_York", "America/Bogota", "Asia/Tokyo")
 
 
@@ -73,18 +68,7 @@ class SharedTables:
 
     @_once
     def table(self, name: str) -> DataFrame:
-        """The table, spread over all cores by its key where it is one small file.
-
-        Such a file holds a single row group, which one task would read and process alone.  Large
-        inputs bring their own splits and are never shuffled here.
-        """
-        path = f"{self.sf_dir}/{name}.parquet"
-        df = self.spark.read.parquet(path)
-        cores = self.spark.sparkContext.defaultParallelism
-        size = input_bytes(self.spark, path)
-        if SPREAD_ABOVE < size < SPREAD_BELOW and cores > 1:
-            return df.repartition(cores, df.columns[0])
-        return df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     @_once
     def headers(self) -> DataFrame:
@@ -156,31 +140,21 @@ class SharedTables:
     def order_documents(self) -> DataFrame:
         """Landed order documents: landing columns and the JSON payload.
 
-        An order's lines are nested in its document, at most about PAGE_LINES of them: an order
-        with more is cut into part orders by a hash of the line before they are collected, and
-        the explicit repartition sends the parts of one order to different tasks.  Orders whose
-        key is a multiple of 3 landed twice, first with a total that is 100 too high.
+        An order is one document, as a marketplace sends it, with all its lines and its total.  Orders
+        whose key is a multiple of 3 landed twice, first with a total that is 100 too high.
         """
         part = self.table("part").select(
             F.col("p_partkey").alias("l_partkey"), "p_name", cents(F.col("p_retailprice")).alias("price"))
-        raw = self.table("lineitem").select(
-            "l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("int").alias("l_quantity"),
-            "l_suppkey", cents(F.col("l_extendedprice")).alias("l_cents"))
-        large = raw.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > PAGE_LINES)
-        line = F.concat_ws("|", *[_text(F.col(c)) for c in raw.columns[1:]])
-        number = F.conv(F.substring(F.md5(line.cast("binary")), 1, 8), 16, 10).cast("bigint")
-        paged = raw.join(part, "l_partkey").join(large, "l_orderkey", "left").withColumn(
-            "page", F.when(F.col("n").isNull(), 0).otherwise(number % F.ceil(F.col("n") / PAGE_LINES)))
+        lines = self.table("lineitem").select(
+            "l_orderkey", "l_partkey", "l_linenumber", F.col("l_quantity").cast("int").alias("l_quantity")).join(part, "l_partkey")
         item = F.struct(
             F.concat(F.lit("SKU_"), _text(F.col("l_partkey"))).alias("sku"), F.col("p_name").alias("name"),
             F.col("l_quantity").alias("qty"),
             F.struct(F.col("price").alias("amount"), F.lit("USD").alias("currency")).alias("unit_price"))
         sortable = F.struct("l_partkey", "l_linenumber", "l_quantity", item.alias("item"))
-        nested = paged.repartition("l_orderkey", "page").groupBy("l_orderkey", "page").agg(
+        nested = lines.groupBy("l_orderkey").agg(
             F.transform(F.sort_array(F.collect_list(sortable)), lambda s: s["item"]).alias("items"))
-        orders = self.headers().join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn(
-            "order_id", F.when(F.col("page") > 0, F.concat_ws("-", "order_id", _text(F.col("page"))))
-            .otherwise(F.col("order_id")))
+        orders = self.headers().join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
         twice = F.array(F.struct(_ntz(FIRST_RUN).alias("run"), F.lit(100).alias("extra")),
                         F.struct(_ntz(SECOND_RUN).alias("run"), F.lit(0).alias("extra")))
         once = F.array(F.struct(_ntz(FIRST_RUN).alias("run"), F.lit(0).alias("extra")))
@@ -300,13 +274,12 @@ class SharedTables:
 
     @_once
     def polls(self) -> DataFrame:
-        """Twelve poll responses per report job."""
+        """Fourteen poll responses per report job."""
         k = F.get_json_object("props", "$.k").cast("int")
         kind = F.col("event_type")
         status = F.when((kind == "error") & (k < 30), "FAILED").when((kind == "signup") & (k < 10), "CANCELLED").when(
             (kind == "purchase") & (k < 20), "READY").otherwise("PENDING")
-        size = F.when(F.col("event_id") % 5 == 0, 0).otherwise(1)
-        return self.table("events").where(size == 1).select(
+        return self.table("events").select(
             F.concat(F.lit("job_"), _text(F.call_function("div", F.col("event_id"), F.lit(14)))).alias("job_id"),
             status.alias("status"), F.col("ts").alias("polled_at"))
 
@@ -338,6 +311,65 @@ def sql_pct(part: str, whole: str) -> str:
             f"WHEN {whole} IS NOT NULL THEN 0.0 END AS DOUBLE)")
 
 
+_ALLOC = """
+        SELECT merchant_id, order_id, source_marketplace, line_item_no, line_item_sku,
+               CAST(line_item_qty AS BIGINT) AS units_sold, created_at,
+               gross AS gross_order_value, fee AS estimated_marketplace_commission,
+               recipe AS calculated_recipe_cogs, packaging AS packaging_cost,
+               gross - fee - recipe - packaging AS true_net_payout_margin
+        FROM (SELECT *, CAST(amount * run // total - amount * (run - w) // total AS BIGINT) AS gross,
+                     CAST(fees * run // total - fees * (run - w) // total AS BIGINT) AS fee,
+                     line_item_qty * coalesce(c.recipe_cost, 0) AS recipe,
+                     line_item_qty * coalesce(c.packaging_cost, 0) AS packaging
+              FROM (SELECT *, CAST(line_item_qty * line_item_unit_price AS HUGEINT) AS w,
+                           CAST(total_amount AS HUGEINT) AS amount,
+                           CAST({fee} AS HUGEINT) AS fees,
+                           sum(line_item_qty * line_item_unit_price) OVER (PARTITION BY order_id) AS total,
+                           sum(line_item_qty * line_item_unit_price) OVER (PARTITION BY order_id
+                             ORDER BY line_item_no, line_item_sku, line_item_qty * line_item_unit_price
+                             ROWS UNBOUNDED PRECEDING) AS run
+                    FROM {lines}) s LEFT JOIN cogs c USING (merchant_id, line_item_sku))"""
+_RECON = """
+        SELECT coalesce(s.merchant_id, p.merchant_id) AS merchant_id,
+               coalesce(s.report_date, p.report_date) AS report_date,
+               order_count, order_gross, order_commission, order_gross - order_commission AS expected_net,
+               reported_gross, net_payout_amount,
+               order_gross - order_commission - net_payout_amount AS settlement_variance_amount,
+               CASE WHEN p.merchant_id IS NULL THEN 'MISSING_REPORT' WHEN s.merchant_id IS NULL THEN 'MISSING_ORDERS'
+                    WHEN cur <> 'USD' THEN 'CURRENCY_MISMATCH'
+                    WHEN ready < n OR net_payout_amount IS NULL THEN 'REPORT_NOT_READY'
+                    WHEN order_gross <> reported_gross THEN 'GROSS_MISMATCH'
+                    WHEN order_gross - order_commission > net_payout_amount THEN 'PAYOUT_SHORT'
+                    WHEN order_gross - order_commission < net_payout_amount THEN 'PAYOUT_OVER' ELSE '' END
+                 AS variance_reason
+        FROM (SELECT merchant_id, CAST(created_at AS DATE) AS report_date, count(*) AS order_count,
+                     CAST(sum(total_amount) AS BIGINT) AS order_gross,
+                     CAST(sum({fee}) AS BIGINT) AS order_commission
+              FROM {headers} GROUP BY 1, 2) s
+        FULL JOIN (SELECT merchant_id, report_date, count(*) AS n, count_if(result_status = 'READY') AS ready,
+                          CAST(sum(gross_sales_amount) AS BIGINT) AS reported_gross,
+                          CAST(sum(net_payout_amount) AS BIGINT) AS net_payout_amount,
+                          max(gross_sales_currency) AS cur
+                   FROM rep GROUP BY 1, 2) p
+          ON s.merchant_id = p.merchant_id AND s.report_date = p.report_date"""
+_SETTLED = """
+        SELECT merchant_id, report_date, order_id, source_marketplace, line_item_no, line_item_sku, units_sold, created_at,
+               gross_order_value, estimated_marketplace_commission, calculated_recipe_cogs, packaging_cost,
+               true_net_payout_margin, variance_reason,
+               CAST(sign(net) * (abs(net) * run // total - abs(net) * (run - w) // total) AS BIGINT)
+                 AS net_payout_amount,
+               CAST(sign(var) * (abs(var) * run // total - abs(var) * (run - w) // total) AS BIGINT)
+                 AS settlement_variance_amount
+        FROM (SELECT f.*, CAST(f.gross_order_value AS HUGEINT) AS w, r.report_date, r.variance_reason,
+                     CAST(r.net_payout_amount AS HUGEINT) AS net,
+                     CAST(r.settlement_variance_amount AS HUGEINT) AS var,
+                     sum(f.gross_order_value) OVER (PARTITION BY r.merchant_id, r.report_date) AS total,
+                     sum(f.gross_order_value) OVER (PARTITION BY r.merchant_id, r.report_date
+                       ORDER BY order_id, source_marketplace, line_item_no, line_item_sku, true_net_payout_margin
+                       ROWS UNBOUNDED PRECEDING) AS run
+              FROM {fact} f LEFT JOIN {recon} r
+                ON f.merchant_id = r.merchant_id AND CAST(f.created_at AS DATE) = r.report_date)"""
+
 # name -> (names it needs, SQL)
 SQL: dict[str, tuple[list[str], str]] = {
     "hdr": ([], f"""
@@ -359,24 +391,18 @@ SQL: dict[str, tuple[list[str], str]] = {
                sha256('{SALT}' || customer_name_hash) AS customer_name_hash_salted,
                sha256('{SALT}' || customer_phone_hash) AS customer_phone_hash_salted, store_tz, o_orderkey
         FROM hdr JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey"""),
-    "paged": ([], f"""
-        SELECT *, CASE WHEN n > {PAGE_LINES} THEN CAST('0x' || substr(md5(concat_ws('|', l_partkey, l_linenumber,
-                    CAST(l_quantity AS INTEGER), l_suppkey, {sql_cents('l_extendedprice')})), 1, 8) AS BIGINT)
-                  % CAST(ceil(n / {PAGE_LINES}.0) AS BIGINT) ELSE 0 END AS page
-        FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem)"""),
     # The orders and the lines of the landed documents.
-    "dochdr": (["hdr", "paged"], """
-        SELECT hdr.* REPLACE (order_id || CASE WHEN page > 0 THEN '-' || page ELSE '' END AS order_id),
-               coalesce(items, 0) AS item_count, page
-        FROM hdr LEFT JOIN (SELECT l_orderkey, page, CAST(count(*) AS INTEGER) AS items FROM paged GROUP BY 1, 2)
+    "dochdr": (["hdr"], """
+        SELECT hdr.*, coalesce(items, 0) AS item_count
+        FROM hdr LEFT JOIN (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS items FROM lineitem GROUP BY 1)
           ON l_orderkey = o_orderkey"""),
-    "docline": (["dochdr", "paged"], f"""
-        SELECT h.*, CAST(row_number() OVER (PARTITION BY l_orderkey, h.page
+    "docline": (["dochdr"], f"""
+        SELECT h.*, CAST(row_number() OVER (PARTITION BY l_orderkey
                       ORDER BY l_partkey, l_linenumber, l_quantity) AS INTEGER) AS line_item_no,
                'SKU_' || l_partkey AS line_item_sku, p_name AS line_item_name,
                CAST(l_quantity AS INTEGER) AS line_item_qty,
                {sql_cents('p_retailprice')} AS line_item_unit_price, 'USD' AS line_item_unit_currency
-        FROM dochdr h JOIN paged l ON l_orderkey = o_orderkey AND l.page = h.page
+        FROM dochdr h JOIN lineitem ON l_orderkey = o_orderkey
         JOIN part ON p_partkey = l_partkey"""),
     "cogs": ([], f"""
         SELECT {sql_merchant('m')} AS merchant_id, 'SKU_' || p_partkey AS line_item_sku,
@@ -392,6 +418,7 @@ SQL: dict[str, tuple[list[str], str]] = {
                s.total_amount - {sql_fee('s.total_amount')} - coalesce(c.recipe_cost, 0)
                  - coalesce(c.packaging_cost, 0) AS true_net_payout_margin
         FROM silver s LEFT JOIN cogs c ON s.merchant_id = c.merchant_id AND s.line_item_sku = c.line_item_sku"""),
+    "alloc": (["silver", "cogs"], _ALLOC.format(lines="silver", fee=sql_fee("total_amount"))),
     "dim": (["silver"], """
         SELECT merchant_id, line_item_sku, min(line_item_name) AS line_item_name,
                min(created_at) AS first_seen_at, max(created_at) AS last_seen_at
@@ -422,46 +449,19 @@ SQL: dict[str, tuple[list[str], str]] = {
                CASE WHEN d % 10 <> 1 THEN net END AS net_payout_amount,
                CASE WHEN d % 10 <> 1 THEN currency END AS net_payout_currency
         FROM jobs"""),
-    "recon": (["hdr", "rep"], f"""
-        SELECT coalesce(s.merchant_id, p.merchant_id) AS merchant_id,
-               coalesce(s.report_date, p.report_date) AS report_date,
-               order_count, order_gross, order_commission, order_gross - order_commission AS expected_net,
-               reported_gross, net_payout_amount,
-               order_gross - order_commission - net_payout_amount AS settlement_variance_amount,
-               CASE WHEN p.merchant_id IS NULL THEN 'MISSING_REPORT' WHEN s.merchant_id IS NULL THEN 'MISSING_ORDERS'
-                    WHEN cur <> 'USD' THEN 'CURRENCY_MISMATCH'
-                    WHEN ready < n OR net_payout_amount IS NULL THEN 'REPORT_NOT_READY'
-                    WHEN order_gross <> reported_gross THEN 'GROSS_MISMATCH'
-                    WHEN order_gross - order_commission > net_payout_amount THEN 'PAYOUT_SHORT'
-                    WHEN order_gross - order_commission < net_payout_amount THEN 'PAYOUT_OVER' ELSE '' END
-                 AS variance_reason
-        FROM (SELECT merchant_id, CAST(created_at AS DATE) AS report_date, count(*) AS order_count,
-                     CAST(sum(total_amount) AS BIGINT) AS order_gross,
-                     CAST(sum({sql_fee('total_amount')}) AS BIGINT) AS order_commission
-              FROM hdr GROUP BY 1, 2) s
-        FULL JOIN (SELECT merchant_id, report_date, count(*) AS n, count_if(result_status = 'READY') AS ready,
-                          CAST(sum(gross_sales_amount) AS BIGINT) AS reported_gross,
-                          CAST(sum(net_payout_amount) AS BIGINT) AS net_payout_amount,
-                          max(gross_sales_currency) AS cur
-                   FROM rep GROUP BY 1, 2) p
-          ON s.merchant_id = p.merchant_id AND s.report_date = p.report_date"""),
-    "settled": (["fact", "recon"], """
-        SELECT merchant_id, report_date, order_id, source_marketplace, line_item_no, line_item_sku, created_at,
-               gross_order_value, estimated_marketplace_commission, calculated_recipe_cogs, packaging_cost,
-               true_net_payout_margin, variance_reason,
-               CAST(sign(net) * (abs(net) * run // total - abs(net) * (run - w) // total) AS BIGINT)
-                 AS net_payout_amount,
-               CAST(sign(var) * (abs(var) * run // total - abs(var) * (run - w) // total) AS BIGINT)
-                 AS settlement_variance_amount
-        FROM (SELECT f.*, CAST(f.gross_order_value AS HUGEINT) AS w, r.report_date, r.variance_reason,
-                     CAST(r.net_payout_amount AS HUGEINT) AS net,
-                     CAST(r.settlement_variance_amount AS HUGEINT) AS var,
-                     sum(f.gross_order_value) OVER (PARTITION BY r.merchant_id, r.report_date) AS total,
-                     sum(f.gross_order_value) OVER (PARTITION BY r.merchant_id, r.report_date
-                       ORDER BY order_id, source_marketplace, line_item_no, line_item_sku, true_net_payout_margin
-                       ROWS UNBOUNDED PRECEDING) AS run
-              FROM fact f LEFT JOIN recon r
-                ON f.merchant_id = r.merchant_id AND CAST(f.created_at AS DATE) = r.report_date)"""),
+    "recon": (["hdr", "rep"], _RECON.format(headers="hdr", fee=sql_fee("total_amount"))),
+    "settled": (["alloc", "recon"], _SETTLED.format(fact="alloc", recon="recon")),
+    "docfact": (["docline", "cogs"], f"""
+        SELECT s.merchant_id, s.order_id, s.source_marketplace, s.line_item_no, s.line_item_sku, s.created_at,
+               s.total_amount AS gross_order_value, {sql_fee('s.total_amount')} AS estimated_marketplace_commission,
+               coalesce(c.recipe_cost, 0) AS calculated_recipe_cogs, coalesce(c.packaging_cost, 0) AS packaging_cost,
+               s.total_amount - {sql_fee('s.total_amount')} - coalesce(c.recipe_cost, 0)
+                 - coalesce(c.packaging_cost, 0) AS true_net_payout_margin
+        FROM docline s LEFT JOIN cogs c ON s.merchant_id = c.merchant_id AND s.line_item_sku = c.line_item_sku"""),
+    "docalloc": (["docline", "cogs"], _ALLOC.format(lines="docline", fee=sql_fee("total_amount"))),
+    "docrecon": (["docline", "rep"], _RECON.format(
+        headers="(SELECT * FROM docline WHERE line_item_no = 1)", fee=sql_fee("total_amount"))),
+    "docsettled": (["docalloc", "docrecon"], _SETTLED.format(fact="docalloc", recon="docrecon")),
     "runevents": ([], """
         SELECT 'run_' || (event_id // 2) AS run_id, 'cust_' || user_id AS merchant_id,
                'bronze_ingestion' AS pipeline_name,
@@ -497,8 +497,7 @@ SQL: dict[str, tuple[list[str], str]] = {
                CASE WHEN event_type = 'error' AND k < 30 THEN 'FAILED' WHEN event_type = 'signup' AND k < 10
                     THEN 'CANCELLED' WHEN event_type = 'purchase' AND k < 20 THEN 'READY' ELSE 'PENDING' END AS status,
                ts AS polled_at
-        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
-        WHERE event_id % 5 <> 0"""),
+        FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)"""),
 }
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,22 +40,54 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """A session beside the caller's with its SQL settings and our defaults; the caller's is left as it is."""
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    return configure(session)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can see, taken from `spark.checkpoint.dir`.
 
     Only a local session may go without that setting: its executors share the driver's disk,
-    so a fresh temporary folder is made once and remembered on the session.
+    so a fresh temporary folder is made once for the application.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    made = tempfile.mkdtemp(prefix="tablemargin-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _local_dirs:
+        _local_dirs[application] = tempfile.mkdtemp(prefix="tablemargin-")
+    return _local_dirs[application]
+
+
+_local_dirs: dict[str, str] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder; never reused, so a retry cannot see old files."""
-    return f"{shared_dir(spark)}/tablemargin-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tablemargin-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, so nothing that reads it may be handed out."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            hpath = jvm.org.apache.hadoop.fs.Path(path)
+            hpath.getFileSystem(conf).delete(hpath, True)

@@ -72,7 +72,9 @@ def write_report_pair(jobs: DataFrame, root: str) -> None:
         jobs.select("merchant_id", "target_date", "run_timestamp_utc", F.inline(both)), root)
 
 
-def read_bronze(spark: SparkSession, source: str, endpoint: str, layout: str = "landing") -> DataFrame:
+def read_bronze(
+    spark: SparkSession, source: str, endpoint: str, layout: str = "landing", modified_after: str | None = None
+) -> DataFrame:
     """Read one endpoint's documents with their landing columns.
 
     layout = "landing"  directories made by `write_bronze`
@@ -80,8 +82,10 @@ def read_bronze(spark: SparkSession, source: str, endpoint: str, layout: str = "
              "table"    `source` is a table whose columns are already those of the documents
 
     Adds merchant partition columns as `path_merchant_id`, `path_date`, `run_timestamp_utc`
-    ("landing" and "files").  Fields a document lacks are NULL; a document that does not parse
-    has its text in `_corrupt_record` (see `bronze_rejects`).
+    ("landing" and "files"), and `landing_file`, by which `build` knows what it has processed.
+    Fields a document lacks are NULL; a document that does not parse has its text in
+    `_corrupt_record` (see `bronze_rejects`).  With `modified_after` (a UTC time) files that are
+    older are not opened: see `Warehouse.landing_mark`.
     """
     if endpoint not in ENDPOINT_SCHEMAS:
         raise ValueError(f"unknown endpoint {endpoint!r}")
@@ -89,28 +93,31 @@ def read_bronze(spark: SparkSession, source: str, endpoint: str, layout: str = "
     if layout == "table":
         return spark.table(source)
     path_date = F.make_date("year", "month", "day").alias("path_date")
+    reader = spark.read
+    if modified_after:
+        reader = reader.options(modifiedAfter=modified_after, timeZone="UTC")
     if layout == "landing":
-        raw = spark.read.schema(
+        raw = reader.schema(
             "payload string, endpoint string, merchant_id string, year int, month int, day int, run_ts string"
         ).parquet(source).where(F.col("endpoint") == endpoint)
-        doc = F.from_json("payload", _with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
+        doc = F.from_json("payload", with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
         return raw.select(
             F.col("merchant_id").alias("path_merchant_id"), path_date,
             F.to_timestamp_ntz("run_ts", F.lit(RUN_TIME_FORMAT)).alias("run_timestamp_utc"),
-            doc.alias("doc"),
-        ).select("path_merchant_id", "path_date", "run_timestamp_utc", "doc.*")
+            F.col("_metadata.file_path").alias("landing_file"), doc.alias("doc"),
+        ).select("path_merchant_id", "path_date", "run_timestamp_utc", "landing_file", "doc.*")
     if layout == "files":
-        files = spark.read.schema(_with_corrupt(schema, path_columns=True)).options(
+        files = reader.schema(with_corrupt(schema, path_columns=True)).options(
             multiLine=True, pathGlobFilter=f"{endpoint}-*.json", columnNameOfCorruptRecord=CORRUPT).json(source)
         return files.select(
             F.col("merchant_id").alias("path_merchant_id"), path_date,
             parse_bronze_filename("_metadata.file_name").run_timestamp_utc.alias("run_timestamp_utc"),
-            *schema.fieldNames(), CORRUPT,
+            F.col("_metadata.file_path").alias("landing_file"), *schema.fieldNames(), CORRUPT,
         )
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def _with_corrupt(schema, path_columns: bool = False):
+def with_corrupt(schema, path_columns: bool = False):
     extra = [T.StructField(CORRUPT, T.StringType())]
     if path_columns:
         extra += [T.StructField("merchant_id", T.StringType())]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from py4j.java_gateway import JavaObject
@@ -9,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tablemargin.session import scratch_path, shared_dir
 
+# Spark leaves out files whose name begins with an underscore when it reads a table.
+SCHEMA_FILE = "_schema.json"
+
 
 def write_table(
     df: DataFrame, path: str, partitions: list[str] | None = None, mode: str = "overwrite", **options
@@ -47,6 +51,36 @@ def stage(df: DataFrame, name: str, partitions: list[str] | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, replaced if it exists."""
+    fs, hpath = _hadoop_path(spark, path)
+    out = fs.create(hpath, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, hpath = _hadoop_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep a table's schema beside its files, so that it needs no footers and survives an empty table."""
+    write_text(spark, f"{path}/{SCHEMA_FILE}", schema.json())
+
+
+def saved_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema `save_schema` kept, or None."""
+    path = f"{path}/{SCHEMA_FILE}"
+    return T.StructType.fromJson(json.loads(read_text(spark, path))) if exists(spark, path) else None
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete everything this application staged; call it when its results are no longer read."""
     delete_path(spark, f"{shared_dir(spark)}/tablemargin-{spark.sparkContext.applicationId}")
@@ -106,6 +140,7 @@ def replace_table(df: DataFrame, path: str, partitions: list[str] | None = None)
     tag = uuid.uuid4().hex
     fresh, old = f"{path}__new-{tag}", f"{path}__old-{tag}"
     write_table(df, fresh, partitions)
+    save_schema(spark, fresh, df.schema)
     had_old = exists(spark, path)
     if had_old:
         rename(spark, path, old)

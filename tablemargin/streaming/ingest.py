@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablemargin.functions.naming import RUN_TIME_FORMAT, parse_bronze_filename
 from tablemargin.operators.merge import merge_replace
 from tablemargin.schemas import ENDPOINT_SCHEMAS
+from tablemargin.sources.bronze import CORRUPT, with_corrupt
 
 
 def stream_bronze(
     spark: SparkSession, root: str, endpoint: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Stream of one endpoint's documents from directories made by `write_bronze`."""
+    """Stream of one endpoint's documents from directories made by `write_bronze`.
+
+    A document that does not parse has its text in `_corrupt_record`, as in `read_bronze`.
+    """
     reader = spark.readStream.schema(
         "payload string, endpoint string, merchant_id string, year int, month int, day int, run_ts string")
     if max_files_per_trigger:
@@ -25,7 +29,7 @@ def stream_bronze(
         F.col("merchant_id").alias("path_merchant_id"),
         F.make_date("year", "month", "day").alias("path_date"),
         F.to_timestamp_ntz("run_ts", F.lit(RUN_TIME_FORMAT)).alias("run_timestamp_utc"),
-        F.from_json("payload", ENDPOINT_SCHEMAS[endpoint]).alias("doc"),
+        F.from_json("payload", with_corrupt(ENDPOINT_SCHEMAS[endpoint]), {"columnNameOfCorruptRecord": CORRUPT}).alias("doc"),
     ).select("path_merchant_id", "path_date", "run_timestamp_utc", "doc.*")
 
 
@@ -34,17 +38,15 @@ def stream_bronze_files(
 ) -> DataFrame:
     """Stream of one endpoint's documents stored as one JSON file each."""
     schema = ENDPOINT_SCHEMAS[endpoint]
-    path_columns = [T.StructField("merchant_id", T.StringType())] + [
-        T.StructField(name, T.IntegerType()) for name in ("year", "month", "day")]
-    reader = spark.readStream.schema(T.StructType(list(schema.fields) + path_columns)).options(
-        multiLine=True, pathGlobFilter=f"{endpoint}-*.json")
+    reader = spark.readStream.schema(with_corrupt(schema, path_columns=True)).options(
+        multiLine=True, pathGlobFilter=f"{endpoint}-*.json", columnNameOfCorruptRecord=CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(root).select(
         F.col("merchant_id").alias("path_merchant_id"),
         F.make_date("year", "month", "day").alias("path_date"),
         parse_bronze_filename("_metadata.file_name").run_timestamp_utc.alias("run_timestamp_utc"),
-        *schema.fieldNames())
+        *schema.fieldNames(), CORRUPT)
 
 
 def stream_merge(
@@ -55,7 +57,8 @@ def stream_merge(
 
     `transform` turns a micro-batch of documents into table rows.  The merge replaces whole keys,
     so a batch that is replayed after a failure leaves the same table; with `version` (a run time)
-    a file that arrives late does not replace a newer run.
+    a file that arrives late does not replace a newer run, and of several runs in one batch the
+    latest counts.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
         merge_replace(path, transform(batch), keys, partitions, version=version)

@@ -121,11 +121,49 @@ def test_merges_against_a_dictionary(spark, path, seed):
         assert held(spark, path) == sorted(r for rows in model.values() for r in rows)
 
 
-def test_many_values_fall_back_to_the_join(spark, path, monkeypatch):
-    monkeypatch.setattr(merge, "PRUNE_VALUES", 1)
-    merge_replace(path, frame(spark, [("a", 1, 1, 1, "m1", "d1"), ("b", 1, 1, 1, "m2", "d2")]), KEYS, ["m", "d"])
-    merge_replace(path, frame(spark, [("a", 1, 2, 2, "m1", "d2"), ("b", 1, 2, 2, "m2", "d1")]), KEYS, ["m", "d"])
-    assert held(spark, path) == [("a", 1, 2, 2, "m1", "d2"), ("b", 1, 2, 2, "m2", "d1")]
+def test_partitions_are_pruned_without_literals(spark, path):
+    write_table(frame(spark, [(str(i), 1, 1, 1, f"m{i}", "d1") for i in range(30)]), path, ["m", "d"])
+    target = spark.read.schema(SCHEMA).parquet(path)
+    wanted = spark.createDataFrame([("m3", "d1"), ("m7", "d1")], "m string, d string")
+    pruned = merge.prune(target, wanted, ["m", "d"])
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in text
+    assert " IN (" not in text and sorted(r.id for r in pruned.collect()) == ["3", "7"]
+
+
+def test_null_partitions_are_found(spark, path):
+    write_table(frame(spark, [("a", 1, 1, 1, "m1", None), ("b", 1, 1, 1, "m1", "d1"), ("c", 1, 1, 1, "m2", "d2")]), path, ["m", "d"])
+    target = spark.read.schema(SCHEMA).parquet(path)
+    wanted = spark.createDataFrame([("m1", None), ("m1", "d1")], "m string, d string")
+    assert sorted(r.id for r in merge.prune(target, wanted, ["m", "d"]).collect()) == ["a", "b"]
+
+
+def test_plain_merge_after_an_evolving_one(spark, path):
+    merge_replace(path, frame(spark, [("a", 1, "m1"), ("b", 1, "m2")], "id string, v int, m string"), ["id"], ["m"])
+    wider = "id string, v int, extra string, m string"
+    merge_replace(path, frame(spark, [("a", 2, "x", "m1")], wider), ["id"], ["m"], evolve=True)
+    merge_replace(path, frame(spark, [("c", 3, "y", "m2")], wider), ["id"], ["m"])
+    assert {r.id: (r.v, r.extra) for r in read_table(spark, path).collect()} == {"a": (2, "x"), "b": (1, None), "c": (3, "y")}
+
+
+def test_an_empty_table_can_be_merged_into(spark, path):
+    merge_replace(path, frame(spark, []), KEYS, ["m", "d"])
+    merge_replace(path, frame(spark, [("a", 1, 1, 1, "m1", "d1")]), KEYS, ["m", "d"])
+    assert held(spark, path) == [("a", 1, 1, 1, "m1", "d1")]
+
+
+def test_versions_within_one_source(spark, path):
+    rows = [("a", 1, 1, 1, "m1", "d1"), ("a", 1, 2, 2, "m1", "d1"), ("a", 2, 2, 2, "m1", "d1"), ("b", 1, 1, 1, "m1", "d1")]
+    for _ in range(2):
+        merge_replace(path, frame(spark, rows), KEYS, ["m", "d"], version="run")
+        assert held(spark, path) == [("a", 1, 2, 2, "m1", "d1"), ("a", 2, 2, 2, "m1", "d1"), ("b", 1, 1, 1, "m1", "d1")]
+
+
+def test_cleared_keys_lose_their_rows(spark, path):
+    merge_replace(path, frame(spark, [("a", 1, 1, 5, "m1", "d1"), ("b", 1, 1, 5, "m1", "d1"), ("c", 1, 1, 5, "m1", "d2")]), KEYS, ["m", "d"])
+    gone = spark.createDataFrame([("m1", "a", 6), ("m1", "b", 4), ("m1", "c", 6)], "m string, id string, run int")
+    merge_replace(path, frame(spark, [("e", 1, 1, 6, "m1", "d1")]), KEYS, ["m", "d"], version="run", clear=gone)
+    assert [r[0] for r in held(spark, path)] == ["b", "e"]
 
 
 def test_full_refresh_from_itself(spark, path):

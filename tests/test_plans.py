@@ -38,7 +38,8 @@ def test_fact_reads_only_its_columns(t):
 
 def test_no_python_in_any_plan(spark):
     writing = {"merge_silver_orders", "merge_silver_reports", "merge_dim", "merge_fact", "merge_with_new_column",
-               "full_refresh", "incremental_build", "stream_ingest", "landing_round_trip", "report_pair_round_trip",
+               "full_refresh", "incremental_build", "late_and_stopped_build", "costs_saved_then_built", "landing_gate",
+               "stream_backlog", "landing_as_table", "cogs_seed", "stream_ingest", "landing_round_trip", "report_pair_round_trip",
                "materialized_table"}
     # These stage the same rows as fact_with_settlement, which is looked at.
     writing |= {"kpi_tenant", "kpi_by_merchant", "profit_leakage", "payout_by_day", "variance_log",
