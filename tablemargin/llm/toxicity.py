@@ -35,7 +35,7 @@ CLEAN_CHAINS = 10_000
 CHAIN = 64
 BUCKETS = 1 << 17
 #: Words a worker remembers the features of.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 EDGE = ".,;:!?\"'()[]{}<>*_-…«»¿¡“”‘’"
 
 
@@ -51,21 +51,27 @@ def shapes(word: str) -> list[str]:
 
 
 def features(word: str) -> list[int]:
-    """Buckets of what the field sees of a token."""
-    bare = word.strip(EDGE).lower()
-    named = shapes(word) + [f"p3 {bare[:3]}", f"s3 {bare[-3:]}", f"upper {word.isupper()}", f"bare {bool(bare)}"]
-    return [zlib.crc32(x.encode("utf-8", "surrogatepass")) % BUCKETS for x in named]
+    """Buckets of what the field sees of a token: its first bytes, up to ten, all of it, its ending and its case."""
+    data = word.strip(EDGE).lower().encode("utf-8", "surrogatepass")
+    crc, out = zlib.crc32(data[:3]), []
+    for n in range(4, min(10, len(data)) + 1):
+        crc = zlib.crc32(data[n - 1:n], crc)
+        out.append((crc + n) % BUCKETS)
+    out += [zlib.crc32(data, 1) % BUCKETS, zlib.crc32(data[-3:], 2) % BUCKETS, 3 + word.isupper() + 2 * (not data)]
+    return out
 
 
 def chains(tokens: list[str]) -> list[int]:
     """Lengths of the consecutive chains of a token list."""
-    out, n = [], 0
-    for token in tokens:
-        n += 1
-        if n == CHAIN or token[-1] in ".!?":
-            out.append(n)
-            n = 0
-    return out + [n] if n else out
+    if not tokens:
+        return []
+    ends = np.flatnonzero([t[-1] in ".!?" for t in tokens]) + 1
+    if not len(ends) or ends[-1] < len(tokens):
+        ends = np.append(ends, len(tokens))
+    lengths = np.diff(ends, prepend=0)
+    if lengths.max() <= CHAIN:
+        return lengths.tolist()
+    return [n for whole in lengths.tolist() for n in [CHAIN] * ((whole - 1) // CHAIN) + [(whole - 1) % CHAIN + 1]]
 
 
 def pick_shapes(toxic: list[list[str]], clean: list[list[str]]) -> set[str]:
@@ -192,13 +198,14 @@ class ChainField:
         known = self._known
         if len(known) > REMEMBERED:
             known.clear()
-        out = []
-        for t in tokens:
-            w = known.get(t)
-            if w is None:
-                w = known[t] = float(self.emit[features(t)].sum() + self.bias)
-            out.append(w)
-        return out
+        try:
+            return [known[t] for t in tokens]
+        except KeyError:
+            emit = self.emit
+            for t in set(tokens):
+                if t not in known:
+                    known[t] = float(sum([emit[f] for f in features(t)]) + self.bias)
+            return [known[t] for t in tokens]
 
     def tag(self, texts: list[list[str]]) -> list[np.ndarray]:
         """Marginal probabilities of the tokens of each text."""
@@ -212,7 +219,7 @@ class ChainField:
         return float(1 / (1 + np.exp(-np.clip(self.calibration @ x, -30, 30))))
 
     def __getstate__(self) -> dict:
-        return {**self.__dict__, "_known": {}, "emit": self.emit.astype(np.float32)}
+        return {**self.__dict__, "_known": {}}
 
 
 def evidence(marginals: np.ndarray) -> np.ndarray:
