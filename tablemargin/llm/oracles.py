@@ -6,7 +6,7 @@ _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghi
 
 
 def _words(between: str) -> str:
-    return f"list_filter(string_split_regex({_LOWER}, '{between}'), x -> x <> '')"
+    return f"list_filter(string_split_regex({_LOWER}, '{between}'), lambda x: x <> '')"
 
 
 _ALNUM = _words(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -17,9 +17,9 @@ WITH low AS (SELECT doc_id, {_ALNUM} AS w FROM documents),
 itm AS (SELECT item_id, {_ALNUM} AS w FROM benchmark),
 win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS win
         FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM itm WHERE len(w) > 0)),
-at AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
+spot AS (SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS win
        FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM low, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
-hit AS (SELECT doc_id, i, n, item_id FROM at JOIN win USING (win, n)),
+hit AS (SELECT doc_id, i, n, item_id FROM spot JOIN win USING (win, n)),
 cov AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY 1),
 its AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY 1)
@@ -32,9 +32,9 @@ WITH RECURSIVE low AS (SELECT doc_id, {_SPACED} AS w FROM documents),
 sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS s
        FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM low WHERE len(w) > 0)),
 size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
-links AS (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
+links AS (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id
                             GROUP BY 1, 2) JOIN size p ON p.doc_id = x JOIN size q ON q.doc_id = y
-          WHERE 100 * both >= 80 * (p.n + q.n - both)),
+          WHERE 100 * common >= 80 * (p.n + q.n - common)),
 reach AS (SELECT doc_id AS x, doc_id AS y FROM low UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y),
 root AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
 SELECT low.doc_id, coalesce(n, 0) AS n_shingles, component_id, low.doc_id = component_id AS kept
