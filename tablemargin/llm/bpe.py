@@ -97,27 +97,41 @@ class Encoder:
         self.byte_ids = spec["byte_ids"]
         self.added = spec["added"]
         self.prefix_space = spec["prefix_space"]
-        # (left id, right id) as one integer -> rank of the merge and id it makes as one integer, ordered by rank
-        self.rules = {left << 32 | right: rank << 32 | made for rank, (left, right, made) in enumerate(spec["merges"])}
+        # By left id, then right id: rank of the merge and id it makes as one integer, ordered by rank
+        none: dict[int, int] = {}
+        self.rules = [none] * len(self.vocab)
+        for rank, (left, right, made) in enumerate(spec["merges"]):
+            if self.rules[left] is none:
+                self.rules[left] = {}
+            self.rules[left].setdefault(right, rank << 32 | made)
         seen = np.zeros(65536, dtype=bool)
         for token in self.vocab:
             for a, b in zip(token, token[1:]):
                 seen[a << 8 | b] = True
-        #: 1 at (first byte << 8 | second byte) if a cut between the two is certain.
-        self.forced = (~seen).tobytes()
+        #: Pairs of bytes with a certain cut between them.
+        self.forced = {(a, b) for a in range(256) for b in range(256) if not seen[a << 8 | b]}
         self.pieces = regex.compile(PIECES)
         self.specials = regex.compile("|".join(regex.escape(a) for a in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.fragments = _Cache(self._merge)
         self.words = _Cache(self._word)
+        self.marks = {m: self._pieces(m) for m in ".,;:!?"}
 
     def cuts(self, piece: bytes) -> list[int]:
         """Offsets at which `piece` is certainly cut."""
-        forced = self.forced
-        return [i for i, (a, b) in enumerate(zip(piece, piece[1:]), 1) if forced[a << 8 | b]]
+        forced, pairs = self.forced, zip(piece, piece[1:])
+        return [] if forced.isdisjoint(pairs) else [i for i, pair in enumerate(zip(piece, piece[1:]), 1) if pair in forced]
 
     def _word(self, word: str) -> bytes | None:
         """Packed ids of a word with the space before it; None if white space touches a space there."""
-        return None if _loose(word) else self._pieces(" " + word)
+        if word.isalpha():
+            return self._piece(b" " + word.encode())
+        if _loose(word):
+            return None
+        mark = self.marks.get(word[-1])
+        if mark and word[:-1].isalpha():
+            # Letters, then one mark: two pieces, of which the first is likely known.
+            return self.words[word[:-1]] + mark
+        return self._pieces(" " + word)
 
     def _pieces(self, text: str) -> bytes:
         return b"".join([self._piece(p.encode("utf-8", "surrogatepass")) for p in self.pieces.findall(text)])
@@ -136,23 +150,23 @@ class Encoder:
 
     def _scan(self, ids: list[int]) -> list[int]:
         """Apply the lowest-ranked merge, leftmost first, until none fits."""
-        get = self.rules.get
-        found = [get(a << 32 | b, NO_MERGE) for a, b in zip(ids, ids[1:])]
+        rules = self.rules
+        found = [rules[a].get(b, NO_MERGE) for a, b in zip(ids, ids[1:])]
         while found and (best := min(found)) != NO_MERGE:
             i = found.index(best)
-            ids[i:i + 2] = [best & 0xFFFFFFFF]
-            del found[i]
+            made = ids[i] = best & 0xFFFFFFFF
+            del ids[i + 1], found[i]
             if i:
-                found[i - 1] = get(ids[i - 1] << 32 | ids[i], NO_MERGE)
+                found[i - 1] = rules[ids[i - 1]].get(made, NO_MERGE)
             if i < len(found):
-                found[i] = get(ids[i] << 32 | ids[i + 1], NO_MERGE)
+                found[i] = rules[made].get(ids[i + 1], NO_MERGE)
         return ids
 
     def _heap(self, ids: list[int]) -> list[int]:
         """The same in n log n: candidate merges in a heap over a linked list of symbols."""
-        get, n = self.rules.get, len(ids)
+        rules, n = self.rules, len(ids)
         after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        heap = [(f, i, ids[i], ids[i + 1]) for i in range(n - 1) if (f := get(ids[i] << 32 | ids[i + 1])) is not None]
+        heap = [(f, i, ids[i], ids[i + 1]) for i in range(n - 1) if (f := rules[ids[i]].get(ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
             f, i, left, right = heapq.heappop(heap)
@@ -164,10 +178,10 @@ class Encoder:
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if (f := get(made << 32 | ids[k])) is not None:
+                if (f := rules[made].get(ids[k])) is not None:
                     heapq.heappush(heap, (f, i, made, ids[k]))
             h = before[i]
-            if h >= 0 and (f := get(ids[h] << 32 | made)) is not None:
+            if h >= 0 and (f := rules[ids[h]].get(made)) is not None:
                 heapq.heappush(heap, (f, h, ids[h], made))
         return [x for x in ids if x >= 0]
 
