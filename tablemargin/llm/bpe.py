@@ -30,11 +30,13 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 # Entries a worker keeps of each cache; twice as many live at most (an old and a young generation).
-CACHED = 400_000
+CACHED = 500_000
 # Longer fragments are merged with a heap instead of repeated scans.
 SCAN_BELOW = 48
 # Above every rule.
 NO_MERGE = 1 << 62
+# Stands for words beside which a cut is uncertain; every other word has ids.
+LOOSE = b""
 
 
 def read_tokenizer(path: str) -> dict:
@@ -121,12 +123,12 @@ class Encoder:
         forced, pairs = self.forced, zip(piece, piece[1:])
         return [] if forced.isdisjoint(pairs) else [i for i, pair in enumerate(zip(piece, piece[1:]), 1) if pair in forced]
 
-    def _word(self, word: str) -> bytes | None:
-        """Packed ids of a word with the space before it; None if white space touches a space there."""
+    def _word(self, word: str) -> bytes:
+        """Packed ids of a word with the space before it; LOOSE if white space touches a space there."""
         if word.isalpha():
             return self._piece(b" " + word.encode())
         if _loose(word):
-            return None
+            return LOOSE
         mark = self.marks.get(word[-1])
         if mark and word[:-1].isalpha():
             # Letters, then one mark: two pieces, of which the first is likely known.
@@ -190,8 +192,10 @@ class Encoder:
             text = " " + text
         first, *rest = text.split(" ")
         words = self.words
-        ids = [words[w] for w in rest]
-        if None in ids or (rest and _loose(first)):
+        ids = list(map(words.get, rest))
+        if None in ids:
+            ids = [words[w] if x is None else x for w, x in zip(rest, ids)]
+        if LOOSE in ids or (rest and _loose(first)):
             return self._pieces(text)
         return b"".join([self._pieces(first), *ids])
 
