@@ -12,9 +12,11 @@ as the sets overlap.
    candidate with the hub. So a bucket of n classes gives n - 1 candidates. Candidates are estimated from their
    registers (likelihood of the joint registers given both set sizes), and confirmed on the full sets if the estimate
    is not far below the threshold (4.5 standard deviations). Confirmed links give components.
-4. Second round: a bucket that still holds several components compares every member outside its largest component
-   with all members of other components, in blocks of `BLOCK` by `BLOCK` sketches; only pairs that pass the estimate
-   leave a block, each from the first bucket that it shares. They are confirmed, and the components joined.
+4. Second round: in buckets that still hold several components every member outside the largest one is compared with
+   all members of other components, in blocks of `BLOCK` by `BLOCK` sketches, and becomes a candidate with the one of each
+   block that it most resembles. This joins what can be joined, by few pairs a member.
+5. Third round: the same, but now all pairs that pass the estimate leave a block, each from the first bucket that it
+   shares. They are confirmed, and the components joined.
 
 So a link can only be lost to the two error bounds above, however large a bucket is, and no bucket's pairs are all
 written out.
@@ -43,6 +45,8 @@ REGISTERS, BAND = 160, 4
 #: Base of the register scale, and the rate that places it.
 BASE, RATE = 1.001, 20.0
 BLOCK = 256
+#: Keys of the documents to confirm go to every executor up to this number (8 bytes each); beyond it texts are shuffled.
+BROADCAST_KEYS = 1_000_000
 DEVIATIONS = 4.5
 RESULTS = ["n_shingles", "component_id", "kept"]
 
@@ -168,7 +172,9 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
              threshold: float) -> DataFrame:
     """The pairs (a, b) whose full sets are at least that similar."""
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
-    keys = needed.join(classes.select("class", "key"), "class")
+    keys = stage(needed.join(classes.select("class", "key"), "class").select("key").distinct(), "neardup-keys")
+    if keys.count() <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
 
     @F.arrow_udf("struct<class:long,set:binary>")
     def full_set(texts: pa.Array) -> pa.Array:
@@ -178,7 +184,7 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
 
     # A key may have several texts: the set's own fingerprint says which one is meant.
     texts = (documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-             .join(keys.select("key").distinct(), F.col("_key").eqNullSafe(F.col("key")), "left_semi"))
+             .join(keys, F.col("_key").eqNullSafe(F.col("key")), "left_semi"))
     sets = texts.select(full_set("_text").alias("s")).select("s.class", "s.set").join(needed, "class", "left_semi").dropDuplicates(["class"])
     sets = stage(sets, "neardup-sets")
 
@@ -195,8 +201,11 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
     return common.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
 
 
-def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): estimated pairs of different components in buckets that hold several."""
+def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame, threshold: float, best: bool) -> DataFrame:
+    """(a, b): estimated pairs of different components in buckets that hold several.
+
+    With `best` only each outside member's most similar one in each block, else all.
+    """
     placed = members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     # In a bucket of two both were compared in the first round.
@@ -214,7 +223,6 @@ def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame,
                                            F.lit(True).alias("probe"))
     rows = dealt.unionByName(probes).join(classes.select("class", "n", "sketch"), "class")
     least = floor_of(threshold)
-
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         probe = pdf["probe"].to_numpy(bool)
         x, y = pdf[probe], pdf[~probe]
@@ -226,18 +234,20 @@ def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame,
             for one, size, one_root, sketch in zip(x["class"], x["n"], x["root"], x["sketch"]):
                 own_sketch = np.frombuffer(sketch, np.uint16)
                 able = np.flatnonzero((root != one_root) & (np.minimum(n, size) >= threshold * np.maximum(n, size)))
+                # Far below what the estimate asks for, so only the plainly different are left out early.
+                able = able[(own_sketch == grid[able]).sum(1) >= (threshold - 0.3) * REGISTERS]
                 if not len(able):
                     continue
                 other = grid[able]
                 larger, smaller = (own_sketch > other).sum(1), (own_sketch < other).sum(1)
                 j = estimate(larger, smaller, REGISTERS - larger - smaller, np.full(len(able), float(size)), n[able].astype(float))
                 near = able[j >= least]
-                if not len(near):
-                    continue
                 # Only from the first bucket that both share.
                 first = (bands[near] == own_sketch.view(np.uint64)).argmax(axis=1)
-                keys = band_keys(own_sketch)
-                out += [(one, int(c)) for c, k in zip(ids[near], first) if keys[k] == bucket]
+                here = near[band_keys(own_sketch)[first] == bucket]
+                if best and len(here):
+                    here = here[[np.argmax(j[np.searchsorted(able, here)])]]
+                out += [(one, int(c)) for c in ids[here]]
         pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
@@ -259,9 +269,12 @@ def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id
     pairs = stage(_hub_candidates(members, classes, threshold), "neardup-pairs")
     links = stage(_confirm(pairs, classes, documents, key, text, shingle, threshold), "neardup-links")
     roots = stage(components(links), "neardup-roots")
-    more = stage(_block_candidates(members, classes, roots, threshold), "neardup-pairs")
-    found = _confirm(more, classes, documents, key, text, shingle, threshold)
-    joined = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(found))
+    for best in (True, False):
+        pairs = stage(_block_candidates(members, classes, roots, threshold, best), "neardup-pairs")
+        links = _confirm(pairs, classes, documents, key, text, shingle, threshold)
+        tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        roots = stage(components(tree.unionByName(links)), "neardup-roots")
+    joined = roots
 
     # The smallest key of a component; classes without links are their own.
     rooted = classes.select("class", "key").join(joined.withColumnRenamed("node", "class"), "class", "left")
