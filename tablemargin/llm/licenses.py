@@ -83,8 +83,8 @@ NOTICES = {
               "The conditions are met by most of the contributors.", "Third version of the plan was the one they used."],
 }
 
-# Words that make a paragraph worth classifying; every template has one. Fixed values.
-ANCHORS = ("license licence licensed licensing licenses copyright apache mit gpl lgpl agpl gnu bsd mozilla mpl creative commons "
+# Words that make a paragraph worth classifying; every template has one. (Not "mit", a common word in German.) Fixed values.
+ANCHORS = ("license licence licensed licensing licenses copyright apache gpl lgpl agpl gnu bsd mozilla mpl creative commons "
            "cc cc0 rights reserved proprietary redistribute redistribution permission warranty unencumbered unlicense spdx isc "
            "eclipse epl copies endorse").split()
 NGRAMS = (1, 2, 3)
