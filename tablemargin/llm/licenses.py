@@ -1,12 +1,13 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates. Columns only.
 
-A paragraph is a line of text. Paragraphs that hold a word from licence notices are classified by a multinomial
-logistic regression on sparse word n-grams, with a class for paragraphs that are no licence at all; its temperature is
-set on held-out folds of the training table, so that the probability of that unknown class is calibrated. A predicted
-family counts as confirmed if one of its templates is largely contained in the paragraph.
+A paragraph is a line of text. Paragraphs are classified by a multinomial logistic regression on sparse word n-grams,
+with a class for paragraphs that are no licence at all; its temperature is set on held-out folds of the training table,
+so that the probability of that unknown class is calibrated. A predicted family counts as confirmed if one of its
+templates is largely contained in the paragraph.
 
 The model is fitted on the driver from the small table below and applied as joins: n-grams of the distinct paragraphs
-with the weights, template shingles with the paragraphs.
+with the weights and with the templates' shingles. To both a paragraph is the set of its n-grams that the model knows,
+so only that is kept of it. Paragraphs whose n-grams cannot lift any family over the unknown class do not reach the joins.
 
 Defined results: NULL and empty texts have no paragraphs and thus no licence. The same paragraph in many documents is
 classified once. Repeated documents are reported one by one. Of several families with equal probability the
@@ -83,13 +84,11 @@ NOTICES = {
               "The conditions are met by most of the contributors.", "Third version of the plan was the one they used."],
 }
 
-# Words that make a paragraph worth classifying; every template has one. (Not "mit", a common word in German.) Fixed values.
-ANCHORS = ("license licence licensed licensing licenses copyright apache gpl lgpl agpl gnu bsd mozilla mpl creative commons "
-           "cc cc0 rights reserved proprietary redistribute redistribution permission warranty unencumbered unlicense spdx isc "
-           "eclipse epl copies endorse").split()
 NGRAMS = (1, 2, 3)
 #: Share of a template's word pairs that confirms its family.
 CONFIRM = 0.6
+#: Grain of the bound on what an n-gram can do for a family.
+STEP = 0.125
 
 
 def tokens(paragraph: str) -> list[str]:
@@ -100,6 +99,10 @@ def ngrams(words: Sequence[str]) -> set[str]:
     return {" ".join(words[i:i + n]) for n in NGRAMS for i in range(len(words) - n + 1)}
 
 
+#: Words of the templates above: a paragraph without any of them holds no n-gram that speaks for a family.
+ANCHORS = sorted({w for f, ts in NOTICES.items() if f != UNKNOWN for t in ts for w in tokens(t)})
+
+
 def _train(rows: list[set[str]], y: np.ndarray, vocabulary: dict[str, int], classes: int, rounds: int = 300) -> np.ndarray:
     """Weights (n-grams and an intercept, by class) of a multinomial logistic regression."""
     x = np.zeros((len(rows), len(vocabulary) + 1))
@@ -138,24 +141,50 @@ class Model:
 
         self.temperature = min((0.25 * 1.25 ** k for k in range(16)), key=loss)
         self.templates = [(f, t) for f in self.families if f != UNKNOWN for t in notices[f]]
+        # What an n-gram can do for any family against unknown, rounded up to a STEP, and what a family lacks at the start.
+        over = (self.weights - self.weights[:, [self.families.index(UNKNOWN)]])
+        over = np.delete(over, self.families.index(UNKNOWN), 1).max(1)
+        self.lacks = -float(over[-1])
+        self.favours: dict[float, list[str]] = {}
+        for g, i in self.vocabulary.items():
+            if over[i] > 0:
+                self.favours.setdefault(float(np.ceil(over[i] / STEP) * STEP), []).append(g)
 
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
-def _grams(words: Column, n: int) -> Column:
-    last = F.size(words) - n + 1
-    return F.when(last >= 1, F.transform(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: F.array_join(F.slice(words, i, n), " "))
-                  ).otherwise(F.array().cast("array<string>"))
+def _grams(paragraph: Column, model: Model) -> Column:
+    """Distinct n-grams of a paragraph that the model knows, sorted. The templates' word pairs are among them."""
+    known = sorted({w for g in model.vocabulary for w in g.split(" ")})
+    marks = F.transform(_words(paragraph), lambda w: F.when(w.isin(known), w).otherwise(""))
+
+    def of_length(words: Column, n: int) -> Column:
+        return F.transform(words, lambda w, i: F.when(w != "", F.concat_ws(" ", *[F.get(words, i + k) for k in range(n)])))
+
+    def at(words: Column) -> Column:
+        return F.filter(F.concat(*[of_length(words, n) for n in NGRAMS]), lambda g: g.isin(list(model.vocabulary)))
 
+    return F.array_sort(F.array_distinct(F.element_at(F.transform(F.array(marks), at), 1)))
 
-def _anchored(words: Column) -> Column:
-    return F.arrays_overlap(words, F.array(*map(F.lit, ANCHORS)))
+
+def _may_name_a_family(grams: Column, model: Model) -> Column:
+    """False only where no family can come before unknown: the n-grams' best weights do not make up for the intercepts."""
+    def most(total: Column, gram: Column) -> Column:
+        best = F.lit(0.0)
+        for weight, of in model.favours.items():
+            best = F.when(gram.isin(of), F.lit(weight)).otherwise(best)
+        return total + best
+
+    return F.aggregate(grams, F.lit(0.0), most) >= model.lacks - 1e-6
 
 
 def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
-    """(paragraph, family, probability, confirmed) of the distinct paragraphs that the model takes for a licence."""
+    """(paragraph, family, probability, confirmed) of the distinct paragraphs that the model takes for a licence.
+
+    A paragraph is given by the n-grams of it that the model knows (as of `_grams`, joined by "|").
+    """
     spark: SparkSession = paragraphs.sparkSession
     weights = spark.createDataFrame([(g, model.families[k], float(model.weights[i, k])) for g, i in model.vocabulary.items()
                                      for k in range(len(model.families)) if abs(model.weights[i, k]) > 1e-9],
@@ -165,9 +194,8 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     size = {i: sum(1 for j, _, _ in shingles if j == i) for i in range(len(model.templates))}
     template = spark.createDataFrame([(i, f, s, size[i]) for i, f, s in shingles], "template int, family string, gram string, size int")
 
-    known = stage(paragraphs.select("paragraph").distinct().withColumn("_id", F.monotonically_increasing_id())
-                  .withColumn("_words", _words(F.col("paragraph"))), "licence-paragraphs")
-    grams = known.select("_id", F.explode(F.array_distinct(F.concat(*[_grams(F.col("_words"), n) for n in NGRAMS]))).alias("gram"))
+    known = stage(paragraphs.select("paragraph").distinct().withColumn("_id", F.monotonically_increasing_id()), "licence-paragraphs")
+    grams = known.select("_id", F.explode(F.split("paragraph", r"\|")).alias("gram"))
     score = grams.join(weights, "gram").groupBy("_id", "family").agg(F.sum("weight").alias("z"))
     # Families that share no n-gram with a paragraph still have their intercept: they enter by the explode of all.
     every = known.select("_id", F.explode(F.array(*map(F.lit, model.families))).alias("family"))
@@ -177,8 +205,7 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
         F.max_by("family", F.struct("z", F.lit(0) - F.array_position(F.array(*map(F.lit, model.families)), F.col("family")))).alias("family"),
         F.max("z").alias("top"), F.collect_list("z").alias("all"))
     best = best.withColumn("probability", 1 / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
-    pairs = known.select("_id", F.explode(F.array_distinct(F.when(F.size("_words") > 1, _grams(F.col("_words"), 2)).otherwise(F.col("_words")))).alias("gram"))
-    likeness = (pairs.join(template, "gram").groupBy("_id", "family", "template", "size").count()
+    likeness = (grams.join(template, "gram").groupBy("_id", "family", "template", "size").count()
                 .groupBy("_id", "family").agg(F.max(F.col("count") / F.col("size")).alias("likeness")))
     return (known.join(best.filter(F.col("family") != UNKNOWN), "_id").join(likeness, ["_id", "family"], "left")
             .select("paragraph", "family", "probability", (F.coalesce("likeness", F.lit(0.0)) >= CONFIRM).alias("confirmed")))
@@ -192,11 +219,14 @@ def scan(df: DataFrame, text: str = "text", model: Model | None = None, keep_tex
     """`df` with licences (confirmed families, sorted), n_licences and n_unconfirmed (numbers of paragraphs)."""
     own = [c for c in df.columns if c not in ("licences", "n_licences", "n_unconfirmed") and (keep_text or c != text)]
     t = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(t, "\n"), lambda x: _anchored(_words(x)))
-    found = F.when(_anchored(_words(t)), lines).otherwise(F.array().cast("array<string>"))
+    model = model or Model()
+    # What a text lacks its lines lack, too, so only texts that may name a family are cut into lines.
+    texts = F.filter(F.array(F.struct(t.alias("text"), _grams(t, model).alias("grams"))), lambda x: _may_name_a_family(x.grams, model))
+    lines = F.flatten(F.transform(texts, lambda x: F.transform(F.split(x.text, "\n"), lambda line: _grams(line, model))))
+    found = F.transform(F.filter(lines, lambda g: _may_name_a_family(g, model)), lambda g: F.array_join(g, "|"))
     rows = stage(df.withColumns({"_lines": found, "_row": F.monotonically_increasing_id()}).select(*own, "_row", "_lines"), "licence-lines")
     paragraphs = rows.select("_row", F.explode("_lines").alias("paragraph"))
-    judged = classify(paragraphs, model or Model())
+    judged = classify(paragraphs, model)
     per_row = paragraphs.join(judged, "paragraph").groupBy("_row").agg(
         F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("licences"),
         F.sum(F.col("confirmed").cast("long")).alias("n_licences"),

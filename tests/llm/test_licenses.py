@@ -54,3 +54,14 @@ def test_odd_rows(documents):
 def test_no_python_in_the_plan(spark):
     df = licenses.scan(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     assert not re.search(r"Python|Pandas|Arrow(?!ToRow)|CartesianProduct", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_no_line_that_the_model_gives_a_family_is_dropped_before(documents):
+    lines = ["Released under the MIT terms.", "the mit license", "Er kam mit dem Zug", "She read a book by the sea"]
+    model = licenses.Model()
+    got = {r.doc_id: r for r in licenses.scan(documents(list(enumerate(lines))), model=model).collect()}
+    for i, line in enumerate(lines):
+        z = model.weights[[*(model.vocabulary[g] for g in licenses.ngrams(licenses.tokens(line)) if g in model.vocabulary), -1]].sum(0)
+        named = model.families[int(z.argmax())] != licenses.UNKNOWN
+        assert got[i].n_licences + got[i].n_unconfirmed == named, line
+    assert got[0].licences == ["mit"] and got[3].n_unconfirmed == 0
