@@ -1,17 +1,20 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates. Columns only.
 
-A paragraph is a line of text. Paragraphs are classified by a multinomial logistic regression on sparse word n-grams,
-with a class for paragraphs that are no licence at all; its temperature is set on held-out folds of the training table,
-so that the probability of that unknown class is calibrated. A predicted family counts as confirmed if one of its
-templates is largely contained in the paragraph.
+A paragraph is a line of text, or what stands between blank lines with its lines joined, as licence texts are often
+wrapped. Paragraphs are classified by a multinomial logistic regression on sparse word n-grams, with a class for
+paragraphs that are no licence at all; its temperature is set on held-out folds of the training table, so that the
+probability of that unknown class is calibrated. A predicted family counts as confirmed if one of its templates is
+largely contained in the paragraph.
 
 The model is fitted on the driver from the small table below and applied as joins: n-grams of the distinct paragraphs
 with the weights and with the templates' shingles. To both a paragraph is the set of its n-grams that the model knows,
 so only that is kept of it. Paragraphs whose n-grams cannot lift any family over the unknown class do not reach the joins.
 
 Defined results: NULL and empty texts have no paragraphs and thus no licence. The same paragraph in many documents is
-classified once. Repeated documents are reported one by one. Of several families with equal probability the
-alphabetically first is taken. Extra columns stay; output columns replace columns of that name.
+classified once. A paragraph of several lines counts as a notice of its own only for a family that none of its lines
+names, and where it is confirmed, its unconfirmed lines of that family count no more. Repeated documents are reported
+one by one. Of several families with equal probability the alphabetically first is taken. Extra columns stay; output
+columns replace columns of that name.
 """
 
 from __future__ import annotations
@@ -186,28 +189,27 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
     A paragraph is given by the n-grams of it that the model knows (as of `_grams`, joined by "|").
     """
     spark: SparkSession = paragraphs.sparkSession
-    weights = spark.createDataFrame([(g, model.families[k], float(model.weights[i, k])) for g, i in model.vocabulary.items()
-                                     for k in range(len(model.families)) if abs(model.weights[i, k]) > 1e-9],
-                                    "gram string, family string, weight double")
-    start = spark.createDataFrame([(f, float(b)) for f, b in zip(model.families, model.weights[-1])], "family string, intercept double")
+    names = [f"w{k}" for k in range(len(model.families))]
+    weights = spark.createDataFrame([(g, *map(float, model.weights[i])) for g, i in model.vocabulary.items()],
+                                    ", ".join(["gram string", *[f"{c} double" for c in names]]))
     shingles = [(i, f, s) for i, (f, t) in enumerate(model.templates) for s in sorted(_pairs(tokens(t)))]
     size = {i: sum(1 for j, _, _ in shingles if j == i) for i in range(len(model.templates))}
     template = spark.createDataFrame([(i, f, s, size[i]) for i, f, s in shingles], "template int, family string, gram string, size int")
 
     known = stage(paragraphs.select("paragraph").distinct().withColumn("_id", F.monotonically_increasing_id()), "licence-paragraphs")
     grams = known.select("_id", F.explode(F.split("paragraph", r"\|")).alias("gram"))
-    score = grams.join(weights, "gram").groupBy("_id", "family").agg(F.sum("weight").alias("z"))
-    # Families that share no n-gram with a paragraph still have their intercept: they enter by the explode of all.
-    every = known.select("_id", F.explode(F.array(*map(F.lit, model.families))).alias("family"))
-    z = (every.join(score, ["_id", "family"], "left").join(start, "family")
-         .select("_id", "family", ((F.coalesce("z", F.lit(0.0)) + F.col("intercept")) / model.temperature).alias("z")))
-    best = z.groupBy("_id").agg(
-        F.max_by("family", F.struct("z", F.lit(0) - F.array_position(F.array(*map(F.lit, model.families)), F.col("family")))).alias("family"),
-        F.max("z").alias("top"), F.collect_list("z").alias("all"))
-    best = best.withColumn("probability", 1 / F.aggregate("all", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
-    likeness = (grams.join(template, "gram").groupBy("_id", "family", "template", "size").count()
-                .groupBy("_id", "family").agg(F.max(F.col("count") / F.col("size")).alias("likeness")))
-    return (known.join(best.filter(F.col("family") != UNKNOWN), "_id").join(likeness, ["_id", "family"], "left")
+    # The model's few n-grams go to the tasks, so each paragraph is summed up where it is.
+    z = grams.join(F.broadcast(weights), "gram", "left").groupBy("_id").agg(*[F.sum(F.coalesce(c, F.lit(0.0))).alias(c) for c in names])
+    z = z.select("_id", F.array(*[(F.col(c) + float(b)) / model.temperature for c, b in zip(names, model.weights[-1])]).alias("z"))
+    # Families are in order, so of equal ones the first is found.
+    family = F.element_at(F.array(*map(F.lit, model.families)), F.array_position("z", F.array_max("z")).cast("int"))
+    top = F.array_max("z")
+    best = z.select("_id", family.alias("family"), (1 / F.aggregate("z", F.lit(0.0), lambda a, x: a + F.exp(x - top))).alias("probability"))
+    named = stage(known.join(best.filter(F.col("family") != UNKNOWN), "_id"), "licence-named")
+    likeness = (named.select("_id", "family", F.explode(F.split("paragraph", r"\|")).alias("gram")).join(F.broadcast(template), ["family", "gram"])
+                .groupBy("_id", "template", "size").count()
+                .groupBy("_id").agg(F.max(F.col("count") / F.col("size")).alias("likeness")))
+    return (named.join(likeness, "_id", "left")
             .select("paragraph", "family", "probability", (F.coalesce("likeness", F.lit(0.0)) >= CONFIRM).alias("confirmed")))
 
 
@@ -215,23 +217,49 @@ def _pairs(words: list[str]) -> set[str]:
     return {" ".join(p) for p in zip(words, words[1:])} or set(words)
 
 
+def _units(text: Column, model: Model) -> Column:
+    """(at, whole, paragraph) of the lines that may name a family, and of the paragraphs of several lines."""
+    # What a paragraph lacks its lines lack, too, so only paragraphs that may name a family are cut into lines.
+    cut = F.transform(F.split(text, r"\n\s*\n"), lambda p, i: F.struct(i.alias("at"), p.alias("text"), _grams(p, model).alias("grams")))
+
+    def unit(at: Column, whole: bool, grams: Column) -> Column:
+        return F.struct(at.alias("at"), F.lit(whole).alias("whole"), F.array_join(grams, "|").alias("paragraph"))
+
+    def units(p: Column) -> Column:
+        lines = F.filter(F.transform(F.split(p.text, "\n"), lambda x: _grams(x, model)), lambda g: _may_name_a_family(g, model))
+        return F.concat(F.transform(lines, lambda g: unit(p.at, False, g)),
+                        F.filter(F.array(unit(p.at, True, p.grams)), lambda _: F.contains(p.text, F.lit("\n"))))
+
+    return F.flatten(F.transform(F.filter(cut, lambda p: _may_name_a_family(p.grams, model)), units))
+
+
 def scan(df: DataFrame, text: str = "text", model: Model | None = None, keep_text: bool = True) -> DataFrame:
-    """`df` with licences (confirmed families, sorted), n_licences and n_unconfirmed (numbers of paragraphs)."""
-    own = [c for c in df.columns if c not in ("licences", "n_licences", "n_unconfirmed") and (keep_text or c != text)]
-    t = F.coalesce(F.col(text), F.lit(""))
+    """`df` with licences (confirmed families, sorted), n_licences and n_unconfirmed (numbers of notices), and unconfirmed
+    (families that some notice was taken for and not confirmed, sorted)."""
+    results = ("licences", "n_licences", "n_unconfirmed", "unconfirmed")
+    own = [c for c in df.columns if c not in results and (keep_text or c != text)]
     model = model or Model()
-    # What a text lacks its lines lack, too, so only texts that may name a family are cut into lines.
-    texts = F.filter(F.array(F.struct(t.alias("text"), _grams(t, model).alias("grams"))), lambda x: _may_name_a_family(x.grams, model))
-    lines = F.flatten(F.transform(texts, lambda x: F.transform(F.split(x.text, "\n"), lambda line: _grams(line, model))))
-    found = F.transform(F.filter(lines, lambda g: _may_name_a_family(g, model)), lambda g: F.array_join(g, "|"))
-    rows = stage(df.withColumns({"_lines": found, "_row": F.monotonically_increasing_id()}).select(*own, "_row", "_lines"), "licence-lines")
-    paragraphs = rows.select("_row", F.explode("_lines").alias("paragraph"))
+    rows = stage(df.withColumns({"_units": _units(F.coalesce(F.col(text), F.lit("")), model), "_row": F.monotonically_increasing_id()})
+                 .select(*own, "_row", "_units"), "licence-lines")
+    paragraphs = rows.select("_row", F.inline("_units"))
     judged = classify(paragraphs, model)
-    per_row = paragraphs.join(judged, "paragraph").groupBy("_row").agg(
-        F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))).alias("licences"),
-        F.sum(F.col("confirmed").cast("long")).alias("n_licences"),
-        F.sum((~F.col("confirmed")).cast("long")).alias("n_unconfirmed"))
-    zero = F.lit(0).cast("long")
+    confirmed, whole = F.col("confirmed"), F.col("whole")
+
+    def number(of: Column) -> Column:
+        return F.sum(of.cast("long"))
+
+    # A paragraph counts beside its lines for a family that none of them names; one it confirms needs no confirmed line.
+    found = paragraphs.join(judged, "paragraph").groupBy("_row", "at", "family").agg(
+        number(~whole & confirmed).alias("lines"), number(~whole & ~confirmed).alias("open_lines"),
+        number(whole & confirmed).alias("wholes"), number(whole & ~confirmed).alias("open_wholes"))
+    found = found.select("_row", "family", F.greatest("lines", "wholes").alias("n"),
+                         F.when(F.col("wholes") > 0, 0).when(F.col("lines") > 0, F.col("open_lines"))
+                         .otherwise(F.greatest("open_lines", "open_wholes")).alias("n_open"))
+    per_row = found.groupBy("_row").agg(
+        F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.col("family")))).alias("licences"),
+        F.sum("n").alias("n_licences"), F.sum("n_open").alias("n_unconfirmed"),
+        F.array_sort(F.collect_set(F.when(F.col("n_open") > 0, F.col("family")))).alias("unconfirmed"))
+    zero, none = F.lit(0).cast("long"), F.array().cast("array<string>")
     return rows.join(per_row, "_row", "left").select(
-        *own, F.coalesce("licences", F.array().cast("array<string>")).alias("licences"),
-        F.coalesce("n_licences", zero).alias("n_licences"), F.coalesce("n_unconfirmed", zero).alias("n_unconfirmed"))
+        *own, F.coalesce("licences", none).alias("licences"), F.coalesce("n_licences", zero).alias("n_licences"),
+        F.coalesce("n_unconfirmed", zero).alias("n_unconfirmed"), F.coalesce("unconfirmed", none).alias("unconfirmed"))

@@ -65,3 +65,19 @@ def test_no_line_that_the_model_gives_a_family_is_dropped_before(documents):
         named = model.families[int(z.argmax())] != licenses.UNKNOWN
         assert got[i].n_licences + got[i].n_unconfirmed == named, line
     assert got[0].licences == ["mit"] and got[3].n_unconfirmed == 0
+
+
+def test_notices_that_are_wrapped_over_lines(documents):
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+    third = """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+    docs = {1: bsd, 2: third, 3: f"A title\n\n{bsd}\n \n* Item one\n\n{third}\n", 4: "Released under the MIT License.\nand more",
+            5: "She read\na book\n\nby the sea", 6: bsd.split("\n")[0]}
+    got = {r.doc_id: r for r in licenses.scan(documents(list(docs.items()))).collect()}
+    assert {i: (r.licences, r.n_licences) for i, r in got.items()} == {
+        1: (["bsd-3-clause"], 1), 2: (["bsd-3-clause"], 1), 3: (["bsd-3-clause"], 2), 4: (["mit"], 1), 5: ([], 0), 6: ([], 0)}
+    assert got[6].unconfirmed == ["bsd-3-clause"] and got[6].n_unconfirmed == 1 and got[5].unconfirmed == [] and got[4].unconfirmed == []
+    assert "bsd-3-clause" not in got[3].unconfirmed
