@@ -33,17 +33,20 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each near-duplicate group, the one with the smallest doc_id.
 
-    Of repeated rows of that doc_id the smallest row stays. Documents without words are no group, and rows without
-    doc_id stay if no document with one is near them.
+    Of repeated rows of that doc_id, and of a group whose rows all lack doc_id, the smallest row stays. Documents without
+    words are no group.
     """
-    found = neardup.near_duplicates(docs, shingle=SHINGLE, threshold=SIMILARITY)
-    found = found.filter(F.col("kept") | F.col("component_id").isNull())
+    found = neardup.near_duplicates(docs, shingle=SHINGLE, threshold=SIMILARITY, root="_root")
+    found = found.filter(F.col("kept") | F.col("component_id").isNull() | F.col("_root").isNull())
     found = stage(found, "pipeline-representatives")
-    repeated = found.filter("n_shingles > 0").groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select("doc_id")
-    row = F.min(F.struct(*docs.columns)).alias("row")
-    first = found.filter("n_shingles > 0").join(repeated, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("_id")).agg(row)
-    rest = found.filter("n_shingles = 0").unionByName(found.filter("n_shingles > 0").join(repeated, "doc_id", "left_anti"))
-    return rest.select(docs.columns).unionByName(first.select("row.*").select(docs.columns))
+    # Rows are told by their doc_id, those without one by their group's root.
+    group = [F.col("doc_id").alias("_id"), F.when(F.col("doc_id").isNull(), F.col("_root")).alias("_group")]
+    same = [F.col("_id").eqNullSafe(F.col("r_id")), F.col("_group").eqNullSafe(F.col("r_group"))]
+    worded = found.filter("_root is not null").select(*docs.columns, *group)
+    repeated = worded.groupBy("_id", "_group").count().filter("count > 1").select(F.col("_id").alias("r_id"), F.col("_group").alias("r_group"))
+    first = worded.join(repeated, same, "left_semi").groupBy("_id", "_group").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    rest = found.filter("_root is null").select(docs.columns).unionByName(worded.join(repeated, same, "left_anti").select(docs.columns))
+    return rest.unionByName(first.select("row.*").select(docs.columns))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

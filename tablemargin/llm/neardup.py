@@ -255,8 +255,11 @@ def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame,
 
 
 def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 4,
-                    threshold: float = 0.8, keep_text: bool = True) -> DataFrame:
-    """`documents` (without text unless `keep_text`) with n_shingles, component_id and kept."""
+                    threshold: float = 0.8, keep_text: bool = True, root: str | None = None) -> DataFrame:
+    """`documents` (without text unless `keep_text`) with n_shingles, component_id and kept.
+
+    `root` names a further column that tells components apart where they have no key; NULL for texts without words.
+    """
     own = [c for c in documents.columns if c not in RESULTS and (keep_text or c != text)]
     drawn = sketches(documents, text, shingle).select(*dict.fromkeys([*own, key]), "_n", "_class", "_sketch")
     drawn = stage(drawn, "neardup-sketches")
@@ -279,8 +282,8 @@ def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id
     # The smallest key of a component; classes without links are their own.
     rooted = classes.select("class", "key").join(joined.withColumnRenamed("node", "class"), "class", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "class"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("key").alias("_component")), "root").select(F.col("class").alias("_class"), "_component")
+    named = rooted.join(rooted.groupBy("root").agg(F.min("key").alias("_component")), "root").select(F.col("class").alias("_class"), "_component", F.col("root").alias("_root"))
     result = drawn.join(named, "_class", "left")
     component = F.when(F.col("_class").isNull(), F.col(key)).otherwise(F.col("_component"))
     return result.select(*own, F.col("_n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(F.col(key) == component, F.lit(False)).alias("kept"))
+                         F.coalesce(F.col(key) == component, F.lit(False)).alias("kept"), *([F.col("_root").alias(root)] if root else []))

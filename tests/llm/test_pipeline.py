@@ -74,6 +74,15 @@ def test_repeated_rows_leave_one(spark, documents):
     assert sorted(str(r.doc_id) for r in got) == ["1", "3", "None"]
 
 
+def test_groups_without_doc_id_leave_one(spark, documents):
+    words = [f"w{i}" for i in range(60)]
+    near = [" ".join(words), " ".join(words[:-1] + ["other"])]
+    df = documents([(None, near[0])] * 5 + [(None, near[1])] * 3 + [(None, "alone here now")] * 4 + [(None, None), (None, ""), (7, "some other text at all"), (7, "")])
+    got = corpus_pipeline.near_duplicates_stage(spark, df, SF_DIR).collect()
+    want = [(None, near[1]), (None, "alone here now"), (None, None), (None, ""), (7, "some other text at all"), (7, "")]
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted((str(i), str(t)) for i, t in want)
+
+
 def test_folds_agree_with_zlib(spark):
     from tablemargin.llm.samples import fold
     got = spark.range(-5, 50).select("id", fold(F.col("id"), 7).alias("f")).collect()
