@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablemargin.llm import (
-    bpe, classlm, decontaminate, html_extract, licenses, neardup, oracles, quality_mil, quality_rules, toxicity, urlfilter)
+    bpe, classlm, decontaminate, html_extract, licenses, neardup, oracles, periodic, quality_mil, quality_rules, toxicity, urlfilter)
 from tablemargin.sources.tables import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,8 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classlm.score(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(table(spark, sf_dir, "documents"))
