@@ -39,3 +39,40 @@ reach AS (SELECT doc_id AS x, doc_id AS y FROM low UNION SELECT reach.x, links.y
 root AS (SELECT x, min(y) AS component_id FROM reach GROUP BY 1)
 SELECT low.doc_id, coalesce(n, 0) AS n_shingles, component_id, low.doc_id = component_id AS kept
 FROM low LEFT JOIN size USING (doc_id) JOIN root ON x = low.doc_id"""
+
+TRIE = r"""
+WITH orig AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+                     coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (SELECT c, xor(list_reduce(list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+                 lambda a, x: list_reduce(range(8), lambda b, k: CASE WHEN b % 2 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END, xor(a, x)),
+                 CAST(4294967295 AS BIGINT)), 4294967295) % 9 AS h FROM (SELECT DISTINCT c FROM orig)),
+turns AS (SELECT conv.c, 0 AS part, i, r, t FROM conv JOIN orig ON orig.c = conv.c - conv.c % 5 WHERE i <= h
+          UNION ALL SELECT c, 1, i, r, t FROM orig JOIN conv USING (c) WHERE i > h),
+seq AS (SELECT c, coalesce(list({'r': r, 't': t} ORDER BY part, i) FILTER (WHERE t IS NOT NULL), []) AS s FROM conv LEFT JOIN turns USING (c) GROUP BY c),
+pre AS (SELECT c, len(s) AS n, d, list_slice(s, 1, d) AS p FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seq)),
+node AS (SELECT d, p, min(c) AS o, count(*) AS n_convs, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE n = d), '') AS ends
+         FROM pre GROUP BY d, p),
+own AS (SELECT pre.c, pre.d, node.o FROM pre JOIN node ON node.d = pre.d AND node.p = pre.p),
+kid AS (SELECT u.o, u.d, count(*) AS n FROM node k JOIN own u ON u.c = k.o AND u.d = k.d - 1 GROUP BY 1, 2),
+sums AS (SELECT u.o, u.d, sum((n_convs - 1) * CASE WHEN k.d = 0 THEN 0 ELSE strlen(k.p[-1].t) END) AS saved,
+                count(*) FILTER (WHERE kid.n IS NULL) AS leaves
+         FROM node k JOIN own u ON u.c = k.o AND u.d <= k.d LEFT JOIN kid ON kid.o = k.o AND kid.d = k.d GROUP BY 1, 2)
+SELECT node.o AS conv_id, CAST(node.d AS BIGINT) AS depth, up.o AS parent_conv_id, n_convs, coalesce(kid.n, 0) AS n_children,
+       leaves AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM node JOIN sums ON sums.o = node.o AND sums.d = node.d LEFT JOIN kid ON kid.o = node.o AND kid.d = node.d
+LEFT JOIN own up ON up.c = node.o AND up.d = node.d - 1"""
+
+REPEATS = r"""
+WITH doc AS (SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+piece AS (SELECT k, doc_id, j, substr(x, 2 * j + 1, 2098) AS x FROM (SELECT k, doc_id, x, unnest(range(0, len(x) // 2, 1000)) AS j FROM doc WHERE doc_id IS NOT NULL)),
+win AS (SELECT k, doc_id, j + i AS i, md5_number(substr(x, 2 * i + 1, 100)) AS s
+        FROM (SELECT k, doc_id, j, x, unnest(range(0, least(1000, len(x) // 2 - 49))) AS i FROM piece)),
+least AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+hit AS (SELECT k, i, i - lag(i) OVER (PARTITION BY k ORDER BY i) > 50 AS apart FROM win JOIN least USING (s) WHERE doc_id > first),
+span AS (SELECT k, g, min(i) AS a, max(i) + 50 AS b
+         FROM (SELECT k, i, sum(coalesce(apart, TRUE)::INT) OVER (PARTITION BY k ORDER BY i) AS g FROM hit) GROUP BY k, g),
+gap AS (SELECT k, b AS a, lead(a) OVER (PARTITION BY k ORDER BY a) AS b FROM (SELECT k, a, b FROM span UNION ALL SELECT k, -1, 0 FROM doc)),
+kept AS (SELECT k, string_agg(substr(x, 2 * a + 1, 2 * (coalesce(b, len(x) // 2) - a)), '' ORDER BY a) AS x FROM gap JOIN doc USING (k) GROUP BY k)
+SELECT doc_id, CAST(len(doc.x) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(kept.x)) AS kept_sha256
+FROM doc JOIN kept USING (k) LEFT JOIN (SELECT k, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans FROM span GROUP BY k) USING (k)"""

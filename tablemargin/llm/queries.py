@@ -8,11 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tablemargin.llm import (
-    bpe, classlm, decontaminate, html_extract, licenses, neardup, oracles, periodic, quality_mil, quality_rules, toxicity, urlfilter)
+    bpe, classlm, decontaminate, html_extract, licenses, neardup, oracles, periodic, prefix_trie, quality_mil, quality_rules, repeats,
+    toxicity, urlfilter)
 from tablemargin.sources.tables import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {"op3_near_duplicates": oracles.NEAR_DUPLICATES, "op7_decontaminate": oracles.DECONTAMINATE}
+ORACLES: dict[str, str] = {"op3_near_duplicates": oracles.NEAR_DUPLICATES, "op7_decontaminate": oracles.DECONTAMINATE,
+                           "op12_repeated_passages": oracles.REPEATS, "op13_prefix_trie": oracles.TRIE}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -84,3 +86,13 @@ def op5_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"), rebuild=True)
+
+
+@query
+def op12_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
