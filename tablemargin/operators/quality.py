@@ -177,9 +177,11 @@ def document_parsed(severity: str = "error") -> Check:
     return Check("document_parsed", F.col("_corrupt_record").isNotNull(), severity)
 
 
-def check_landing(bronze: DataFrame) -> DataFrame:
-    """What must hold of landed order documents before they are flattened."""
-    checks = [page_complete()]
-    if "_corrupt_record" in bronze.columns:
+def check_landing(bronze: DataFrame, endpoint: str = "orders") -> DataFrame:
+    """What must hold of an endpoint's landed documents before they are used."""
+    corrupt = "_corrupt_record" in bronze.columns
+    parsed = F.col("_corrupt_record").isNull() if corrupt else F.lit(True)
+    checks = [page_complete()] if endpoint == "orders" else [Check("job_id_present", F.col("jobId").isNull() & parsed, "warn")]
+    if corrupt:
         checks.append(document_parsed())
-    return run_checks(bronze, "bronze_orders", checks)
+    return run_checks(bronze, f"bronze_{endpoint}", checks)

@@ -21,6 +21,41 @@ def join_reports(enqueue: DataFrame, result: DataFrame) -> DataFrame:
     return left.join(right, "jobId", "left")
 
 
+def flat_requests(documents: DataFrame) -> DataFrame:
+    """Request documents as flat rows.  Those without a job id belong to none."""
+    return documents.where("jobId is not null").select(
+        F.col("jobId").alias("job_id"), "run_timestamp_utc", "path_merchant_id", "path_date",
+        F.col("status").alias("enqueue_status"), _utc(documents, "created_at").alias("created_at"))
+
+
+def flat_results(documents: DataFrame) -> DataFrame:
+    """Result documents as flat rows."""
+    totals = "result.totals"
+    return documents.where("jobId is not null").select(
+        F.col("jobId").alias("job_id"), "run_timestamp_utc", F.col("status").alias("result_status"), "result.store_id",
+        _utc(documents, "result.period_start").alias("result_period_start"), _utc(documents, "result.period_end").alias("result_period_end"),
+        *[F.col(f"{totals}.{kind}.{part}").cast(to).alias(f"{kind}_{part}") for kind in ("gross_sales", "net_payout")
+          for part, to in (("amount", "bigint"), ("currency", "string"))])
+
+
+def newer_half(held: DataFrame, new: DataFrame) -> DataFrame:
+    """A row for each job in `new`: of what was held and what is new, whatever came first, that of the latest run."""
+    known = held.join(new.select("job_id").distinct(), "job_id", "left_semi")
+    return latest_row(known.unionByName(new), ["job_id"], "run_timestamp_utc")
+
+
+def report_rows(requests: DataFrame, results: DataFrame, tz: str | Column = "UTC") -> DataFrame:
+    """One row for each requested job; a result without its request waits."""
+    both = requests.withColumnRenamed("run_timestamp_utc", "_requested").join(
+        results.drop("run_timestamp_utc"), "job_id", "left")
+    return both.select(
+        "job_id", F.coalesce("store_id", "path_merchant_id").alias("merchant_id"),
+        F.coalesce(local_date("result_period_start", tz), "path_date").alias("report_date"),
+        F.coalesce("created_at", "_requested").alias("enqueue_at"), "enqueue_status", "result_status",
+        "result_period_start", "result_period_end", "gross_sales_amount", "gross_sales_currency",
+        "net_payout_amount", "net_payout_currency")
+
+
 def _utc(df: DataFrame, path: str) -> Column:
     kind = df.select(path).schema[0].dataType
     return utc_ntz(path) if isinstance(kind, T.TimestampType) else F.col(path)

@@ -80,11 +80,12 @@ def fact_with_settlement(
         *DAY_KEY, F.col("net_payout_amount").alias("_net"),
         F.col("settlement_variance_amount").alias("_variance"), "variance_reason")
     dated = fact.withColumn("report_date", _day_of(day, tz)).join(days, DAY_KEY, "left")
-    order = ["order_id", "source_marketplace"] + [
-        c for c in ("line_item_no", "line_item_sku", "true_net_payout_margin") if c in fact.columns]
+    unit = ["order_id", "source_marketplace"]
+    rest = [c for c in ("line_item_no", "line_item_sku", "true_net_payout_margin") if c in fact.columns]
+    numbered = rest[:1] == ["line_item_no"]
     split = allocate(
-        dated, {"net_payout_amount": "_net", "settlement_variance_amount": "_variance"},
-        "gross_order_value", DAY_KEY, order)
+        dated, {"net_payout_amount": "_net", "settlement_variance_amount": "_variance"}, "gross_order_value", DAY_KEY, unit + rest,
+        unit=unit if numbered else None, page="line_item_no" if numbered else None)
     return split.drop("_net", "_variance")
 
 

@@ -84,7 +84,7 @@ def allocated_fact(
         F.coalesce(F.col("line_item_qty").cast("bigint") * F.col("line_item_unit_price"), F.lit(0)).alias("_value"),
         commission("total_amount", rate).alias("_order_fee"))
     split = allocate(narrow, {"_gross": "total_amount", "_fee": "_order_fee"}, "_value", key,
-                     ["line_item_no", "line_item_sku", "_value"])
+                     ["line_item_no", "line_item_sku", "_value"], page="line_item_no")
     costed = join_cogs(split, cogs)
     qty = F.col("line_item_qty").cast("bigint")
     recipe, packaging = qty * F.col("recipe_cost"), qty * F.col("packaging_cost")

@@ -8,21 +8,22 @@ import uuid
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tablemargin.functions.money import COMMISSION_RATE
 from tablemargin.operators import quality
 from tablemargin.operators.flatten import ORDER_KEY, conform_lines, flatten_orders, order_headers
 from tablemargin.operators.incremental import latest_run_wins
 from tablemargin.operators.merge import last_edits, merge_replace, without_keys
-from tablemargin.operators.reports import silver_reports
+from tablemargin.operators.reports import flat_requests, flat_results, newer_half, report_rows
 from tablemargin.operators.settlement import fact_with_settlement, settlement_reconciliation
 from tablemargin.operators.star import (
     ITEM_KEY, allocated_fact, dim_menu_catalog, fact_financial_sales, recompute_affected)
-from tablemargin.schemas import COGS_LEDGER, SILVER_ORDERS, SILVER_REPORTS
+from tablemargin.schemas import COGS_LEDGER, REPORT_REQUESTS, REPORT_RESULTS, SILVER_ORDERS, SILVER_REPORTS
 from tablemargin.session import scratch_scope
 from tablemargin.sources.cogs import cogs_in_minor_units
 from tablemargin.sources.tables import delete_path, exists, read_text, replace_table, stage, write_table, write_text
+from tablemargin.sources.versioned import VersionedTable
 
 # Build order; a model only reads those before it.
 MODELS = ("silver_orders", "silver_reports", "dim_menu_catalog", "fact_financial_sales", "served_fact")
@@ -53,14 +54,25 @@ class Warehouse:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(model))
 
-    def landing_mark(self) -> str | None:
-        """For `read_bronze(..., modified_after=...)`: a day before the last build began.
+    def landing_mark(self, endpoint: str = "orders") -> str | None:
+        """For `read_bronze(..., modified_after=...)`: a day before the last build that read the endpoint began.
 
         Files from that day on are opened again, and those that were processed then are left out by name.
         """
-        path = f"{self.root}/_progress/landing_mark.json"
+        path = self._mark(endpoint)
         return json.loads(read_text(self.spark, path))["mark"] if exists(self.spark, path) else None
 
+    def note_mark(self, endpoint: str, began: dt.datetime) -> None:
+        write_text(self.spark, self._mark(endpoint), json.dumps({"mark": began.strftime("%Y-%m-%dT%H:%M:%S")}))
+
+    def _mark(self, endpoint: str) -> str:
+        return f"{self.root}/_progress/landing_mark_{endpoint}.json"
+
+    def report_halves(self) -> dict[str, tuple[VersionedTable, T.StructType]]:
+        """What is known of each job's request and of its result, by endpoint."""
+        return {endpoint: (VersionedTable(self.spark, self.path(f"_state/{endpoint}"), ["job_id"]), schema)
+                for endpoint, schema in (("reports_enqueue", REPORT_REQUESTS), ("reports_result", REPORT_RESULTS))}
+
     def costs(self, seed: DataFrame | None) -> DataFrame:
         """The saved costs in minor units; the seed fills in for items without any."""
         saved = None
@@ -120,16 +132,12 @@ def _build(wh, orders, enqueue, result, cogs, stores, select, full_refresh) -> D
 
     if "silver_orders" in chosen and orders is not None:
         _build_orders(wh, orders, stores, full_refresh, checked)
-        write_text(wh.spark, f"{wh.root}/_progress/landing_mark.json", json.dumps({"mark": began.strftime("%Y-%m-%dT%H:%M:%S")}))
-    if "silver_reports" in chosen and enqueue is not None:
-        enqueue, tz = _zoned(wh, enqueue, stores, "path_merchant_id")
-        reports = stage(silver_reports(enqueue, result, tz), "reports")
-        checked(quality.check_silver_reports(reports))
-        # Only jobs that are new or differ change the table; the others would rewrite every partition.
-        if not full_refresh and exists(wh.spark, wh.path("silver_reports")):
-            reports = stage(reports.exceptAll(wh.read("silver_reports", SILVER_REPORTS).select(reports.columns)), "changed-reports")
-        _log_change(wh, reports.select("merchant_id", F.trunc("report_date", "month").alias("target_month")))
-        _save(wh, "silver_reports", reports, ["job_id"], ["merchant_id"], full_refresh)
+        wh.note_mark("orders", began)
+    given = {e: d for e, d in (("reports_enqueue", enqueue), ("reports_result", result)) if d is not None}
+    if "silver_reports" in chosen and given:
+        _build_reports(wh, given, stores, full_refresh, checked)
+        for endpoint in given:
+            wh.note_mark(endpoint, began)
     if not chosen & set(FOLLOWERS) or not exists(wh.spark, wh.path("silver_orders")):
         return _union(results)
 
@@ -189,7 +197,8 @@ def _build_orders(wh: Warehouse, orders: DataFrame, stores: DataFrame | None, fu
     clear = heads.where("empty").select(*ORDER_KEY, "run_timestamp_utc")
     laid_out = wh.laid_out(lines, "target_date")
     if full_refresh:
-        for old in ("_progress", "_changes"):
+        # What is known of report files stays: reports may not be part of this build.
+        for old in ("_changes", *(f"_progress/{x}" for x in ("orders", "emptied_orders", *FOLLOWERS))):
             delete_path(wh.spark, wh.path(old))
         replace_table(laid_out, wh.path("silver_orders"), list(wh.order_partitions))
     else:
@@ -208,6 +217,93 @@ def _build_orders(wh: Warehouse, orders: DataFrame, stores: DataFrame | None, fu
         write_table(landed.select("landing_file").distinct(), wh.path("_progress/orders"), mode="append")
 
 
+def _build_reports(wh: Warehouse, given: dict[str, DataFrame], stores: DataFrame | None, full_refresh: bool, checked) -> None:
+    """Take up new request and result documents, whichever come first, and renew the rows of the jobs they touch.
+
+    Each half of a job is kept with its own run time, so a request that is seen again leaves the result alone, a result
+    waits for its request, and a document that was read before or is older than what is held changes nothing.
+    """
+    landed = {}
+    for endpoint, documents in given.items():
+        ledger = wh.path(f"_progress/{endpoint}")
+        if full_refresh:
+            delete_path(wh.spark, ledger)
+        elif "landing_file" in documents.columns and exists(wh.spark, ledger):
+            documents = documents.join(wh.read(f"_progress/{endpoint}", "landing_file string"), "landing_file", "left_anti")
+        landed[endpoint] = stage(documents, f"landed-{endpoint}")
+        checked(quality.check_landing(landed[endpoint], endpoint))
+    halves = {e: flat(landed[e]) for e, flat in (("reports_enqueue", flat_requests), ("reports_result", flat_results)) if e in landed}
+    _take_up(wh, halves, stores, full_refresh, checked)
+    # Last, so that a build that stops before is repeated with the same documents.
+    for endpoint, documents in landed.items():
+        if "landing_file" in documents.columns:
+            write_table(documents.select("landing_file").distinct(), wh.path(f"_progress/{endpoint}"), mode="append")
+
+
+def take_up_reports(wh: Warehouse, halves: dict[str, DataFrame], stores: DataFrame | None = None) -> DataFrame:
+    """Renew the report rows of all jobs in `halves`, which has flat requests, flat results or both by endpoint.
+
+    For documents that did not come through `build`, such as those of a stream.  Returns the results of the checks.
+    """
+    results: list[DataFrame] = []
+
+    def checked(found: DataFrame) -> None:
+        found = stage(found, "checks")
+        quality.enforce(found)
+        results.append(found)
+
+    with scratch_scope(wh.spark):
+        _take_up(wh, halves, stores, False, checked)
+        found = _union(results)
+        return wh.spark.createDataFrame(found.collect(), found.schema)
+
+
+def _take_up(wh: Warehouse, given: dict[str, DataFrame], stores: DataFrame | None, full_refresh: bool, checked) -> None:
+    tables = wh.report_halves()
+
+    def held(endpoint: str) -> DataFrame:
+        table, schema = tables[endpoint]
+        return table.read(schema=schema)
+
+    halves = {}
+    for endpoint, rows in given.items():
+        _, schema = tables[endpoint]
+        before = wh.spark.createDataFrame([], schema) if full_refresh else held(endpoint)
+        halves[endpoint] = stage(newer_half(before, stage(rows.select(schema.names), f"flat-{endpoint}")).select(schema.names), f"new-{endpoint}")
+    jobs = stage(_union([h.select("job_id") for h in halves.values()]).distinct(), "changed-jobs")
+
+    def known(endpoint: str) -> DataFrame:
+        """The halves of the jobs that change, from now or from before."""
+        new = halves.get(endpoint)
+        if full_refresh:
+            return held(endpoint) if new is None else new
+        of_jobs = held(endpoint).join(jobs, "job_id", "left_semi")
+        return of_jobs if new is None else of_jobs.join(new, "job_id", "left_anti").unionByName(new)
+
+    requests, tz = _zoned(wh, known("reports_enqueue"), stores, "path_merchant_id")
+    reports = stage(report_rows(requests, known("reports_result"), tz), "reports")
+    # Before anything is kept, so that documents a check refuses leave no trace.
+    checked(quality.check_silver_reports(reports))
+    touched = reports
+    if not full_refresh and exists(wh.spark, wh.path("silver_reports")):
+        table = wh.read("silver_reports", SILVER_REPORTS)
+        # Only jobs that differ change the table; the others would rewrite their partitions.
+        reports = stage(reports.exceptAll(table.select(reports.columns)), "changed-reports")
+        # The day that a job leaves changes, too.
+        left = table.join(reports.select("job_id"), "job_id", "left_semi")
+        touched = reports.select("merchant_id", "report_date").unionByName(left.select("merchant_id", "report_date"))
+    _log_change(wh, touched.select("merchant_id", F.trunc("report_date", "month").alias("target_month")).distinct())
+    _save(wh, "silver_reports", reports, ["job_id"], ["merchant_id"], full_refresh)
+    for endpoint, half in halves.items():
+        table, _ = tables[endpoint]
+        if full_refresh:
+            table.replace(half)
+        else:
+            table.upsert(half)
+            table.fold()
+            table.drop_old(keep=2)
+
+
 def _log_change(wh: Warehouse, rows: DataFrame) -> None:
     """Write down what is about to change: orders (by key and month) or months of a merchant."""
     if "order_id" not in rows.columns:

@@ -100,6 +100,29 @@ SILVER_REPORTS = T.StructType([
     T.StructField("net_payout_currency", T.StringType()),
 ])
 
+# The two halves of report jobs, kept apart so that either may come first.
+REPORT_REQUESTS = T.StructType([
+    T.StructField("job_id", T.StringType()),
+    T.StructField("run_timestamp_utc", T.TimestampNTZType()),
+    T.StructField("path_merchant_id", T.StringType()),
+    T.StructField("path_date", T.DateType()),
+    T.StructField("enqueue_status", T.StringType()),
+    T.StructField("created_at", T.TimestampNTZType()),
+])
+
+REPORT_RESULTS = T.StructType([
+    T.StructField("job_id", T.StringType()),
+    T.StructField("run_timestamp_utc", T.TimestampNTZType()),
+    T.StructField("result_status", T.StringType()),
+    T.StructField("store_id", T.StringType()),
+    T.StructField("result_period_start", T.TimestampNTZType()),
+    T.StructField("result_period_end", T.TimestampNTZType()),
+    T.StructField("gross_sales_amount", T.LongType()),
+    T.StructField("gross_sales_currency", T.StringType()),
+    T.StructField("net_payout_amount", T.LongType()),
+    T.StructField("net_payout_currency", T.StringType()),
+])
+
 DIM_MENU_CATALOG = T.StructType([
     T.StructField("merchant_id", T.StringType()),
     T.StructField("line_item_sku", T.StringType()),

@@ -51,6 +51,13 @@ def stage(df: DataFrame, name: str, partitions: list[str] | None = None) -> Data
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_sized(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """`stage`, and how many bytes were written."""
+    path = scratch_path(df.sparkSession, name)
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), input_bytes(df.sparkSession, path)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, replaced if it exists."""
     fs, hpath = _hadoop_path(spark, path)

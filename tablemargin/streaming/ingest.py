@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablemargin.functions.naming import RUN_TIME_FORMAT, parse_bronze_filename
+from tablemargin.operators import quality
 from tablemargin.operators.merge import merge_replace
 from tablemargin.schemas import ENDPOINT_SCHEMAS
+from tablemargin.session import scratch_scope
 from tablemargin.sources.bronze import CORRUPT, with_corrupt
+from tablemargin.sources.tables import stage
 
 
 def stream_bronze(
@@ -51,17 +54,22 @@ def stream_bronze_files(
 
 def stream_merge(
     stream: DataFrame, path: str, keys: list[str], partitions: list[str], checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame] = lambda batch: batch, version: str | None = None,
+    transform: Callable[[DataFrame], DataFrame] = lambda batch: batch, *, version: str,
 ) -> StreamingQuery:
     """Merge everything that has landed so far into the table at `path`, then stop.
 
     `transform` turns a micro-batch of documents into table rows.  The merge replaces whole keys,
-    so a batch that is replayed after a failure leaves the same table; with `version` (a run time)
-    a file that arrives late does not replace a newer run, and of several runs in one batch the
-    latest counts.
+    so a batch that is replayed after a failure leaves the same table.  `version` names the column of
+    the run time: a file that arrives late does not replace a newer run, and of several runs in one
+    batch the latest counts.  A batch with a document that does not parse stops the stream before it
+    is merged; it is read again once the file is mended.
     """
     def merge(batch: DataFrame, batch_id: int) -> None:
-        merge_replace(path, transform(batch), keys, partitions, version=version)
+        with scratch_scope(batch.sparkSession):
+            if CORRUPT in batch.columns:
+                batch = stage(batch, "stream-batch")
+                quality.enforce(quality.run_checks(batch, "stream", [quality.document_parsed()]))
+            merge_replace(path, transform(batch), keys, partitions, version=version)
 
     return (stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

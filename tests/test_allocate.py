@@ -6,6 +6,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from tablemargin.operators import allocate as allocation
 from tablemargin.operators.allocate import allocate
 
 SCHEMA = "g string, line int, weight bigint, amount bigint"
@@ -68,6 +69,39 @@ def test_hot_group_is_spread_over_tasks(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
+@pytest.mark.parametrize("unit", [None, ["o"]])
+def test_pages_and_units(spark, monkeypatch, unit):
+    """Small pages, so that units and groups have several; also groups and units without a name."""
+    monkeypatch.setattr(allocation, "PAGE", 7)
+    rng = random.Random(3)
+    rows = []
+    for g in ["a", "b", None, "zero"]:
+        for o in rng.sample([None, *"klmnopq"], 5):
+            rows += [(g, o, i, 0 if g == "zero" else rng.choice([0, 1, 7, 500, None, -3]), 98765) for i in range(-3, rng.choice([0, 2, 30, 100]))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, o string, line int, weight bigint, amount bigint")
+    group, order = (["g"], ["o", "line"]) if unit else (["g", "o"], ["line"])
+    got = {(r.g, r.o, r.line): r.share for r in allocate(df, {"share": "amount"}, "weight", group, order, unit=unit, page="line").collect()}
+    assert len(got) == len(rows)
+    for key in {r[:len(group)] for r in rows}:
+        mine = sorted(((r[1] is not None, r[1] or "", r[2]), r[3], r[4]) for r in rows if r[:len(group)] == key)
+        mine = [((o if named else None, line), w, a) for (named, o, line), w, a in mine]
+        assert [((o, line), got[key[0], o, line]) for (o, line), _, _ in mine] == brute_force(mine)
+
+
+def test_a_long_unit_is_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(allocation, "PAGE", 1000)
+    df = spark.range(20000).selectExpr("'hot' g", "'o' o", "int(id) line", "1L weight", "777L amount")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = allocate(df, {"share": "amount"}, "weight", ["g", "o"], ["line"], page="line")
+        per_task = out.groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in per_task) < 12000 and len(per_task) > 2
+        assert out.agg(F.sum("share")).first()[0] == 777
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_null_amount_gives_null_parts(spark):
     assert {r.share for r in shares(spark, [("g", 1, 5, None), ("g", 2, 5, None)])} == {None}
 

@@ -256,7 +256,7 @@ def test_replaying_the_stream_changes_nothing(spark, tmp_path):
     write_bronze(samples.landing(spark, rounds()[0]), root)
     for log in ("log1", "log2"):
         stream_merge(stream_bronze(spark, root, "orders"), str(tmp_path / "t"), flatten.ORDER_KEY, ["merchant_id"],
-                     str(tmp_path / log), silver).awaitTermination()
+                     str(tmp_path / log), silver, version="run_timestamp_utc").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "t")).count() == 4
 
 
