@@ -31,8 +31,8 @@ def allocate(
       a row each, and only these rows are put in order within their group.
     - `page` names a number that ascends with the rest of `order` (a line number), by which a unit,
       or a group without units, is cut into pages of PAGE; a window sees one page.  Sums of
-      earlier pages are looked up for those that have several, which is known from the staged files'
-      statistics where there are none.
+      earlier pages are looked up for those that have several.  Without units `df` is read again for
+      that: stage it first if it is costly to compute.
     - What has no such number is cut by range into partitions of like size, and a table with a row
       for each group and partition chains their sums.
     """
@@ -43,18 +43,16 @@ def allocate(
     if not unit and not page:
         staged, size = stage_sized(weighted.withColumn("_n", F.lit(1).cast("bigint")), "allocate")
         placed = _chained(staged, group, order, size).withColumns({"_upto_w": F.col("_w0") + F.col("_w"), "_upto_n": F.col("_n0") + 1})
+    elif not unit:
+        rows = _numbered(weighted, named, page)
+        placed = _paged(rows, rows, order, page).withColumnsRenamed({"_unit_w": "_tw", "_unit_n": "_tn"})
     else:
-        paged = weighted.withColumn("_page", F.floor(F.coalesce(F.col(page), _zero()) / PAGE) if page else F.lit(0).cast("bigint"))
-        staged, size = stage_sized(paged, "allocate")
-        # A struct is never NULL itself and its NULL fields are equal, so a NULL key is one like others.
-        rows = staged.withColumn("_unit", F.struct(*named))
-        if unit:
-            sums = staged.groupBy(*named).agg(F.sum("_w").alias("_w"), F.count(F.lit(1)).alias("_n"))
-            units = _chained(sums, group, unit, size).select(F.struct(*named).alias("_unit"), "_w0", "_n0", "_tw", "_tn")
-            placed = _paged(rows.join(units, "_unit"), rows, order[len(unit):], bool(page))
-            placed = placed.withColumns({"_upto_w": F.col("_w0") + F.col("_upto_w"), "_upto_n": F.col("_n0") + F.col("_upto_n")})
-        else:
-            placed = _paged(rows, rows, order, True).withColumnsRenamed({"_unit_w": "_tw", "_unit_n": "_tn"})
+        staged, size = stage_sized(weighted, "allocate")
+        sums = staged.groupBy(*named).agg(F.sum("_w").alias("_w"), F.count(F.lit(1)).alias("_n"))
+        units = _chained(sums, group, unit, size).select(F.struct(*named).alias("_unit"), "_w0", "_n0", "_tw", "_tn")
+        rows = _numbered(staged, named, page)
+        placed = _paged(rows.join(units, "_unit"), rows, order[len(unit):], page)
+        placed = placed.withColumns({"_upto_w": F.col("_w0") + F.col("_upto_w"), "_upto_n": F.col("_n0") + F.col("_upto_n")})
     even = F.col("_tw") == 0
     own, run, total = (F.when(even, a).otherwise(b) for a, b in (
         (F.lit(1).cast("bigint"), F.col("_w")), (F.col("_upto_n"), F.col("_upto_w")), (F.col("_tn"), F.col("_tw"))))
@@ -72,7 +70,13 @@ def _zero() -> Column:
     return F.lit(0).cast("bigint")
 
 
-def _paged(df: DataFrame, rows: DataFrame, order: list[str], several: bool) -> DataFrame:
+def _numbered(df: DataFrame, unit: list[str], page: str | None) -> DataFrame:
+    # A struct is never NULL itself and its NULL fields are equal, so a NULL key is one like others.
+    number = F.floor(F.coalesce(F.col(page), _zero()) / PAGE) if page else F.lit(0).cast("bigint")
+    return df.withColumns({"_unit": F.struct(*unit), "_page": number})
+
+
+def _paged(df: DataFrame, rows: DataFrame, order: list[str], page_of: str | None) -> DataFrame:
     """`df` with the sums (`_upto_w`, `_upto_n`) of its unit up to and with each row, and the unit's totals.
 
     `rows` are the same rows before anything was joined to them.
@@ -81,10 +85,11 @@ def _paged(df: DataFrame, rows: DataFrame, order: list[str], several: bool) -> D
     sofar = page.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = df.withColumns({"_upto_w": F.sum("_w").over(sofar), "_upto_n": F.row_number().over(page.orderBy(*order)).cast("bigint"),
                           "_unit_w": F.sum("_w").over(page), "_unit_n": F.count(F.lit(1)).over(page)})
-    if not several:
+    # On the column itself, so that files whose statistics rule it out are not read.
+    long = rows.where((F.col(page_of) >= PAGE) | (F.col(page_of) < 0)) if page_of else None
+    if long is None or long.isEmpty():
         return out
-    # Empty where no unit goes beyond its first page, and then nothing below is run.
-    long = rows.where("_page <> 0").select("_unit").distinct()
+    long = long.select("_unit").distinct()
     pages = rows.select("_unit", "_page", "_w").join(long, "_unit", "left_semi").groupBy("_unit", "_page").agg(
         F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n"))
     every = Window.partitionBy("_unit")
