@@ -11,6 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 # Odd multiplier of the byte-wise polynomial and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
@@ -107,6 +108,13 @@ def _powers(base: int, n: int) -> np.ndarray:
     return have
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Set the session's Arrow batches to a few MB: its workers hold several copies of one."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
+    return spark
+
+
 def distinct_by_row(values: np.ndarray, rows: np.ndarray, n_rows: int) -> list[np.ndarray]:
     """Each row's distinct values in ascending order; `rows` ascends."""
     at = np.searchsorted(rows, np.arange(n_rows + 1))

@@ -3,7 +3,9 @@
 A byte pair that occurs inside no vocabulary token can never be joined by a merge, so a cut between those two bytes
 is certain.  Every piece of the pre-tokenizer is split at such pairs first; the fragments are encoded independently
 and their ids concatenated, which gives the ids of the whole piece.  A space between two characters that are not
-white space starts a new piece too, so a text is first cut into words there, and a bounded cache answers most of them.
+white space starts a new piece too, so a text is first cut into words there.  A bounded cache answers words that came
+before; the new ones of a slice of texts are cut into fragments and merged together, a merge of every fragment in each
+round, as arrays.
 
 Encoding follows a byte-level BPE file of the `tokenizers` library (no normalizer, the usual contraction-and-space
 pattern); an added token that occurs in a text gets its own id.  NULL and empty texts have no ids and decode to the
@@ -30,7 +32,11 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 # Entries a worker keeps of each cache; twice as many live at most (an old and a young generation).
-CACHED = 500_000
+CACHED = 150_000
+# Longer words are not kept, which bounds the caches in bytes, too.
+LONGEST_KEPT = 40
+# Bytes of text whose new words are merged together.
+SLICE = 2 << 20
 # Longer fragments are merged with a heap instead of repeated scans.
 SCAN_BELOW = 48
 # Above every rule.
@@ -81,11 +87,16 @@ class _Cache(dict):
         value = self.old.pop(key, None)
         if value is None:
             value = self.make(key)
+        self.keep(key, value)
+        return value
+
+    def keep(self, key, value) -> None:
+        if len(key) > LONGEST_KEPT:
+            return
         if len(self) >= CACHED:
             self.old = dict(self)
             self.clear()
         self[key] = value
-        return value
 
 
 def _loose(word: str) -> bool:
@@ -97,6 +108,7 @@ class Encoder:
     def __init__(self, spec: dict):
         self.vocab = spec["vocab"]
         self.byte_ids = spec["byte_ids"]
+        self.vocab_array = pa.array(self.vocab, pa.large_binary())
         self.added = spec["added"]
         self.prefix_space = spec["prefix_space"]
         # By left id, then right id: rank of the merge and id it makes as one integer, ordered by rank
@@ -112,12 +124,78 @@ class Encoder:
                 seen[a << 8 | b] = True
         #: Pairs of bytes with a certain cut between them.
         self.forced = {(a, b) for a in range(256) for b in range(256) if not seen[a << 8 | b]}
+        #: The same as arrays: rank and id made of byte pairs, and of pairs of ids in ascending order.
+        self.byte_array = np.array(self.byte_ids, np.int64)
+        self.uncut = seen
+        pairs = sorted((left << 32 | right, found) for left, rights in enumerate(self.rules) for right, found in rights.items())
+        self.pair_keys = np.array([k for k, _ in pairs] or [-1], np.int64)
+        self.pair_rules = np.array([r for _, r in pairs] or [NO_MERGE], np.int64)
+        self.byte_rules = self._rule_array(np.repeat(self.byte_array, 256), np.tile(self.byte_array, 256))
         self.pieces = regex.compile(PIECES)
         self.specials = regex.compile("|".join(regex.escape(a) for a in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.fragments = _Cache(self._merge)
         self.words = _Cache(self._word)
         self.marks = {m: self._pieces(m) for m in ".,;:!?"}
 
+    def _rule_array(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank and id made of each pair, NO_MERGE where none fits."""
+        keys = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_rules[at], NO_MERGE)
+
+    def merge_together(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of many pieces: cut at forced boundaries, then in each round every fragment's best merge."""
+        data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        piece = np.repeat(np.arange(len(pieces)), lengths)
+        pair = data[:-1] << 8 | data[1:]
+        cut = np.append(True, (piece[1:] != piece[:-1]) | ~self.uncut[pair])
+        ids, fragment = self.byte_array[data], np.cumsum(cut) - 1
+        rules = np.append(np.where(cut[1:], NO_MERGE, self.byte_rules[pair]), NO_MERGE)
+        done_ids, done_pieces, done_at, at = [], [], [], np.arange(len(data))
+        while len(ids):
+            head = np.append(True, fragment[1:] != fragment[:-1])
+            best = np.minimum.reduceat(rules, np.flatnonzero(head))[np.cumsum(head) - 1]
+            going = best != NO_MERGE
+            if not going.all():
+                rest = ~going
+                done_ids.append(ids[rest])
+                done_pieces.append(piece[rest])
+                done_at.append(at[rest])
+                ids, fragment, rules, piece, at, best = (x[going] for x in (ids, fragment, rules, piece, at, best))
+                if not len(ids):
+                    break
+            hit = np.flatnonzero(rules == best)
+            hit = hit[np.append(True, fragment[hit[1:]] != fragment[hit[:-1]])]
+            ids[hit] = rules[hit] & 0xFFFFFFFF
+            # The pair after the merged one, and the pair before it.
+            after = np.minimum(hit + 2, len(ids) - 1)
+            more = (hit + 2 < len(ids)) & (fragment[after] == fragment[hit])
+            rules[hit] = np.where(more, self._rule_array(ids[hit], ids[after]), NO_MERGE)
+            inner = hit[(hit > 0) & (fragment[np.maximum(hit - 1, 0)] == fragment[hit])]
+            rules[inner - 1] = self._rule_array(ids[inner - 1], ids[inner])
+            keep = np.ones(len(ids), bool)
+            keep[hit + 1] = False
+            ids, fragment, rules, piece, at = (x[keep] for x in (ids, fragment, rules, piece, at))
+        order = np.argsort(np.concatenate(done_at)) if done_at else np.empty(0, np.int64)
+        packed = np.concatenate([np.empty(0, np.int64), *done_ids])[order].astype(np.int32).tobytes()
+        sizes = np.bincount(np.concatenate(done_pieces), minlength=len(pieces)) if done_pieces else np.zeros(len(pieces), np.int64)
+        ends = (np.cumsum(sizes) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+    def learn(self, texts: list[str]) -> None:
+        """Put the words of letters in `texts` that are not known yet, with or without a mark behind, into the cache."""
+        words, new = self.words, set()
+        for text in texts:
+            new.update(text.split(" "))
+        new = {w for w in new if w not in words}
+        bare = {w if w.isalpha() else w[:-1] for w in new if w.isalpha() or (w[-1:] in self.marks and w[:-1].isalpha())}
+        bare = [w for w in bare if len(w) <= LONGEST_KEPT and w not in words]
+        for a in range(0, len(bare), CACHED // 4):
+            part = bare[a:a + CACHED // 4]
+            for word, ids in zip(part, self.merge_together([b" " + w.encode() for w in part])):
+                words.keep(word, ids)
+
     def cuts(self, piece: bytes) -> list[int]:
         """Offsets at which `piece` is certainly cut."""
         forced, pairs = self.forced, zip(piece, piece[1:])
@@ -211,6 +289,35 @@ class Encoder:
             at = m.end()
         return np.frombuffer(b"".join([*out, self._ordinary(text[at:])]), dtype=np.int32)
 
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """`encode` of each text, new words of about SLICE characters together."""
+        out, begin, size = [], 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text or "")
+            if size >= SLICE or end == len(texts):
+                part = texts[begin:end]
+                self.learn([t for t in part if t])
+                out += map(self.encode, part)
+                begin, size = end, 0
+        return out
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """Texts of lists of ids, laid end to end, with the lists' offsets."""
+        taken = self.vocab_array.take(pa.array(ids))
+        begin = taken.offset
+        ends = np.frombuffer(taken.buffers()[1], np.int64)[begin:begin + len(taken) + 1]
+        data = np.frombuffer(taken.buffers()[2], np.uint8)[ends[0]:ends[-1]] if len(ids) else np.empty(0, np.uint8)
+        bounds = ends[offsets] - ends[0] if len(ids) else np.zeros(len(offsets), np.int64)
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data)])
+        starts = bounds[:-1][bounds[:-1] < len(data)]
+        if not (data[starts] >> 6 == 2).any():
+            try:
+                # Valid as a whole, and no text begins inside a character: valid text by text.
+                return whole.cast(pa.large_string()).cast(pa.string())
+            except pa.ArrowInvalid:
+                pass
+        return pa.array([v.decode("utf-8", "replace") for v in whole.to_pylist()], pa.string())
+
     def decode(self, ids: list[int]) -> str:
         """Text of ids; bytes that are not UTF-8 become replacement characters."""
         return b"".join(map(self.vocab.__getitem__, ids)).decode("utf-8", "replace")
@@ -244,7 +351,7 @@ class BpeTokenizer:
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
             encoder = _encoder(spec)
-            ids = [encoder.encode(t.as_py()) for t in texts]
+            ids = encoder.encode_all(texts.to_pylist())
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             values = np.concatenate([np.empty(0, np.int32), *ids])
             return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
@@ -252,7 +359,8 @@ class BpeTokenizer:
         @F.arrow_udf("string")
         def decode(ids: pa.Array) -> pa.Array:
             encoder = _encoder(spec)
-            return pa.array([encoder.decode(x.values.to_numpy(zero_copy_only=False).tolist()) if x.is_valid else "" for x in ids], pa.string())
+            lengths = np.array([len(x) if x.is_valid else 0 for x in ids], np.int64) if ids.null_count else np.diff(ids.offsets.to_numpy())
+            return encoder.decode_all(ids.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(lengths))))
 
         self.encode: Callable[[Column | str], Column] = encode
         self.decode: Callable[[Column | str], Column] = decode

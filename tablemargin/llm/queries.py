@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tablemargin.llm import (
     bpe, classlm, decontaminate, html_extract, licenses, neardup, oracles, periodic, prefix_trie, quality_mil, quality_rules, repeats,
     toxicity, urlfilter)
+from tablemargin.llm.batches import bounded_batches
 from tablemargin.sources.tables import stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,7 +19,7 @@ ORACLES: dict[str, str] = {"op3_near_duplicates": oracles.NEAR_DUPLICATES, "op7_
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    QUERIES[fn.__name__] = lambda spark, sf_dir: fn(bounded_batches(spark), sf_dir)
     return fn
 
 
