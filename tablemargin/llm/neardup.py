@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -73,8 +74,12 @@ def registers(sets: list[np.ndarray]) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(exponential / RATE) / math.log(BASE)), 0, 65535).astype(np.uint16)
 
 
-def estimate(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
-    """Most likely Jaccard similarity, given in how many registers a is larger, smaller and equal, and both set sizes."""
+def likely(floor: float, larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the most likely Jaccard similarity is `floor` at least.
+
+    Given are in how many registers a is larger, smaller and equal, and both set sizes. The likelihood has one maximum,
+    so its slope at `floor` tells on which side of it that lies.
+    """
     u = n_a / (n_a + n_b)
     v = 1 - u
     shrink, log_b = (BASE - 1) / BASE, math.log(BASE)
@@ -85,14 +90,10 @@ def estimate(larger: np.ndarray, smaller: np.ndarray, equal: np.ndarray, n_a: np
     def slope(x: np.ndarray) -> np.ndarray:
         return shrink / (log_b * (1 - x * shrink))
 
-    low, high = np.zeros_like(u), np.minimum(u / v, v / u)
-    for _ in range(30):
-        j = (low + high) / 2
-        x, y = np.maximum(u - v * j, 0), np.maximum(v - u * j, 0)
-        rest = np.maximum(1 - p(x) - p(y), 1e-12)
-        up = (equal * (v * slope(x) + u * slope(y)) / rest - larger * v * slope(x) / p(x) - smaller * u * slope(y) / p(y)) > 0
-        low, high = np.where(up, j, low), np.where(up, high, j)
-    return (low + high) / 2
+    x, y = np.maximum(u - v * floor, 0), np.maximum(v - u * floor, 0)
+    rest = np.maximum(1 - p(x) - p(y), 1e-12)
+    up = equal * (v * slope(x) + u * slope(y)) / rest - larger * v * slope(x) / p(x) - smaller * u * slope(y) / p(y) > 0
+    return up & (np.minimum(u / v, v / u) >= floor)
 
 
 def floor_of(threshold: float) -> float:
@@ -143,12 +144,21 @@ def _buckets(sketch: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel()))
 
 
-@F.arrow_udf(T.DoubleType())
-def _estimate(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
+def _likely(threshold: float, *columns: str) -> Column:
+    floor = floor_of(threshold)
+
+    @F.arrow_udf(T.BooleanType())
+    def tell(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
+        return _likely_pairs(floor, a, b, n_a, n_b)
+
+    return tell(*columns)
+
+
+def _likely_pairs(floor: float, a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
     x = np.frombuffer(b"".join(a.to_pylist()), np.uint16).reshape(len(a), -1)
     y = np.frombuffer(b"".join(b.to_pylist()), np.uint16).reshape(len(b), -1)
     larger, smaller = (x > y).sum(1), (x < y).sum(1)
-    return pa.array(estimate(larger, smaller, x.shape[1] - larger - smaller, n_a.to_numpy().astype(float), n_b.to_numpy().astype(float)))
+    return pa.array(likely(floor, larger, smaller, x.shape[1] - larger - smaller, n_a.to_numpy().astype(float), n_b.to_numpy().astype(float)))
 
 
 def _near_size(threshold: float) -> Column:
@@ -165,7 +175,7 @@ def _hub_candidates(members: DataFrame, classes: DataFrame, threshold: float) ->
     sized = (pairs.join(classes.select(F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a")), "a")
              .join(classes.select(F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b")), "b")
              .filter(_near_size(threshold)))
-    return sized.filter(_estimate("s_a", "s_b", "n_a", "n_b") >= floor_of(threshold)).select("a", "b")
+    return sized.filter(_likely(threshold, "s_a", "s_b", "n_a", "n_b")).select("a", "b")
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int,
@@ -223,35 +233,59 @@ def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame,
                                            F.lit(True).alias("probe"))
     rows = dealt.unionByName(probes).join(classes.select("class", "n", "sketch"), "class")
     least = floor_of(threshold)
+
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        probe = pdf["probe"].to_numpy(bool)
-        x, y = pdf[probe], pdf[~probe]
-        out = []
-        if len(x) and len(y):
-            grid = np.frombuffer(b"".join(y["sketch"]), np.uint16).reshape(len(y), -1)
-            n, root, ids = (y[c].to_numpy() for c in ("n", "root", "class"))
-            bands, bucket = grid.view(np.uint64), int(pdf["bucket"].iloc[0])
-            for one, size, one_root, sketch in zip(x["class"], x["n"], x["root"], x["sketch"]):
-                own_sketch = np.frombuffer(sketch, np.uint16)
-                able = np.flatnonzero((root != one_root) & (np.minimum(n, size) >= threshold * np.maximum(n, size)))
+        """Whole block pairs, one after the other."""
+        grid = np.frombuffer(b"".join(pdf["sketch"]), np.uint16).reshape(len(pdf), -1)
+        bands, (n, root, ids, probe) = grid.view(np.uint64), (pdf[c].to_numpy() for c in ("n", "root", "class", "probe"))
+        probe, out = probe.astype(bool), []
+        for (bucket, _, _), lo, hi in _pairs_of_blocks(pdf):
+            others = lo + np.flatnonzero(~probe[lo:hi])
+            for one in (lo + np.flatnonzero(probe[lo:hi]) if len(others) else ()):
+                able = others[(root[others] != root[one]) & (np.minimum(n[others], n[one]) >= threshold * np.maximum(n[others], n[one]))]
+                equal = (grid[one] == grid[able]).sum(1)
                 # Far below what the estimate asks for, so only the plainly different are left out early.
-                able = able[(own_sketch == grid[able]).sum(1) >= (threshold - 0.3) * REGISTERS]
+                enough = equal >= (threshold - 0.3) * REGISTERS
+                able, equal = able[enough], equal[enough]
                 if not len(able):
                     continue
-                other = grid[able]
-                larger, smaller = (own_sketch > other).sum(1), (own_sketch < other).sum(1)
-                j = estimate(larger, smaller, REGISTERS - larger - smaller, np.full(len(able), float(size)), n[able].astype(float))
-                near = able[j >= least]
-                # Only from the first bucket that both share.
-                first = (bands[near] == own_sketch.view(np.uint64)).argmax(axis=1)
-                here = near[band_keys(own_sketch)[first] == bucket]
-                if best and len(here):
-                    here = here[[np.argmax(j[np.searchsorted(able, here)])]]
-                out += [(one, int(c)) for c in ids[here]]
+                # Only in the first bucket that both share.
+                first = (bands[able] == bands[one]).argmax(axis=1)
+                here = band_keys(grid[one])[first] == bucket
+                able, equal = able[here], equal[here]
+                larger = (grid[one] > grid[able]).sum(1)
+                near = likely(least, larger, REGISTERS - equal - larger, equal, np.full(len(able), float(n[one])), n[able].astype(float))
+                able, equal = able[near], equal[near]
+                if best and len(able):
+                    able = able[[np.argmax(equal)]]
+                out += [(ids[one], c) for c in ids[able]]
         pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
-    return rows.groupBy("bucket", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            last = max((lo for _, lo, _ in _pairs_of_blocks(pdf)), default=0)
+            # The next frame may go on with the last pair of blocks.
+            rest = pdf.iloc[last:]
+            if last:
+                yield compare(pdf.iloc[:last])
+        if rest is not None and len(rest):
+            yield compare(rest)
+
+    # A pair of blocks has at most 2 * BLOCK rows, and most have a few: they are streamed instead of being a group each.
+    dealt_out = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return dealt_out.mapInPandas(stream, "a long, b long").distinct()
+
+
+def _pairs_of_blocks(pdf: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
+    """(bucket, i, j), from and to of each run of rows."""
+    keys = pdf[["bucket", "i", "j"]].to_numpy(np.int64)
+    cut = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+    for lo, hi in zip([0, *cut], [*cut, len(keys)]):
+        if hi > lo:
+            yield tuple(keys[lo].tolist()), lo, hi
 
 
 def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 4,

@@ -95,7 +95,10 @@ def test_estimates_are_near_the_truth():
         a, b = pool[:n_a], pool[n_a - both:n_a - both + n_b]
         x, y = neardup.registers([np.sort(a), np.sort(b)])
         larger, smaller = (x > y).sum(), (x < y).sum()
-        j = neardup.estimate(np.array([larger]), np.array([smaller]), np.array([len(x) - larger - smaller]), np.array([float(n_a)]), np.array([float(n_b)]))[0]
+        counts = [np.array([x]) for x in (larger, smaller, len(x) - larger - smaller, float(n_a), float(n_b))]
+        low, j = 0.0, min(n_a / n_b, n_b / n_a)
+        for _ in range(30):
+            low, j = ((low + j) / 2, j) if neardup.likely((low + j) / 2, *counts)[0] else (low, (low + j) / 2)
         assert abs(j - both / (n_a + n_b - both)) < 0.13
 
 
