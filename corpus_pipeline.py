@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tablemargin.llm import bpe, decontaminate, neardup, quality_mil, quality_rules
+from tablemargin.llm.batches import bounded_batches
 from tablemargin.llm.samples import fold
 from tablemargin.sources.tables import stage
 
@@ -62,12 +63,17 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return encoded.select("doc_id", "lang", "source", "token_ids", *bpe.digest_columns())
 
 
+def _bounded(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with Arrow batches of a few MB, so that five stages fit into the workers' memory one after the other."""
+    return lambda spark, docs, sf_dir: function(bounded_batches(spark), docs, sf_dir)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality_rules_stage),
-    ("quality_classifier", quality_classifier_stage),
-    ("near_duplicates", near_duplicates_stage),
-    ("decontamination", decontamination_stage),
-    ("bpe_tokens", tokens_stage),
+    ("quality_rules", _bounded(quality_rules_stage)),
+    ("quality_classifier", _bounded(quality_classifier_stage)),
+    ("near_duplicates", _bounded(near_duplicates_stage)),
+    ("decontamination", _bounded(decontamination_stage)),
+    ("bpe_tokens", _bounded(tokens_stage)),
 ]
 
 #: Fitted models and ids are beyond SQL; the stages are tested against brute force instead.
