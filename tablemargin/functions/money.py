@@ -37,9 +37,14 @@ def percent_tenths(part: Column, whole: Column) -> Column:
         whole.isNotNull(), F.lit(0.0))
 
 
+def tidy_currency(c: Column | str) -> Column:
+    """Upper-cased and trimmed, whether or not it is a code then: checks tell."""
+    return F.upper(F.trim(_col(c)))
+
+
 def normalize_currency(c: Column | str) -> Column:
     """Upper-cased, trimmed ISO code; NULL when it is not three letters."""
-    code = F.upper(F.trim(_col(c)))
+    code = tidy_currency(c)
     return F.when(code.rlike("^[A-Z]{3}$"), code)
 
 

@@ -20,10 +20,11 @@ def salted_hash_by_tenant(
 ) -> tuple[DataFrame, DataFrame]:
     """Hash `columns` with each tenant's own salt.
 
-    `salts` has one row per tenant (`tenant`, `pii_salt`).  Returns (hashed, rejects): rows of a
-    tenant without a salt are rejected rather than hashed unsalted.
+    `salts` has a row per tenant (`tenant`, `pii_salt`); of several salts of a tenant the smallest
+    counts, so that no row is doubled, and `check_salts` reports them.  Returns (hashed, rejects):
+    rows of a tenant without a salt are rejected rather than hashed unsalted.
     """
-    joined = df.join(salts.select(tenant, "pii_salt"), tenant, "left")
+    joined = df.join(salts.groupBy(tenant).agg(F.min("pii_salt").alias("pii_salt")), tenant, "left")
     hashed = joined.where(F.col("pii_salt").isNotNull())
     for name in columns:
         hashed = hashed.withColumn(f"{name}_salted", salted_hash(name, F.col("pii_salt")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tablemargin.functions.money import tidy_currency
 from tablemargin.functions.pii import salted_hash
 from tablemargin.functions.times import local_date, utc_ntz
 from tablemargin.operators.incremental import latest_run_wins
@@ -35,7 +36,7 @@ def flatten_orders(bronze: DataFrame) -> DataFrame:
         F.col("o.store_id").alias("merchant_id"),
         _created_at(bronze).alias("created_at"),
         F.col("o.total.amount").cast("bigint").alias("total_amount"),
-        F.col("o.total.currency").alias("total_currency"),
+        tidy_currency("o.total.currency").alias("total_currency"),
         F.col("o.customer.name_hash").alias("customer_name_hash"),
         F.col("o.customer.phone_hash").alias("customer_phone_hash"),
         F.col("o.items").alias("items"),
@@ -55,7 +56,7 @@ def flatten_items(orders: DataFrame) -> DataFrame:
         F.col("item.name").alias("line_item_name"),
         F.col("item.qty").cast("int").alias("line_item_qty"),
         F.col("item.unit_price.amount").cast("bigint").alias("line_item_unit_price"),
-        F.col("item.unit_price.currency").alias("line_item_unit_currency"),
+        tidy_currency("item.unit_price.currency").alias("line_item_unit_currency"),
     )
 
 

@@ -172,6 +172,19 @@ def check_cogs(cogs: DataFrame) -> DataFrame:
         check_unique(cogs, "merchant_cogs", ["merchant_id", "line_item_sku"]))
 
 
+def check_salts(salts: DataFrame, tenant: str = "merchant_id") -> DataFrame:
+    """Every tenant has one salt."""
+    return run_checks(salts, "tenant_salts", not_null([tenant, "pii_salt"])).unionByName(
+        check_unique(salts, "tenant_salts", [tenant]))
+
+
+def check_unique_in_table(conflicts: DataFrame, table: str, keys: list[str], severity: str = "error") -> DataFrame:
+    """One result row: the number of incoming keys that the table already has under another owner."""
+    return conflicts.select(*keys).distinct().agg(F.count(F.lit(1)).alias("failing_rows")).select(
+        F.lit(table).alias("table_name"), F.lit("unique_in_table_" + "_".join(keys)).alias("check_name"),
+        F.lit(severity).alias("severity"), "failing_rows")
+
+
 def document_parsed(severity: str = "error") -> Check:
     """A landed document that is no JSON of its endpoint: its rows would be missing without a trace."""
     return Check("document_parsed", F.col("_corrupt_record").isNotNull(), severity)

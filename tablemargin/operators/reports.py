@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tablemargin.functions.money import tidy_currency
 from tablemargin.functions.times import local_date, utc_ntz
 from tablemargin.operators.incremental import latest_row
 
@@ -34,8 +35,8 @@ def flat_results(documents: DataFrame) -> DataFrame:
     return documents.where("jobId is not null").select(
         F.col("jobId").alias("job_id"), "run_timestamp_utc", F.col("status").alias("result_status"), "result.store_id",
         _utc(documents, "result.period_start").alias("result_period_start"), _utc(documents, "result.period_end").alias("result_period_end"),
-        *[F.col(f"{totals}.{kind}.{part}").cast(to).alias(f"{kind}_{part}") for kind in ("gross_sales", "net_payout")
-          for part, to in (("amount", "bigint"), ("currency", "string"))])
+        *[column.alias(f"{kind}_{part}") for kind in ("gross_sales", "net_payout") for part, column in (
+            ("amount", F.col(f"{totals}.{kind}.amount").cast("bigint")), ("currency", tidy_currency(f"{totals}.{kind}.currency")))])
 
 
 def newer_half(held: DataFrame, new: DataFrame) -> DataFrame:
@@ -78,9 +79,9 @@ def project_reports(joined: DataFrame, tz: str | Column = "UTC") -> DataFrame:
         period_start.alias("result_period_start"),
         period_end.alias("result_period_end"),
         F.col("r_result.totals.gross_sales.amount").cast("bigint").alias("gross_sales_amount"),
-        F.col("r_result.totals.gross_sales.currency").alias("gross_sales_currency"),
+        tidy_currency("r_result.totals.gross_sales.currency").alias("gross_sales_currency"),
         F.col("r_result.totals.net_payout.amount").cast("bigint").alias("net_payout_amount"),
-        F.col("r_result.totals.net_payout.currency").alias("net_payout_currency"),
+        tidy_currency("r_result.totals.net_payout.currency").alias("net_payout_currency"),
     )
 
 

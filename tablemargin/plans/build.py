@@ -14,7 +14,8 @@ from tablemargin.functions.money import COMMISSION_RATE
 from tablemargin.operators import quality
 from tablemargin.operators.flatten import ORDER_KEY, conform_lines, flatten_orders, order_headers
 from tablemargin.operators.incremental import latest_run_wins
-from tablemargin.operators.merge import last_edits, merge_replace, without_keys
+from tablemargin.operators.key_index import KeyIndex
+from tablemargin.operators.merge import last_edits, merge_replace, with_keys, without_keys
 from tablemargin.operators.reports import flat_requests, flat_results, newer_half, report_rows
 from tablemargin.operators.settlement import fact_with_settlement, settlement_reconciliation
 from tablemargin.operators.star import (
@@ -30,6 +31,8 @@ MODELS = ("silver_orders", "silver_reports", "dim_menu_catalog", "fact_financial
 # Models that take up what the line and report tables changed, each at its own pace.
 FOLLOWERS = ("dim_menu_catalog", "fact_financial_sales", "served_fact")
 MONTH = ["merchant_id", "target_month"]
+# Unique over all merchants.
+ORDER_ID = ("order_id", "source_marketplace")
 # How long before a build its landing files may have been listed, or a file's time lie before it shows.
 OVERLAP = dt.timedelta(days=1)
 
@@ -46,6 +49,10 @@ class Warehouse:
     # Directories of the line and sales tables.  A directory per merchant and day would be too
     # many and too small; `target_month` is added to the rows when it is named here.
     order_partitions: tuple[str, ...] = ("merchant_id", "target_month")
+    # What a document whose path names another merchant than its orders means: "error" or "warn".
+    isolation: str = "error"
+    # With it an order without a total counts as 0 and stands in `anomalies`; else it stops the build.
+    quarantine: bool = False
 
     def path(self, model: str) -> str:
         return f"{self.root}/{model}"
@@ -73,6 +80,14 @@ class Warehouse:
         return {endpoint: (VersionedTable(self.spark, self.path(f"_state/{endpoint}"), ["job_id"]), schema)
                 for endpoint, schema in (("reports_enqueue", REPORT_REQUESTS), ("reports_result", REPORT_RESULTS))}
 
+    def order_owners(self) -> KeyIndex:
+        """Which merchant each order of a marketplace belongs to."""
+        return KeyIndex(self.spark, self.path("_index/orders"), list(ORDER_ID), ["merchant_id"])
+
+    def anomalies(self) -> VersionedTable:
+        """Orders whose total was missing, as they came; a later run with a total takes them out."""
+        return VersionedTable(self.spark, self.path("anomalies"), ORDER_KEY)
+
     def costs(self, seed: DataFrame | None) -> DataFrame:
         """The saved costs in minor units; the seed fills in for items without any."""
         saved = None
@@ -91,6 +106,17 @@ class Warehouse:
         return df
 
 
+def _trim_changes(wh: Warehouse) -> None:
+    """Forget the changes that every model built so far has taken up; one built later begins with everything."""
+    takers = [m for m in FOLLOWERS if exists(wh.spark, wh.path(m)) and exists(wh.spark, wh.path(f"_progress/{m}"))]
+    if not takers or not exists(wh.spark, wh.path("_changes")):
+        return
+    # A name for each build since the last trim.
+    taken = [{r.batch for r in wh.read(f"_progress/{m}", "batch string").collect()} for m in takers]
+    for batch in set.intersection(*taken):
+        delete_path(wh.spark, f"{wh.path('_changes')}/batch={batch}")
+
+
 def build(
     wh: Warehouse, orders: DataFrame | None = None, enqueue: DataFrame | None = None,
     result: DataFrame | None = None, cogs: DataFrame | None = None, stores: DataFrame | None = None,
@@ -113,6 +139,7 @@ def build(
     """
     with scratch_scope(wh.spark):
         found = _build(wh, orders, enqueue, result, cogs, stores, select, full_refresh)
+        _trim_changes(wh)
         # A row for each check: they stay when what was staged goes.
         return wh.spark.createDataFrame(found.collect(), found.schema)
 
@@ -181,6 +208,8 @@ def _build_orders(wh: Warehouse, orders: DataFrame, stores: DataFrame | None, fu
     landed = stage(orders, "landed")
     checked(quality.check_landing(landed))
     flat = stage(flatten_orders(landed), "orders")
+    if "path_merchant_id" in flat.columns:
+        checked(quality.run_checks(flat, "bronze_orders", [quality.tenant_isolation(wh.isolation)]))
     latest, tz = _zoned(wh, latest_run_wins(flat, ORDER_KEY, "run_timestamp_utc"), stores, "merchant_id")
     emptied_path = wh.path("_progress/emptied_orders")
     run_schema = "merchant_id string, order_id string, source_marketplace string, run_timestamp_utc timestamp_ntz"
@@ -193,7 +222,16 @@ def _build_orders(wh: Warehouse, orders: DataFrame, stores: DataFrame | None, fu
         late = heads.join(gone.groupBy(*ORDER_KEY).agg(F.max("_gone").alias("_gone")), ORDER_KEY).where("_gone > run_timestamp_utc")
         lines = without_keys(lines, stage(late.select(*ORDER_KEY), "late-orders"), ORDER_KEY)
     lines = stage(lines, "lines")
+    anomalies = None
+    if wh.quarantine:
+        filled, anomalies = quality.quarantine_nulls(lines, ["total_amount"])
+        lines, anomalies = filled.drop("is_anomaly"), order_headers(anomalies)
     checked(quality.check_silver_orders(lines))
+    owners, sold = wh.order_owners(), order_headers(lines).select(*ORDER_KEY)
+    if not full_refresh:
+        if not owners.exists() and exists(wh.spark, wh.path("silver_orders")):
+            owners.rebuild(order_headers(wh.read("silver_orders", SILVER_ORDERS)))
+        checked(quality.check_unique_in_table(owners.conflicts(sold), "silver_orders", list(ORDER_ID)))
     clear = heads.where("empty").select(*ORDER_KEY, "run_timestamp_utc")
     laid_out = wh.laid_out(lines, "target_date")
     if full_refresh:
@@ -212,6 +250,21 @@ def _build_orders(wh: Warehouse, orders: DataFrame, stores: DataFrame | None, fu
         _log_change(wh, touched.unionByName(heads.where("empty").select(*ORDER_KEY, F.lit(None).cast("date").alias("target_month"))).distinct())
         merge_replace(wh.path("silver_orders"), laid_out, ORDER_KEY, list(wh.order_partitions), evolve=True,
                       version="run_timestamp_utc", clear=clear)
+    if full_refresh:
+        owners.rebuild(sold)
+    else:
+        # An order that an older run finds empty may have lines in the table still.
+        emptied = heads.where("empty").select(*ORDER_KEY)
+        held = with_keys(wh.read("silver_orders", SILVER_ORDERS).select(*ORDER_KEY), emptied, ORDER_KEY)
+        owners.add(sold, gone=without_keys(emptied, held, ORDER_KEY).select(*ORDER_ID))
+    if wh.quarantine and full_refresh:
+        wh.anomalies().replace(anomalies)
+    elif wh.quarantine:
+        # Runs that came too late say nothing about the order any more.
+        run = [*ORDER_KEY, "run_timestamp_utc"]
+        now = stage(with_keys(wh.read("silver_orders", SILVER_ORDERS).select(*run), heads, run).distinct(), "current-runs")
+        wh.anomalies().upsert(with_keys(anomalies, now, run), clear=now.select(*ORDER_KEY))
+        wh.anomalies().fold()
     write_table(clear, emptied_path, mode="append")
     if known:
         write_table(landed.select("landing_file").distinct(), wh.path("_progress/orders"), mode="append")
