@@ -32,7 +32,7 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 # Entries a worker keeps of each cache; twice as many live at most (an old and a young generation).
-CACHED = 150_000
+CACHED = 500_000
 # Longer words are not kept, which bounds the caches in bytes, too.
 LONGEST_KEPT = 40
 # Bytes of text whose new words are merged together.
@@ -52,7 +52,8 @@ def read_tokenizer(path: str) -> dict:
     model = spec["model"]
     if model["type"] != "BPE" or spec.get("normalizer") or spec["pre_tokenizer"]["type"] != "ByteLevel":
         raise ValueError(f"{path} is not a plain byte-level BPE file")
-    byte_of = {char: byte for byte, char in _printable_bytes().items()}
+    shown = _printable_bytes()
+    byte_of = {char: byte for byte, char in shown.items()}
     vocab: list[bytes] = [b""] * (max(model["vocab"].values()) + 1)
     for text, token_id in model["vocab"].items():
         vocab[token_id] = bytes(byte_of[c] for c in text) if all(c in byte_of for c in text) else text.encode()
@@ -65,7 +66,7 @@ def read_tokenizer(path: str) -> dict:
     for content, token_id in added.items():
         vocab.extend([b""] * (token_id + 1 - len(vocab)))
         vocab[token_id] = content.encode()
-    return {"vocab": vocab, "merges": merges, "added": added, "byte_ids": [ids[_printable_bytes()[b]] for b in range(256)],
+    return {"vocab": vocab, "merges": merges, "added": added, "byte_ids": [ids[shown[b]] for b in range(256)],
             "prefix_space": bool(spec["pre_tokenizer"].get("add_prefix_space"))}
 
 
@@ -91,12 +92,14 @@ class _Cache(dict):
         return value
 
     def keep(self, key, value) -> None:
-        if len(key) > LONGEST_KEPT:
-            return
-        if len(self) >= CACHED:
+        if len(key) <= LONGEST_KEPT:
+            self.make_room(1)
+            self[key] = value
+
+    def make_room(self, entries: int) -> None:
+        if len(self) + entries > CACHED:
             self.old = dict(self)
             self.clear()
-        self[key] = value
 
 
 def _loose(word: str) -> bool:
@@ -184,17 +187,37 @@ class Encoder:
         return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
     def learn(self, texts: list[str]) -> None:
-        """Put the words of letters in `texts` that are not known yet, with or without a mark behind, into the cache."""
+        """Put the words in `texts` that are not known yet into the cache, their pieces merged together."""
         words, new = self.words, set()
         for text in texts:
             new.update(text.split(" "))
-        new = {w for w in new if w not in words}
-        bare = {w if w.isalpha() else w[:-1] for w in new if w.isalpha() or (w[-1:] in self.marks and w[:-1].isalpha())}
-        bare = [w for w in bare if len(w) <= LONGEST_KEPT and w not in words]
-        for a in range(0, len(bare), CACHED // 4):
-            part = bare[a:a + CACHED // 4]
-            for word, ids in zip(part, self.merge_together([b" " + w.encode() for w in part])):
-                words.keep(word, ids)
+        new.difference_update(words)
+        own, pieces, counts = [], [], []
+        for word in new:
+            if len(word) > LONGEST_KEPT or _loose(word):
+                continue
+            if not word.isalpha():
+                if word[-1] in self.marks and word[:-1].isalpha():
+                    # Letters, then one mark: the first piece is known, or is learnt here.
+                    word = word[:-1]
+                    if word in new or word in words:
+                        continue
+                else:
+                    parts = [p.encode("utf-8", "surrogatepass") for p in self.pieces.findall(" " + word)]
+                    own.append(word)
+                    pieces += parts
+                    counts.append(len(parts))
+                    continue
+            own.append(word)
+            pieces.append(b" " + word.encode())
+            counts.append(1)
+        if not own:
+            return
+        words.make_room(len(own))
+        merged, at = self.merge_together(pieces), 0
+        for word, count in zip(own, counts):
+            words[word] = merged[at] if count == 1 else b"".join(merged[at:at + count])
+            at += count
 
     def cuts(self, piece: bytes) -> list[int]:
         """Offsets at which `piece` is certainly cut."""
