@@ -32,11 +32,11 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 # Entries a worker keeps of each cache; twice as many live at most (an old and a young generation).
-CACHED = 500_000
+CACHED = 100_000
 # Longer words are not kept, which bounds the caches in bytes, too.
 LONGEST_KEPT = 40
-# Bytes of text whose new words are merged together.
-SLICE = 2 << 20
+# Characters of text whose new words are merged together; a merge's arrays take about a hundred bytes for each new one.
+SLICE = 256 << 10
 # Longer fragments are merged with a heap instead of repeated scans.
 SCAN_BELOW = 48
 # Above every rule.
@@ -352,13 +352,15 @@ _BROADCAST: dict = {}
 def _encoder(spec) -> Encoder:
     """One encoder for each worker process and broadcast tokenizer."""
     if spec.value is not _BROADCAST.get("spec"):
+        _BROADCAST.clear()
         _BROADCAST.update(spec=spec.value, encoder=Encoder(spec.value))
     return _BROADCAST["encoder"]
 
 
 @lru_cache(maxsize=4)
-def _read_once(path: str) -> dict:
-    return read_tokenizer(path)
+def _shared(context, path: str):
+    """One broadcast for all columns of a tokenizer, so that a worker builds one encoder for encoding and decoding."""
+    return context.broadcast(read_tokenizer(path))
 
 
 class BpeTokenizer:
@@ -369,7 +371,7 @@ class BpeTokenizer:
     """
 
     def __init__(self, spark, path: str):
-        spec = spark.sparkContext.broadcast(_read_once(path))
+        spec = _shared(spark.sparkContext, path)
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
