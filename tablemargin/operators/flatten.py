@@ -8,8 +8,14 @@ from tablemargin.functions.money import tidy_currency
 from tablemargin.functions.pii import salted_hash
 from tablemargin.functions.times import local_date, utc_ntz
 from tablemargin.operators.incremental import latest_run_wins
+from tablemargin.schemas import BRONZE_ORDERS, SILVER_ORDERS
 from tablemargin.sources.tables import stage
 
+ORDERS = BRONZE_ORDERS["orders"].dataType
+ITEMS = ORDERS.elementType["items"].dataType
+
+#: What the line table makes of fields of orders and lines that its own columns do not cover.
+ORDER_FIELD, LINE_FIELD = "order_", "line_item_"
 ORDER_KEY = ["merchant_id", "order_id", "source_marketplace"]
 
 
@@ -19,11 +25,21 @@ def _created_at(bronze: DataFrame) -> Column:
     return utc_ntz(created) if isinstance(field, T.TimestampType) else created
 
 
+def _promoted(kind: T.DataType, known: T.DataType, of: str, prefix: str) -> list[Column]:
+    """Columns of the fields that a document schema names beyond ours."""
+    return [F.col(f"{of}.`{name}`").alias(prefix + name) for name in kind.elementType.names if name not in known.elementType.names]
+
+
+def _is_promoted(name: str) -> bool:
+    return name not in SILVER_ORDERS.names and name.startswith((ORDER_FIELD, LINE_FIELD))
+
+
 def flatten_orders(bronze: DataFrame) -> DataFrame:
     """One row per order of `orders[]`, keeping `items` nested; landing columns are carried along.
 
     Documents with an empty or NULL `orders` disappear; a document that did not parse is one of
-    these, so check it first (`quality.check_landing`).
+    these, so check it first (`quality.check_landing`).  Fields of an order that the documents'
+    schema names beyond `BRONZE_ORDERS` come along as `order_...`, those of a line as `line_item_...`.
     """
     carried = [c for c in bronze.columns if c in ("path_merchant_id", "path_date", "run_timestamp_utc")]
     # The outer form, as the inner one lets the planner infer a filter on the array's size, and with it
@@ -40,6 +56,7 @@ def flatten_orders(bronze: DataFrame) -> DataFrame:
         F.col("o.customer.name_hash").alias("customer_name_hash"),
         F.col("o.customer.phone_hash").alias("customer_phone_hash"),
         F.col("o.items").alias("items"),
+        *_promoted(bronze.schema["orders"].dataType, ORDERS, "o", ORDER_FIELD),
     )
 
 
@@ -57,6 +74,7 @@ def flatten_items(orders: DataFrame) -> DataFrame:
         F.col("item.qty").cast("int").alias("line_item_qty"),
         F.col("item.unit_price.amount").cast("bigint").alias("line_item_unit_price"),
         tidy_currency("item.unit_price.currency").alias("line_item_unit_currency"),
+        *_promoted(orders.schema["items"].dataType, ITEMS, "item", LINE_FIELD),
     )
 
 
@@ -85,6 +103,7 @@ def conform_lines(orders: DataFrame, salt: str, tz: str | Column = "UTC") -> Dat
         "line_item_unit_price", "line_item_unit_currency",
         "customer_name_hash", "customer_phone_hash",
         "customer_name_hash_salted", "customer_phone_hash_salted",
+        *[c for c in lines.columns if _is_promoted(c)],
     )
 
 

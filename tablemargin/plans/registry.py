@@ -26,4 +26,4 @@ def query(select: str | None = None, needs: tuple[str, ...] = ()) -> Callable:
 def load() -> None:
     """Import every module that registers queries."""
     from tablemargin.plans.queries import (  # noqa: F401
-        days, gates, landing, lines, mutation, quality, reconciliation, report_state, runs, sales, versions)
+        days, gates, landing, lines, mutation, quality, reconciliation, report_state, runs, sales, sql_functions, variants, versions)

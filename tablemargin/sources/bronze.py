@@ -43,6 +43,7 @@ def write_bronze(payloads: DataFrame, root: str, partitions: list[str] = FENCED)
 
     Columns: merchant_id, endpoint, target_date, run_timestamp_utc, payload.  The payload is kept
     as one string; what is not in `partitions` becomes a column, and `read_bronze` reads either.
+    It may be a VARIANT too, with `_corrupt_record` beside it (`variant.write_variant`).
     A later run of the same day adds files and never replaces any.  The rebalance brings small
     directories together and splits the ones that are too large for one task; rows are sorted by
     merchant within a file, so that one tenant's can be skipped to.
@@ -52,7 +53,7 @@ def write_bronze(payloads: DataFrame, root: str, partitions: list[str] = FENCED)
         "endpoint", "merchant_id",
         F.year(day).alias("year"), F.month(day).alias("month"), F.dayofmonth(day).alias("day"),
         F.date_format("run_timestamp_utc", RUN_TIME_FORMAT).alias("run_ts"),
-        "payload",
+        "payload", *[c for c in (CORRUPT,) if c in payloads.columns],
     )
     spread = laid_out.hint("rebalance", *[F.col(c) for c in partitions])
     (spread.sortWithinPartitions(*partitions, *[c for c in ("merchant_id", "run_ts") if c not in partitions])
@@ -92,31 +93,42 @@ def read_bronze(
     schema = ENDPOINT_SCHEMAS[endpoint]
     if layout == "table":
         return spark.table(source)
-    path_date = F.make_date("year", "month", "day").alias("path_date")
-    reader = spark.read
-    if modified_after:
-        reader = reader.options(modifiedAfter=modified_after, timeZone="UTC")
     if layout == "landing":
-        raw = reader.schema(
-            "payload string, endpoint string, merchant_id string, year int, month int, day int, run_ts string"
-        ).parquet(source).where(F.col("endpoint") == endpoint)
         doc = F.from_json("payload", with_corrupt(schema), {"columnNameOfCorruptRecord": CORRUPT})
-        return raw.select(
-            F.col("merchant_id").alias("path_merchant_id"), path_date,
-            F.to_timestamp_ntz("run_ts", F.lit(RUN_TIME_FORMAT)).alias("run_timestamp_utc"),
-            F.col("_metadata.file_path").alias("landing_file"), doc.alias("doc"),
-        ).select("path_merchant_id", "path_date", "run_timestamp_utc", "landing_file", "doc.*")
+        return landed_documents(landing_rows(spark, source, endpoint, "payload string", modified_after), doc)
     if layout == "files":
-        files = reader.schema(with_corrupt(schema, path_columns=True)).options(
+        files = _reader(spark, modified_after).schema(with_corrupt(schema, path_columns=True)).options(
             multiLine=True, pathGlobFilter=f"{endpoint}-*.json", columnNameOfCorruptRecord=CORRUPT).json(source)
         return files.select(
-            F.col("merchant_id").alias("path_merchant_id"), path_date,
+            F.col("merchant_id").alias("path_merchant_id"), F.make_date("year", "month", "day").alias("path_date"),
             parse_bronze_filename("_metadata.file_name").run_timestamp_utc.alias("run_timestamp_utc"),
             F.col("_metadata.file_path").alias("landing_file"), *schema.fieldNames(), CORRUPT,
         )
     raise ValueError(f"unknown layout {layout!r}")
 
 
+def _reader(spark: SparkSession, modified_after: str | None):
+    return spark.read.options(modifiedAfter=modified_after, timeZone="UTC") if modified_after else spark.read
+
+
+def landing_rows(
+    spark: SparkSession, source: str, endpoint: str, columns: str, modified_after: str | None = None
+) -> DataFrame:
+    """An endpoint's rows in the directories made by `write_bronze`, which hold `columns` beside the landing columns."""
+    return _reader(spark, modified_after).schema(
+        f"{columns}, endpoint string, merchant_id string, year int, month int, day int, run_ts string"
+    ).parquet(source).where(F.col("endpoint") == endpoint)
+
+
+def landed_documents(rows: DataFrame, doc: Column) -> DataFrame:
+    """Landing columns, and the fields of the struct `doc` made from the payload."""
+    return rows.select(
+        F.col("merchant_id").alias("path_merchant_id"), F.make_date("year", "month", "day").alias("path_date"),
+        F.to_timestamp_ntz("run_ts", F.lit(RUN_TIME_FORMAT)).alias("run_timestamp_utc"),
+        F.col("_metadata.file_path").alias("landing_file"), doc.alias("doc"),
+    ).select("path_merchant_id", "path_date", "run_timestamp_utc", "landing_file", "doc.*")
+
+
 def with_corrupt(schema, path_columns: bool = False):
     extra = [T.StructField(CORRUPT, T.StringType())]
     if path_columns:

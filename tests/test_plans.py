@@ -40,7 +40,9 @@ def test_no_python_in_any_plan(spark):
     writing = {"merge_silver_orders", "merge_silver_reports", "merge_dim", "merge_fact", "merge_with_new_column",
                "full_refresh", "incremental_build", "late_and_stopped_build", "costs_saved_then_built", "landing_gate",
                "stream_backlog", "landing_as_table", "cogs_seed", "stream_ingest", "landing_round_trip", "report_pair_round_trip",
-               "materialized_table", "late_results_build", "streamed_report_join", "quarantined_orders", "report_gate"}
+               "materialized_table", "late_results_build", "streamed_report_join", "quarantined_orders", "report_gate",
+               "variant_round_trip", "unknown_document_fields", "promoted_fields", "fields_promoted_later", "variant_gate",
+               "sql_tenant_sales"}
     # These stage the same rows as fact_with_settlement, which is looked at.
     writing |= {"kpi_tenant", "kpi_by_merchant", "profit_leakage", "payout_by_day", "variance_log",
                 "list_fact_financial_sales", "silver_orders_table"}
