@@ -32,11 +32,11 @@ PIECES = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p
           r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
 
 # Entries a worker keeps of each cache; twice as many live at most (an old and a young generation).
-CACHED = 100_000
+CACHED = 500_000
 # Longer words are not kept, which bounds the caches in bytes, too.
 LONGEST_KEPT = 40
 # Characters of text whose new words are merged together; a merge's arrays take about a hundred bytes for each new one.
-SLICE = 256 << 10
+SLICE = 2 << 20
 # Longer fragments are merged with a heap instead of repeated scans.
 SCAN_BELOW = 48
 # Above every rule.
