@@ -16,7 +16,8 @@ as the sets overlap.
    all members of other components, in blocks of `BLOCK` by `BLOCK` sketches, and becomes a candidate with the one of each
    block that it most resembles. This joins what can be joined, by few pairs a member.
 5. Third round: the same, but now all pairs that pass the estimate leave a block, each from the first bucket that it
-   shares. They are confirmed, and the components joined.
+   shares. They are confirmed, and the components joined. To be confirmed, pairs are dealt to blocks of about
+   `TOGETHER` by `TOGETHER` sets, and a set goes once to each block that has a pair of it.
 
 So a link can only be lost to the two error bounds above, however large a bucket is, and no bucket's pairs are all
 written out.
@@ -48,6 +49,8 @@ BASE, RATE = 1.001, 20.0
 BLOCK = 256
 #: Keys of the documents to confirm go to every executor up to this number (8 bytes each); beyond it texts are shuffled.
 BROADCAST_KEYS = 1_000_000
+#: Pairs to confirm are dealt to blocks of about so many sets on either side.
+TOGETHER = 64
 DEVIATIONS = 4.5
 RESULTS = ["n_shingles", "component_id", "kept"]
 
@@ -183,7 +186,8 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
     """The pairs (a, b) whose full sets are at least that similar."""
     needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
     keys = stage(needed.join(classes.select("class", "key"), "class").select("key").distinct(), "neardup-keys")
-    if keys.count() <= BROADCAST_KEYS:
+    n_keys = keys.count()
+    if n_keys <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
 
     @F.arrow_udf("struct<class:long,set:binary>")
@@ -198,17 +202,32 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
     sets = texts.select(full_set("_text").alias("s")).select("s.class", "s.set").join(needed, "class", "left_semi").dropDuplicates(["class"])
     sets = stage(sets, "neardup-sets")
 
-    @F.arrow_udf("long")
-    def shared(a: pa.Array, b: pa.Array) -> pa.Array:
-        out = [len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
-               for x, y in zip(a.to_pylist(), b.to_pylist())]
-        return pa.array(out, pa.int64())
-
-    both = (pairs.join(sets.select(F.col("class").alias("a"), F.col("set").alias("x")), "a")
-            .join(sets.select(F.col("class").alias("b"), F.col("set").alias("y")), "b"))
-    common = both.select("a", "b", shared("x", "y").alias("common"), ((F.octet_length("x") + F.octet_length("y")) / 8).cast("long").alias("total"))
+    # A set goes once to each block of pairs that needs it, not once to each pair.
+    blocks = F.lit(-(-n_keys // TOGETHER) or 1)
+    placed = pairs.select("a", "b", F.pmod(F.xxhash64("a"), blocks).alias("i"), F.pmod(F.xxhash64("b"), blocks).alias("j"))
+    sent = placed.select("i", "j", F.col("a").alias("class")).unionByName(placed.select("i", "j", F.col("b").alias("class"))).distinct()
+    rows = (sent.join(sets, "class").select("i", "j", "class", F.lit(None).cast("long").alias("other"), "set")
+            .unionByName(placed.select("i", "j", F.col("a").alias("class"), F.col("b").alias("other"), F.lit(None).cast("binary").alias("set"))))
     percent = round(100 * threshold)
-    return common.filter(100 * F.col("common") >= percent * (F.col("total") - F.col("common"))).select("a", "b")
+
+    def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each block the sets, then the pairs."""
+        block, known = None, {}
+        for batch in batches:
+            found = []
+            for i, j, one, other, values in zip(*(column.to_pylist() for column in batch.columns)):
+                if block != (i, j):
+                    block, known = (i, j), {}
+                if values is not None:
+                    known[one] = np.frombuffer(values, np.uint64)
+                    continue
+                x, y = known[one], known[other]
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                if 100 * common >= percent * (len(x) + len(y) - common):
+                    found.append((one, other))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return rows.repartition("i", "j").sortWithinPartitions("i", "j", "other").mapInArrow(similar, "a long, b long")
 
 
 def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame, threshold: float, best: bool) -> DataFrame:
