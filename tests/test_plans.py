@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tablemargin.operators import incremental, serving, star
 from tablemargin.plans import registry
 from tablemargin.plans.shared_tables import SharedTables
+from tablemargin.session import own_session
 from tablemargin.sources.tables import write_table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -72,3 +73,27 @@ def test_sums_are_combined_before_the_shuffle(t):
 def test_top_k_sorts_within_tasks(t):
     fact = star.fact_financial_sales(t.lines(), t.cogs())
     assert "TakeOrderedAndProject" in plan(serving.menu_engineering(fact, k=5))
+
+
+def test_exploded_costs_are_not_broadcast_by_estimate(spark):
+    """The planner takes the cost table for as small as the parts it is exploded from."""
+    registry.load()
+    for name in ("cogs_delete", "cogs_upsert", "allocated_fact", "menu_cogs_grid", "join_cogs"):
+        assert "BroadcastExchange" not in plan(registry.QUERIES[name](spark, SF_DIR)), name
+
+
+def test_tasks_grow_in_number_and_not_in_size(spark):
+    """However few shuffle partitions the caller asks for, what one task reads is bounded."""
+    session = own_session(spark)
+    assert int(session.conf.get("spark.sql.shuffle.partitions")) < 100
+    found = session.range(0, 3_000_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).groupBy("k").count()
+    found.write.format("noop").mode("overwrite").save()
+    assert found.rdd.getNumPartitions() >= 10
+
+
+def test_documents_shuffle_no_hashes(t):
+    """Hashes, SKUs and currencies are made after the last shuffle of the documents."""
+    text = plan(t.order_documents())
+    assert "sha2" in text and "SKU_" in text
+    below = text[text.index("Exchange"):]
+    assert "sha2" not in below and "SKU_" not in below
