@@ -21,7 +21,8 @@ def _settled(t, merchant_id=None):
         return df if merchant_id is None else serving.tenant(df, merchant_id=merchant_id)
 
     recon = settlement.settlement_reconciliation(fenced(t.headers()), fenced(t.reports()))
-    return settlement.fact_with_settlement(star.allocated_fact(fenced(t.lines()), fenced(t.cogs())), recon)
+    fact = star.allocated_fact(fenced(t.lines()), fenced(t.cogs()), place="_place")
+    return settlement.fact_with_settlement(fact, recon, place="_place")
 
 
 @query("SELECT * FROM recon", ("recon",))

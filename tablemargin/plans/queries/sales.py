@@ -116,4 +116,5 @@ def documents_to_leakage(t):
     """End to end: landed documents to lines, allocated sales, settled payout and profit per marketplace."""
     lines = stage(flatten.silver_orders(t.bronze_orders(), SALT), "lines")
     recon = settlement.settlement_reconciliation(flatten.order_headers(lines), t.reports())
-    return serving.profit_leakage(settlement.fact_with_settlement(star.allocated_fact(lines, t.cogs()), recon))
+    return serving.profit_leakage(settlement.fact_with_settlement(
+        star.allocated_fact(lines, t.cogs(), place="_place"), recon, place="_place"))

@@ -1,5 +1,6 @@
 """Parts sum to the amount, whatever the size of the group and however it is cut."""
 
+import datetime as dt
 import random
 from fractions import Fraction
 
@@ -7,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablemargin.operators import allocate as allocation
+from tablemargin.operators import settlement, star
 from tablemargin.operators.allocate import allocate
+from tablemargin.sources.tables import stage
 
 SCHEMA = "g string, line int, weight bigint, amount bigint"
 
@@ -110,3 +113,20 @@ def test_products_beyond_64_bits(spark):
     rows = [("g", i, 10**17 + i, 10**17) for i in range(5)]
     got = sorted((r.line, r.share) for r in shares(spark, rows))
     assert got == brute_force([(r[1], r[2], r[3]) for r in rows])
+
+
+def test_lines_alike_but_for_a_cent_keep_their_places(spark):
+    """Repeated lines differ in the cent that rounding gave them; the order rows arrive in decides nothing."""
+    lines = spark.createDataFrame([("m", "o", "rappi", 1, "s", 1, 100, "2001-01-01 00:00:00", 1000)] * 7,
+        "merchant_id string, order_id string, source_marketplace string, line_item_no int, line_item_sku string, "
+        "line_item_qty int, line_item_unit_price bigint, created_at string, total_amount bigint").withColumn(
+        "created_at", F.col("created_at").cast("timestamp_ntz"))
+    costs = spark.createDataFrame([], "merchant_id string, line_item_sku string, recipe_cost bigint, packaging_cost bigint")
+    fact = stage(star.allocated_fact(lines, costs, place="at"), "fact")
+    assert sorted(r["at"] for r in fact.collect()) == list(range(1, 8))
+    days = spark.createDataFrame([("m", dt.date(2001, 1, 1), 853, 7, "")],
+        "merchant_id string, report_date date, net_payout_amount bigint, settlement_variance_amount bigint, variance_reason string")
+    got = [sorted((r.gross_order_value, r.net_payout_amount, r.settlement_variance_amount) for r in
+                  settlement.fact_with_settlement(fact.coalesce(1).sortWithinPartitions(by), days, place="at").collect())
+           for by in (F.col("at"), F.col("at").desc())]
+    assert got[0] == got[1] and sum(r[1] for r in got[0]) == 853
