@@ -17,6 +17,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 #: Documents below this probability of being of quality 1 go.
 QUALITY_FROM = 0.3
 TOKENIZER = "byte_bpe_50k.json"
+#: Words an encoder keeps and characters it learns at once: less than on its own, as the workers of four stages came before.
+BOUNDS = {"cached": 100_000, "slice_chars": 256 << 10}
 
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and the digests of the ids and of what they decode to."""
     path = public_tokenizers.path(TOKENIZER)
-    encoded = bpe.decode_ids(bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), path), path)
+    encoded = bpe.decode_ids(bpe.encode_texts(docs.select("doc_id", "lang", "source", "text"), path, **BOUNDS), path, **BOUNDS)
     return encoded.select("doc_id", "lang", "source", "token_ids", *bpe.digest_columns())
 
 

@@ -80,9 +80,9 @@ def _printable_bytes() -> dict[int, str]:
 class _Cache(dict):
     """A dictionary that forgets its older half instead of growing without bound."""
 
-    def __init__(self, make: Callable):
+    def __init__(self, make: Callable, most: int | None = None):
         super().__init__()
-        self.make, self.old = make, {}
+        self.make, self.old, self.most = make, {}, most
 
     def __missing__(self, key):
         value = self.old.pop(key, None)
@@ -97,7 +97,7 @@ class _Cache(dict):
             self[key] = value
 
     def make_room(self, entries: int) -> None:
-        if len(self) + entries > CACHED:
+        if len(self) + entries > (self.most or CACHED):
             self.old = dict(self)
             self.clear()
 
@@ -108,7 +108,10 @@ def _loose(word: str) -> bool:
 
 
 class Encoder:
+    """`spec` is that of `read_tokenizer`; `cached` and `slice` in it take the place of CACHED and SLICE."""
+
     def __init__(self, spec: dict):
+        self.slice = spec.get("slice") or SLICE
         self.vocab = spec["vocab"]
         self.byte_ids = spec["byte_ids"]
         self.vocab_array = pa.array(self.vocab, pa.large_binary())
@@ -136,8 +139,8 @@ class Encoder:
         self.byte_rules = self._rule_array(np.repeat(self.byte_array, 256), np.tile(self.byte_array, 256))
         self.pieces = regex.compile(PIECES)
         self.specials = regex.compile("|".join(regex.escape(a) for a in sorted(self.added, key=len, reverse=True))) if self.added else None
-        self.fragments = _Cache(self._merge)
-        self.words = _Cache(self._word)
+        self.fragments = _Cache(self._merge, spec.get("cached"))
+        self.words = _Cache(self._word, spec.get("cached"))
         self.marks = {m: self._pieces(m) for m in ".,;:!?"}
 
     def _rule_array(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -313,11 +316,11 @@ class Encoder:
         return np.frombuffer(b"".join([*out, self._ordinary(text[at:])]), dtype=np.int32)
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """`encode` of each text, new words of about SLICE characters together."""
+        """`encode` of each text, new words of about `slice` characters together."""
         out, begin, size = [], 0, 0
         for end, text in enumerate(texts, 1):
             size += len(text or "")
-            if size >= SLICE or end == len(texts):
+            if size >= self.slice or end == len(texts):
                 part = texts[begin:end]
                 self.learn([t for t in part if t])
                 out += map(self.encode, part)
@@ -358,20 +361,21 @@ def _encoder(spec) -> Encoder:
 
 
 @lru_cache(maxsize=4)
-def _shared(context, path: str):
+def _shared(context, path: str, cached: int | None = None, slice_chars: int | None = None):
     """One broadcast for all columns of a tokenizer, so that a worker builds one encoder for encoding and decoding."""
-    return context.broadcast(read_tokenizer(path))
+    return context.broadcast(read_tokenizer(path) | {"cached": cached, "slice": slice_chars})
 
 
 class BpeTokenizer:
     """Columns that encode and decode with the tokenizer file at `path`.
 
     The driver reads the file and broadcasts vocabulary and merges: their size is that of the tokenizer (one entry
-    for each id), whatever the data.
+    for each id), whatever the data.  `cached` and `slice_chars` (by default CACHED and SLICE) bound what a worker
+    holds: less of both takes less memory and more time, and gives the same ids.
     """
 
-    def __init__(self, spark, path: str):
-        spec = _shared(spark.sparkContext, path)
+    def __init__(self, spark, path: str, cached: int | None = None, slice_chars: int | None = None):
+        spec = _shared(spark.sparkContext, path, cached, slice_chars)
 
         @F.arrow_udf("array<int>")
         def encode(texts: pa.Array) -> pa.Array:
@@ -391,14 +395,14 @@ class BpeTokenizer:
         self.decode: Callable[[Column | str], Column] = decode
 
 
-def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
-    """`df` with the token ids of each whole text; NULL texts have an empty list."""
-    return df.withColumn(ids, BpeTokenizer(df.sparkSession, path).encode(F.col(text)))
+def encode_texts(df: DataFrame, path: str, text: str = "text", ids: str = "token_ids", **bounds: int) -> DataFrame:
+    """`df` with the token ids of each whole text; NULL texts have an empty list.  `bounds` as in `BpeTokenizer`."""
+    return df.withColumn(ids, BpeTokenizer(df.sparkSession, path, **bounds).encode(F.col(text)))
 
 
-def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded_text") -> DataFrame:
-    """`df` with the text of each list of ids, special tokens included."""
-    return df.withColumn(text, BpeTokenizer(df.sparkSession, path).decode(F.col(ids)))
+def decode_ids(df: DataFrame, path: str, ids: str = "token_ids", text: str = "decoded_text", **bounds: int) -> DataFrame:
+    """`df` with the text of each list of ids, special tokens included; with the `bounds` of the encoding they share an encoder."""
+    return df.withColumn(text, BpeTokenizer(df.sparkSession, path, **bounds).decode(F.col(ids)))
 
 
 def digest_columns(ids: str = "token_ids", text: str = "decoded_text") -> list[Column]:
