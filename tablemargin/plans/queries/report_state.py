@@ -9,7 +9,7 @@ from tablemargin.plans.build import Warehouse, build
 from tablemargin.plans.registry import query
 from tablemargin.plans.shared_tables import SALT, landing_date
 from tablemargin.session import scratch_path
-from tablemargin.sources.bronze import read_bronze, write_bronze
+from tablemargin.sources.bronze import DAILY, read_bronze, write_bronze
 from tablemargin.streaming.ingest import stream_bronze
 from tablemargin.streaming.reports import stream_reports
 
@@ -28,12 +28,15 @@ def late_results_build(t):
 
 
 def _landed(t, root: str, documents: DataFrame, endpoint: str, payload, cut: int) -> None:
-    """Documents as JSON, those of days divisible by `cut` broken off half way."""
+    """Documents as JSON, those of days divisible by `cut` broken off half way.
+
+    Every job has a run of its own, so a directory for each run of a merchant would hold one document.
+    """
     whole = F.to_json(payload)
     half = F.expr("left(whole, length(whole) div 2)")
     write_bronze(documents.withColumn("whole", whole).select(
         F.col("path_merchant_id").alias("merchant_id"), F.lit(endpoint).alias("endpoint"), landing_date(F.col("path_date")).alias("target_date"),
-        "run_timestamp_utc", F.when(F.dayofmonth("path_date") % cut == 0, half).otherwise(F.col("whole")).alias("payload")), root)
+        "run_timestamp_utc", F.when(F.dayofmonth("path_date") % cut == 0, half).otherwise(F.col("whole")).alias("payload")), root, DAILY)
 
 
 @query("""SELECT 'bronze_reports_enqueue' AS table_name, 'job_id_present' AS check_name, 'warn' AS severity,
@@ -45,6 +48,7 @@ def _landed(t, root: str, documents: DataFrame, endpoint: str, payload, cut: int
                  count_if(extract(day FROM day) % 9 = 0 AND d % 10 <> 1) FROM jobs""", ("jobs",))
 def report_gate(t):
     """Requests and results, some broken off, some without a job: the checks that stop a build before it keeps anything."""
+    t.keep_report_jobs()
     root = scratch_path(t.spark, "report-landing")
     job = F.when(F.dayofmonth("path_date") != 2, F.col("jobId")).alias("jobId")
     _landed(t, root, t.bronze_enqueue(), "reports_enqueue", F.struct(job, "status"), 7)

@@ -15,6 +15,7 @@ from tablemargin.functions.money import commission
 from tablemargin.functions.naming import RUN_TIME_FORMAT
 from tablemargin.operators.flatten import with_salted_customer
 from tablemargin.schemas import BRONZE_ORDERS
+from tablemargin.sources.tables import stage
 
 MERCHANTS = 20
 SALT = "pepper-for-tests"
@@ -207,6 +208,10 @@ class SharedTables:
             (F.col("gross") - F.col("fee") - short + F.when(d % 11 == 0, 300).otherwise(0)).alias("net"),
             F.when(d == 23, "EUR").otherwise("USD").alias("currency"))
 
+    def keep_report_jobs(self) -> None:
+        """Compute the report jobs once for all frames that are made of them from now on."""
+        self._frames["report_jobs",] = stage(self.report_jobs(), "report-jobs")
+
     @_once
     def bronze_enqueue(self) -> DataFrame:
         """Report requests; on days divisible by 4 the job was requested again half an hour later."""

@@ -2,9 +2,27 @@
 
 from pyspark.sql import functions as F
 
+from tablemargin.plans import registry
+from tablemargin.plans.queries import report_state
+from tablemargin.plans.shared_tables import SharedTables
 from tablemargin.schemas import BRONZE_ORDERS
 from tablemargin.sources import variant
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_report_gate_lands_few_directories(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(report_state, "scratch_path", lambda _, name: str(tmp_path / name))
+    registry.QUERIES["report_gate"](spark, SF_DIR).collect()
+    assert 0 < len({p.parent for p in tmp_path.rglob("*.parquet")}) < 20
+
+
+def test_report_jobs_are_computed_once(spark):
+    t = SharedTables(spark, SF_DIR)
+    t.keep_report_jobs()
+    for frame in (t.bronze_enqueue(), t.bronze_result()):
+        assert frame.count() and not any("orders.parquet" in f for f in frame.inputFiles())
+
 
 def test_misfits_take_a_document_apart_once(spark):
     assert str(variant._misfit(F.col("payload"), BRONZE_ORDERS)).count("payload") <= 3
