@@ -98,7 +98,7 @@ def full_refresh(t):
 
 def _edits(t):
     """Two edits of every third ledger row, and costs for the pairs that had none."""
-    part = t.table("part").select(F.explode(F.array(F.lit(1), F.lit(2))).alias("edit"), "p_partkey")
+    part = t.spread_parts().select(F.explode(F.array(F.lit(1), F.lit(2))).alias("edit"), "p_partkey")
     rows = part.withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(19)))).where(
         (F.col("p_partkey") + F.col("m")) % 3 == 0)
     return rows.select(

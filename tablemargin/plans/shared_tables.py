@@ -18,6 +18,8 @@ from tablemargin.schemas import BRONZE_ORDERS
 from tablemargin.sources.tables import stage
 
 MERCHANTS = 20
+# Parts that a task makes cost rows of, some twenty for each.
+PARTS_OF_A_TASK = 10_000
 SALT = "pepper-for-tests"
 FIRST_RUN = dt.datetime(2002, 1, 1, 2, 0, 0)
 SECOND_RUN = dt.datetime(2002, 1, 2, 2, 0, 0)
@@ -114,11 +116,18 @@ class SharedTables:
             "customer_name_hash", "customer_phone_hash",
             "customer_name_hash_salted", "customer_phone_hash_salted", "store_tz", "o_orderkey")
 
+    @_once
+    def spread_parts(self) -> DataFrame:
+        """Keys and prices of the parts, dealt to tasks by their number: the file is small, what `explode` makes of it is not."""
+        parts = self.table("part").select("p_partkey", "p_retailprice")
+        tasks = -(-parts.count() // PARTS_OF_A_TASK)
+        return parts.repartition(tasks) if tasks > 1 else parts
+
     @_once
     def cogs(self) -> DataFrame:
         """Costs in minor units for nine of ten (merchant, SKU) pairs."""
         price = cents(F.col("p_retailprice"))
-        return self.table("part").withColumn(
+        return self.spread_parts().withColumn(
             "m", F.explode(F.sequence(F.lit(0), F.lit(MERCHANTS - 1)))).where(
             (F.col("p_partkey") + F.col("m")) % 10 != 0).select(
             merchant_of(F.col("m")).alias("merchant_id"),

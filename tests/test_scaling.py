@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tablemargin.plans import registry
+from tablemargin.plans import registry, shared_tables
 from tablemargin.plans.queries import report_state
 from tablemargin.plans.shared_tables import SharedTables
 from tablemargin.schemas import BRONZE_ORDERS
@@ -11,6 +11,13 @@ from tablemargin.sources import variant
 SF_DIR = "/root/testdata/sf0.001"
 
 
+def test_cost_rows_are_dealt_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(shared_tables, "PARTS_OF_A_TASK", 50, raising=False)
+    costs = SharedTables(spark, SF_DIR).cogs()
+    rows = [r["count"] for r in costs.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert len(rows) > 1 and max(rows) <= 2 * 50 * shared_tables.MERCHANTS
+
+
 def test_report_gate_lands_few_directories(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(report_state, "scratch_path", lambda _, name: str(tmp_path / name))
     registry.QUERIES["report_gate"](spark, SF_DIR).collect()
