@@ -15,12 +15,13 @@ as the sets overlap.
 4. Second round: in buckets that still hold several components every member outside the largest one is compared with
    all members of other components, in blocks of `BLOCK` by `BLOCK` sketches, and becomes a candidate with the one of each
    block that it most resembles. This joins what can be joined, by few pairs a member.
-5. Third round: the same, but now all pairs that pass the estimate leave a block, each from the first bucket that it
-   shares. They are confirmed, and the components joined. To be confirmed, pairs are dealt to blocks of about
-   `TOGETHER` by `TOGETHER` sets, and a set goes once to each block that has a pair of it.
+5. Third round: the same blocks, but now all pairs that pass the estimate count, each in the first bucket that it
+   shares. Only the members of such pairs leave a block. Their full sets come to the block, which confirms all its pairs
+   and hands out links that join components: at most one for each member, however many pairs it confirmed or refused.
 
-So a link can only be lost to the two error bounds above, however large a bucket is, and no bucket's pairs are all
-written out.
+In the first two rounds pairs to confirm are dealt to blocks of about `TOGETHER` by `TOGETHER` sets, and a set goes once
+to each block that has a pair of it. So a link can only be lost to the two error bounds above, however large a bucket
+is, and no bucket's pairs are all written out.
 
 Defined results: a NULL text, or one without words, has an empty set and is linked with nothing. With fewer words than
 a shingle the whole sequence is the one element. The representative of a component is its smallest key; rows without
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -181,10 +182,8 @@ def _hub_candidates(members: DataFrame, classes: DataFrame, threshold: float) ->
     return sized.filter(_likely(threshold, "s_a", "s_b", "n_a", "n_b")).select("a", "b")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int,
-             threshold: float) -> DataFrame:
-    """The pairs (a, b) whose full sets are at least that similar."""
-    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+def _full_sets(needed: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFrame, int]:
+    """(class, set) of the classes in `needed`, and the number of documents that they are read from."""
     keys = stage(needed.join(classes.select("class", "key"), "class").select("key").distinct(), "neardup-keys")
     n_keys = keys.count()
     if n_keys <= BROADCAST_KEYS:
@@ -200,7 +199,19 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
     texts = (documents.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
              .join(keys, F.col("_key").eqNullSafe(F.col("key")), "left_semi"))
     sets = texts.select(full_set("_text").alias("s")).select("s.class", "s.set").join(needed, "class", "left_semi").dropDuplicates(["class"])
-    sets = stage(sets, "neardup-sets")
+    return stage(sets, "neardup-sets"), n_keys
+
+
+def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * common >= percent * (len(x) + len(y) - common)
+
+
+def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int,
+             threshold: float) -> DataFrame:
+    """The pairs (a, b) whose full sets are at least that similar."""
+    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    sets, n_keys = _full_sets(needed, classes, documents, key, text, shingle)
 
     # A set goes once to each block of pairs that needs it, not once to each pair.
     blocks = F.lit(-(-n_keys // TOGETHER) or 1)
@@ -221,20 +232,15 @@ def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: st
                 if values is not None:
                     known[one] = np.frombuffer(values, np.uint64)
                     continue
-                x, y = known[one], known[other]
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * common >= percent * (len(x) + len(y) - common):
+                if _alike(known[one], known[other], percent):
                     found.append((one, other))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return rows.repartition("i", "j").sortWithinPartitions("i", "j", "other").mapInArrow(similar, "a long, b long")
 
 
-def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame, threshold: float, best: bool) -> DataFrame:
-    """(a, b): estimated pairs of different components in buckets that hold several.
-
-    With `best` only each outside member's most similar one in each block, else all.
-    """
+def _blocks(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, i, j, class, root, probe): the pairs of blocks of buckets that hold several components."""
     placed = members.join(roots.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
     # In a bucket of two both were compared in the first round.
@@ -250,37 +256,42 @@ def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame,
                         F.lit(False).alias("probe"))
     probes = base.filter("outside").select("bucket", "class", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("i"), "j",
                                            F.lit(True).alias("probe"))
-    rows = dealt.unionByName(probes).join(classes.select("class", "n", "sketch"), "class")
-    least = floor_of(threshold)
+    return dealt.unionByName(probes)
 
-    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Whole block pairs, one after the other."""
-        grid = np.frombuffer(b"".join(pdf["sketch"]), np.uint16).reshape(len(pdf), -1)
-        bands, (n, root, ids, probe) = grid.view(np.uint64), (pdf[c].to_numpy() for c in ("n", "root", "class", "probe"))
-        probe, out = probe.astype(bool), []
-        for (bucket, _, _), lo, hi in _pairs_of_blocks(pdf):
-            others = lo + np.flatnonzero(~probe[lo:hi])
-            for one in (lo + np.flatnonzero(probe[lo:hi]) if len(others) else ()):
-                able = others[(root[others] != root[one]) & (np.minimum(n[others], n[one]) >= threshold * np.maximum(n[others], n[one]))]
-                equal = (grid[one] == grid[able]).sum(1)
-                # Far below what the estimate asks for, so only the plainly different are left out early.
-                enough = equal >= (threshold - 0.3) * REGISTERS
-                able, equal = able[enough], equal[enough]
-                if not len(able):
-                    continue
-                # Only in the first bucket that both share.
-                first = (bands[able] == bands[one]).argmax(axis=1)
-                here = band_keys(grid[one])[first] == bucket
-                able, equal = able[here], equal[here]
-                larger = (grid[one] > grid[able]).sum(1)
-                near = likely(least, larger, REGISTERS - equal - larger, equal, np.full(len(able), float(n[one])), n[able].astype(float))
-                able, equal = able[near], equal[near]
-                if best and len(able):
-                    able = able[[np.argmax(equal)]]
-                out += [(ids[one], c) for c in ids[able]]
-        pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
+def _candidates(pdf: pd.DataFrame, threshold: float, best: bool = False) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """(from, to, member, others): of whole block pairs each probe with the members of other components that it may be linked with.
+
+    All are row numbers, the first two those of the block pair. With `best` only the most similar other one counts.
+    """
+    grid = np.frombuffer(b"".join(pdf["sketch"]), np.uint16).reshape(len(pdf), -1)
+    bands, (n, root, probe) = grid.view(np.uint64), (pdf[c].to_numpy() for c in ("n", "root", "probe"))
+    probe, least = probe.astype(bool), floor_of(threshold)
+    for (bucket, _, _), lo, hi in _pairs_of_blocks(pdf):
+        others = lo + np.flatnonzero(~probe[lo:hi])
+        for one in (lo + np.flatnonzero(probe[lo:hi]) if len(others) else ()):
+            able = others[(root[others] != root[one]) & (np.minimum(n[others], n[one]) >= threshold * np.maximum(n[others], n[one]))]
+            equal = (grid[one] == grid[able]).sum(1)
+            # Far below what the estimate asks for, so only the plainly different are left out early.
+            enough = equal >= (threshold - 0.3) * REGISTERS
+            able, equal = able[enough], equal[enough]
+            if not len(able):
+                continue
+            # Only in the first bucket that both share.
+            first = (bands[able] == bands[one]).argmax(axis=1)
+            here = band_keys(grid[one])[first] == bucket
+            able, equal = able[here], equal[here]
+            larger = (grid[one] > grid[able]).sum(1)
+            near = likely(least, larger, REGISTERS - equal - larger, equal, np.full(len(able), float(n[one])), n[able].astype(float))
+            able, equal = able[near], equal[near]
+            if best and len(able):
+                able = able[[np.argmax(equal)]]
+            if len(able):
+                yield lo, hi, one, able
+
+
+def _by_blocks(rows: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """`work` on whole block pairs. They have at most 2 * BLOCK rows, and most have a few, so that they are streamed."""
     def stream(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for pdf in frames:
@@ -289,13 +300,69 @@ def _block_candidates(members: DataFrame, classes: DataFrame, roots: DataFrame,
             # The next frame may go on with the last pair of blocks.
             rest = pdf.iloc[last:]
             if last:
-                yield compare(pdf.iloc[:last])
+                yield work(pdf.iloc[:last])
         if rest is not None and len(rest):
-            yield compare(rest)
+            yield work(rest)
+
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInPandas(stream, schema)
+
+
+def _best_candidates(blocks: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): each outside member with its most similar one of another component in each block, estimated."""
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = pdf["class"].to_numpy()
+        pairs = np.array([(ids[one], ids[able[0]]) for _, _, one, able in _candidates(pdf, threshold, best=True)], dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
+
+    return _by_blocks(blocks.join(classes.select("class", "n", "sketch"), "class"), compare, "a long, b long").distinct()
+
+
+def _members_of_candidates(blocks: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """The rows of `blocks` that are in a pair of different components that passes the estimate."""
+    columns = blocks.columns
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = np.zeros(len(pdf), bool)
+        for _, _, one, able in _candidates(pdf, threshold):
+            found[one] = True
+            found[able] = True
+        return pdf.loc[found, columns]
+
+    rows = blocks.join(classes.select("class", "n", "sketch"), "class")
+    return _by_blocks(rows, compare, "bucket long, i long, j long, class long, root long, probe boolean").select(columns)
+
+
+def _links_of_blocks(blocks: DataFrame, classes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): confirmed links that join all components that a block pair of `blocks` can join."""
+    percent = round(100 * threshold)
+
+    def link(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, root, values = (pdf[c].to_numpy() for c in ("class", "root", "set"))
+        out, block, parent = [], None, {}
+
+        def find(x: int) -> int:
+            while (above := parent.get(x, x)) != x:
+                parent[x] = parent.get(above, above)
+                x = above
+            return x
+
+        for lo, hi, one, able in _candidates(pdf, threshold):
+            if block != lo:
+                block, parent, known = lo, {}, {}
+            for k in (one, *able):
+                if k not in known:
+                    known[k] = np.frombuffer(values[k], np.uint64)
+            for other in able:
+                a, b = find(root[one]), find(root[other])
+                # Joined already: one more link would change no component.
+                if a != b and _alike(known[one], known[other], percent):
+                    parent[b] = a
+                    out.append((ids[one], ids[other]))
+        pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
-    # A pair of blocks has at most 2 * BLOCK rows, and most have a few: they are streamed instead of being a group each.
-    dealt_out = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return dealt_out.mapInPandas(stream, "a long, b long").distinct()
+    rows = blocks.join(classes.select("class", "n", "sketch"), "class").join(sets, "class")
+    return _by_blocks(rows, link, "a long, b long").distinct()
 
 
 def _pairs_of_blocks(pdf: pd.DataFrame) -> Iterator[tuple[tuple, int, int]]:
@@ -325,12 +392,16 @@ def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id
     pairs = stage(_hub_candidates(members, classes, threshold), "neardup-pairs")
     links = stage(_confirm(pairs, classes, documents, key, text, shingle, threshold), "neardup-links")
     roots = stage(components(links), "neardup-roots")
-    for best in (True, False):
-        pairs = stage(_block_candidates(members, classes, roots, threshold, best), "neardup-pairs")
-        links = _confirm(pairs, classes, documents, key, text, shingle, threshold)
-        tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = stage(components(tree.unionByName(links)), "neardup-roots")
-    joined = roots
+    tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    pairs = stage(_best_candidates(_blocks(members, roots), classes, threshold), "neardup-pairs")
+    links = _confirm(pairs, classes, documents, key, text, shingle, threshold)
+    roots = stage(components(tree.unionByName(links)), "neardup-roots")
+
+    tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    blocks = stage(_members_of_candidates(_blocks(members, roots), classes, threshold), "neardup-blocks")
+    sets, _ = _full_sets(blocks.select("class").distinct(), classes, documents, key, text, shingle)
+    links = _links_of_blocks(blocks, classes, sets, threshold)
+    joined = stage(components(tree.unionByName(links)), "neardup-roots")
 
     # The smallest key of a component; classes without links are their own.
     rooted = classes.select("class", "key").join(joined.withColumnRenamed("node", "class"), "class", "left")

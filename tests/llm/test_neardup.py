@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tablemargin.llm import components, neardup
 from tablemargin.llm.queries import QUERIES
+from tablemargin.sources.tables import stage
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -113,3 +114,28 @@ def test_components_of_a_long_chain(spark):
     links = spark.range(0, 60).selectExpr("id + 1 as a", "id as b").unionByName(spark.createDataFrame([(100, 101), (7, 7)], "a long, b long"))
     got = {r.node: r.root for r in components.components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_a_group_of_related_texts_writes_no_pairs_of_its_members(documents, monkeypatch):
+    """Texts that all pass the estimate with each other, and are mostly refused: what is written grows with the members, not their pairs."""
+    rng = random.Random(4)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    base = rng.choices(vocabulary, k=200)
+    texts = []
+    for _ in range(300):
+        copy = list(base)
+        for at in rng.sample(range(200), 5):
+            copy[at] = rng.choice(vocabulary)
+        texts.append(" ".join(copy))
+    written = {}
+
+    def counted(df, name, *rest):
+        out = stage(df, name, *rest)
+        written[name] = max(written.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(neardup, "stage", counted)
+    got = rows(neardup.near_duplicates(documents(list(enumerate(texts)))))
+    assert got == brute(list(enumerate(texts)))
+    # 44,850 pairs; a member stands in each of its 40 buckets at most twice.
+    assert written["neardup-pairs"] <= 40 * 300 and written.get("neardup-blocks", 0) <= 2 * written["neardup-members"]
