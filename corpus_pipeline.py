@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tablemargin.llm import bpe, decontaminate, neardup, quality_mil, quality_rules
 from tablemargin.llm.batches import bounded_batches
 from tablemargin.llm.samples import fold
+from tablemargin.session import delete_scratch, scratch_noted
 from tablemargin.sources.tables import stage
 
 #: The near-duplicate stage compares runs of five words.
@@ -65,18 +66,31 @@ def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return encoded.select("doc_id", "lang", "source", "token_ids", *bpe.digest_columns())
 
 
-def _bounded(function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """The stage with Arrow batches of a few MB, so that five stages fit into the workers' memory one after the other."""
-    return lambda spark, docs, sf_dir: function(bounded_batches(spark), docs, sf_dir)
+#: What each stage has staged and its result may still read, by the stage's name.
+_staged: dict[str, list[str]] = {}
 
 
+def _bounded(name: str, after: str | None, function: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage with Arrow batches of a few MB, so that five stages fit into the workers' memory one after the other.
+
+    It begins by deleting what the stage before it staged: that one's result is written by now. What `docs` still reads stays.
+    """
+    def bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if before := _staged.pop(after, None):
+            files = docs.inputFiles()
+            delete_scratch(spark, [p for p in before if not any(f"/{p.rsplit('/', 1)[-1]}/" in f for f in files)])
+        with scratch_noted() as paths:
+            out = function(bounded_batches(spark), docs, sf_dir)
+        _staged[name] = paths
+        return out
+
+    return bounded
+
+
+_NAMED = [("quality_rules", quality_rules_stage), ("quality_classifier", quality_classifier_stage),
+          ("near_duplicates", near_duplicates_stage), ("decontamination", decontamination_stage), ("bpe_tokens", tokens_stage)]
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", _bounded(quality_rules_stage)),
-    ("quality_classifier", _bounded(quality_classifier_stage)),
-    ("near_duplicates", _bounded(near_duplicates_stage)),
-    ("decontamination", _bounded(decontamination_stage)),
-    ("bpe_tokens", _bounded(tokens_stage)),
-]
+    (name, _bounded(name, after, function)) for (name, function), after in zip(_NAMED, [None, *(n for n, _ in _NAMED)])]
 
 #: Fitted models and ids are beyond SQL; the stages are tested against brute force instead.
 ORACLE_SQL: str | None = None

@@ -42,7 +42,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablemargin.llm.batches import Words, distinct_by_row, slices
 from tablemargin.llm.components import components
-from tablemargin.sources.tables import stage
+from tablemargin.session import scratch_path, scratch_scope
+from tablemargin.sources.tables import stage, write_table
 
 REGISTERS, BAND = 160, 4
 #: Base of the register scale, and the rate that places it.
@@ -385,23 +386,27 @@ def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id
     drawn = stage(drawn, "neardup-sketches")
     classes = stage(drawn.filter("_class is not null").groupBy(F.col("_class").alias("class")).agg(
         F.min(key).alias("key"), F.min("_n").alias("n"), F.min("_sketch").alias("sketch")), "neardup-classes")
-    buckets = classes.select("class", F.explode(_buckets("sketch")).alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = stage(buckets.join(shared, "bucket"), "neardup-members")
-
-    pairs = stage(_hub_candidates(members, classes, threshold), "neardup-pairs")
-    links = stage(_confirm(pairs, classes, documents, key, text, shingle, threshold), "neardup-links")
-    roots = stage(components(links), "neardup-roots")
-    tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    pairs = stage(_best_candidates(_blocks(members, roots), classes, threshold), "neardup-pairs")
-    links = _confirm(pairs, classes, documents, key, text, shingle, threshold)
-    roots = stage(components(tree.unionByName(links)), "neardup-roots")
-
-    tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-    blocks = stage(_members_of_candidates(_blocks(members, roots), classes, threshold), "neardup-blocks")
-    sets, _ = _full_sets(blocks.select("class").distinct(), classes, documents, key, text, shingle)
-    links = _links_of_blocks(blocks, classes, sets, threshold)
-    joined = stage(components(tree.unionByName(links)), "neardup-roots")
+    # The rounds leave their links only: what they staged may be longer than the documents.
+    path = scratch_path(documents.sparkSession, "neardup-roots")
+    with scratch_scope(documents.sparkSession):
+        buckets = classes.select("class", F.explode(_buckets("sketch")).alias("bucket"))
+        shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+        members = stage(buckets.join(shared, "bucket"), "neardup-members")
+
+        pairs = stage(_hub_candidates(members, classes, threshold), "neardup-pairs")
+        links = stage(_confirm(pairs, classes, documents, key, text, shingle, threshold), "neardup-links")
+        roots = stage(components(links), "neardup-roots")
+        tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        pairs = stage(_best_candidates(_blocks(members, roots), classes, threshold), "neardup-pairs")
+        links = _confirm(pairs, classes, documents, key, text, shingle, threshold)
+        roots = stage(components(tree.unionByName(links)), "neardup-roots")
+
+        tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        blocks = stage(_members_of_candidates(_blocks(members, roots), classes, threshold), "neardup-blocks")
+        sets, _ = _full_sets(blocks.select("class").distinct(), classes, documents, key, text, shingle)
+        links = _links_of_blocks(blocks, classes, sets, threshold)
+        write_table(components(tree.unionByName(links)), path)
+    joined = documents.sparkSession.read.schema("node long, root long").parquet(path)
 
     # The smallest key of a component; classes without links are their own.
     rooted = classes.select("class", "key").join(joined.withColumnRenamed("node", "class"), "class", "left")

@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tablemargin.sources.tables import exists
 from test_decontaminate import brute as brute_hits
 from test_neardup import brute as brute_groups
 
@@ -87,3 +88,22 @@ def test_folds_agree_with_zlib(spark):
     from tablemargin.llm.samples import fold
     got = spark.range(-5, 50).select("id", fold(F.col("id"), 7).alias("f")).collect()
     assert all(r.f == zlib.crc32(str(r.id).encode()) % 7 for r in got)
+
+
+def test_a_stage_deletes_what_the_one_before_it_staged(spark):
+    """Once that one's result is written; what a result still reads stays."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    for i, (name, function) in enumerate(corpus_pipeline.STAGES[:4]):
+        lazy = function(spark, docs, sf_dir)
+        paths = corpus_pipeline._staged[name]
+        docs = corpus_pipeline.stage(lazy, "test")
+        if i < 3:
+            after = corpus_pipeline.STAGES[i + 1][1]
+            after(spark, lazy, sf_dir).count()
+            assert lazy.count() == docs.count()
+            corpus_pipeline._staged[name] = paths
+            after(spark, docs, sf_dir).count()
+            assert not any(exists(spark, p) for p in paths)
+    assert names == ["quality_rules", "quality_classifier", "near_duplicates", "decontamination", "bpe_tokens"]
