@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from tablemargin.plans import registry, shared_tables
+from tablemargin import session
+from tablemargin.plans import build, registry, shared_tables
 from tablemargin.plans.queries import report_state
 from tablemargin.plans.shared_tables import SharedTables
 from tablemargin.schemas import BRONZE_ORDERS
 from tablemargin.sources import variant
+from tablemargin.sources.tables import stage, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -33,3 +35,24 @@ def test_report_jobs_are_computed_once(spark):
 
 def test_misfits_take_a_document_apart_once(spark):
     assert str(variant._misfit(F.col("payload"), BRONZE_ORDERS)).count("payload") <= 3
+
+
+def test_what_is_staged_is_zstandard_and_tables_are_snappy(spark, tmp_path):
+    rows = session.own_session(spark).range(10)
+    assert all(f.endswith(".zstd.parquet") for f in stage(rows, "small").inputFiles())
+    write_table(rows, str(tmp_path / "table"))
+    assert all(f.endswith(".snappy.parquet") for f in spark.read.parquet(str(tmp_path / "table")).inputFiles())
+
+
+def test_a_build_deletes_its_shuffle_files(spark, monkeypatch, tmp_path):
+    """While it builds, not after it: what the caller computes may be read twice."""
+    seen = []
+
+    def build_nothing(wh, *rest):
+        seen.append(wh.spark.conf.get(session.CLEANUP))
+        return wh.spark.createDataFrame([("t", 1)], "table_name string, failing_rows long")
+
+    before = spark.conf.get(session.CLEANUP, None)
+    monkeypatch.setattr(build, "_build", build_nothing)
+    build.build(build.Warehouse(spark, str(tmp_path), "salt"))
+    assert seen == ["true"] and spark.conf.get(session.CLEANUP, None) == before
