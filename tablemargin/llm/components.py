@@ -26,7 +26,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root) of every node that has a link (columns a, b); the root is the smallest node of its component.
+    """(node, root) of every node that has a link (columns a, b); the root is the smallest node of its component."""
+    roots = roots_of_others(links)
+    return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+
+
+def roots_of_others(links: DataFrame) -> DataFrame:
+    """`components` without the roots' own rows: it reads what the last round wrote, with no shuffle after it.
 
     Each round is written before the next reads it. Rounds end when all edges form stars, which another round would not
     change; their number grows with the logarithm of the number of nodes. Self-links, repeated and reversed links do no
@@ -36,8 +42,7 @@ def components(links: DataFrame) -> DataFrame:
                   "links")
     while not _stars(edges):
         edges = stage(_small_star(_large_star(edges)), "links")
-    roots = edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
-    return roots.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+    return edges.select(F.col("b").alias("node"), F.col("a").alias("root"))
 
 
 def _stars(edges: DataFrame) -> bool:

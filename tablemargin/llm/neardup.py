@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tablemargin.llm.batches import Words, distinct_by_row, slices
-from tablemargin.llm.components import components
+from tablemargin.llm.components import roots_of_others
 from tablemargin.session import scratch_path, scratch_scope
 from tablemargin.sources.tables import stage, write_table
 
@@ -184,8 +184,11 @@ def _hub_candidates(members: DataFrame, classes: DataFrame, threshold: float) ->
 
 
 def _full_sets(needed: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int) -> tuple[DataFrame, int]:
-    """(class, set) of the classes in `needed`, and the number of documents that they are read from."""
-    keys = stage(needed.join(classes.select("class", "key"), "class").select("key").distinct(), "neardup-keys")
+    """(class, set) of the classes in `needed`, where they may repeat, and the number of classes.
+
+    Nothing is made distinct before a semi-join, which does not ask how often a class or key occurs.
+    """
+    keys = stage(classes.select("class", "key").join(needed, "class", "left_semi").select("key"), "neardup-keys")
     n_keys = keys.count()
     if n_keys <= BROADCAST_KEYS:
         keys = F.broadcast(keys)
@@ -211,7 +214,7 @@ def _alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 def _confirm(pairs: DataFrame, classes: DataFrame, documents: DataFrame, key: str, text: str, shingle: int,
              threshold: float) -> DataFrame:
     """The pairs (a, b) whose full sets are at least that similar."""
-    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class"))).distinct()
+    needed = pairs.select(F.col("a").alias("class")).unionByName(pairs.select(F.col("b").alias("class")))
     sets, n_keys = _full_sets(needed, classes, documents, key, text, shingle)
 
     # A set goes once to each block of pairs that needs it, not once to each pair.
@@ -393,19 +396,20 @@ def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id
         shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
         members = stage(buckets.join(shared, "bucket"), "neardup-members")
 
+        # Roots are left out as nodes: what is no node is its own root.
         pairs = stage(_hub_candidates(members, classes, threshold), "neardup-pairs")
-        links = stage(_confirm(pairs, classes, documents, key, text, shingle, threshold), "neardup-links")
-        roots = stage(components(links), "neardup-roots")
+        roots = roots_of_others(_confirm(pairs, classes, documents, key, text, shingle, threshold))
+
         tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         pairs = stage(_best_candidates(_blocks(members, roots), classes, threshold), "neardup-pairs")
         links = _confirm(pairs, classes, documents, key, text, shingle, threshold)
-        roots = stage(components(tree.unionByName(links)), "neardup-roots")
+        roots = roots_of_others(tree.unionByName(links))
 
         tree = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         blocks = stage(_members_of_candidates(_blocks(members, roots), classes, threshold), "neardup-blocks")
-        sets, _ = _full_sets(blocks.select("class").distinct(), classes, documents, key, text, shingle)
+        sets, _ = _full_sets(blocks.select("class"), classes, documents, key, text, shingle)
         links = _links_of_blocks(blocks, classes, sets, threshold)
-        write_table(components(tree.unionByName(links)), path)
+        write_table(roots_of_others(tree.unionByName(links)), path)
     joined = documents.sparkSession.read.schema("node long, root long").parquet(path)
 
     # The smallest key of a component; classes without links are their own.

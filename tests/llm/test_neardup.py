@@ -116,6 +116,13 @@ def test_components_of_a_long_chain(spark):
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
 
 
+def test_roots_are_read_without_another_shuffle(spark):
+    links = spark.createDataFrame([(1, 0), (2, 1), (5, 4)], "a long, b long")
+    roots = components.roots_of_others(links)
+    assert "Exchange" not in roots._jdf.queryExecution().executedPlan().toString()
+    assert {r.node: r.root for r in roots.collect()} == {1: 0, 2: 0, 5: 4}
+
+
 def test_a_group_of_related_texts_writes_no_pairs_of_its_members(documents, monkeypatch):
     """Texts that all pass the estimate with each other, and are mostly refused: what is written grows with the members, not their pairs."""
     rng = random.Random(4)
