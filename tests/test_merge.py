@@ -7,7 +7,7 @@ import pytest
 
 from tablemargin.operators import merge
 from tablemargin.operators.merge import merge_replace
-from tablemargin.sources.tables import exists, read_table, replace_table, write_table
+from tablemargin.sources.tables import exists, read_table, replace_table, stage, write_table
 
 SCHEMA = "id string, item int, v int, run int, m string, d string"
 KEYS = ["m", "id"]
@@ -193,3 +193,20 @@ def test_cost_edits(spark):
                     ("store_002", "FRIES"): (2.0, 2.0)}
     gone = ledger(spark, [("store_001", "BURGER", 0, 0, 1), ("store_009", "NOTHING", 0, 0, 1)])
     assert [r.line_item_sku for r in merge.delete_cogs(start, gone).collect()] == ["FRIES"]
+
+
+def test_a_settled_source_is_not_staged_again(spark, path, monkeypatch):
+    staged = []
+
+    def noted(df, name, *rest):
+        staged.append(name)
+        return stage(df, name, *rest)
+
+    monkeypatch.setattr(merge, "stage", noted)
+    keys = "id string, m string, run int"
+    for rows, gone in (([("a", 1, 5, 2, "m1", "d1"), ("a", 2, 5, 2, "m1", "d1"), ("b", 1, 5, 2, "m1", "d2")], []),
+                       ([("a", 1, 4, 1, "m1", "d1"), ("b", 1, 6, 3, "m1", "d3")], []),
+                       ([("c", 1, 7, 4, None, "d1")], [("b", "m1", 2), ("a", "m1", 4)])):
+        merge_replace(path, frame(spark, rows), KEYS, ["m", "d"], version="run", clear=frame(spark, gone, keys), settled=True)
+    assert "merge-in" not in staged
+    assert sorted(map(str, held(spark, path))) == [str(("b", 1, 6, 3, "m1", "d3")), str(("c", 1, 7, 4, None, "d1"))]
