@@ -123,3 +123,18 @@ def test_suffix_array_against_sorting():
 
 def test_empty_table(spark):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("shard_pages", [2000, 2])
+def test_loose_blocks_of_pages_with_an_article_are_judged_by_repetition(spark, shard_pages):
+    """What stands outside a marked article is removed where it repeats on the host, and stays where it does not."""
+    menu = "welcome to the home of all the good things we sell"
+    rows = [(i, f"http://h.example/{i}", f"<div>{menu}</div><article><p>article {i}</p></article><div>a note of page {i}</div>") for i in range(6)]
+    # A teaser that repeats what other pages have inside their articles; the articles keep it.
+    shared = "one two three four five six seven eight nine"
+    rows += [(10 + i, f"http://g.example/{i}", f"<article><p>own {i}</p><p>{shared}</p></article>") for i in range(4)]
+    rows += [(20, "http://g.example/all", f"<div>{shared}</div><div>list of all</div>")]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), shard_pages=shard_pages).collect()
+    by_id = {r.page_id: r.text for r in got}
+    assert len(got) == len(rows) and all(by_id[i] == f"article {i}\na note of page {i}" for i in range(6))
+    assert all(by_id[10 + i] == f"own {i}\n{shared}" for i in range(4)) and by_id[20] == "list of all"
