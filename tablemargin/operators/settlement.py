@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tablemargin.functions.money import COMMISSION_RATE, commission
 from tablemargin.functions.times import local_date
 from tablemargin.operators.allocate import allocate
+from tablemargin.sources.tables import stage_to_join
 
 DAY_KEY = ["merchant_id", "report_date"]
 
@@ -78,9 +79,9 @@ def fact_with_settlement(
     `place` names a column of it that orders lines alike in number, SKU and margin, the last first, and is left out;
     without it such lines may swap their parts.
     """
-    days = reconciliation.select(
+    days = stage_to_join(reconciliation.select(
         *DAY_KEY, F.col("net_payout_amount").alias("_net"),
-        F.col("settlement_variance_amount").alias("_variance"), "variance_reason")
+        F.col("settlement_variance_amount").alias("_variance"), "variance_reason"), "settled-days")
     dated = fact.withColumn("report_date", _day_of(day, tz)).join(days, DAY_KEY, "left")
     unit = ["order_id", "source_marketplace"]
     rest = [c for c in ("line_item_no", "line_item_sku", "true_net_payout_margin") if c in fact.columns]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tablemargin.functions.money import COMMISSION_RATE, commission
 from tablemargin.operators.allocate import allocate
+from tablemargin.sources.tables import stage
 
 ITEM_KEY = ["merchant_id", "line_item_sku"]
 
@@ -71,14 +72,15 @@ def fact_financial_sales(
 
 def allocated_fact(
     silver: DataFrame, cogs: DataFrame, rate: Decimal | str = COMMISSION_RATE, keep: tuple[str, ...] = (),
-    place: str | None = None,
+    place: str | None = None, staged: bool = False,
 ) -> DataFrame:
     """The fact with the order total and its commission split over the lines, and the units sold.
 
     The weight is quantity * unit price; costs are charged per unit sold.  Sums over the lines of
     an order give its total, its commission and its margin exactly.  `keep` names further line
     columns to carry along; nothing else is read.  `place` names a further column for the line's
-    number in its order, by which lines that are alike but for the last cent are told apart.
+    number in its order, by which lines that are alike but for the last cent are told apart.  With `staged` the split
+    lines are written once before the costs are joined, so that less of the disk is taken at a time.
     """
     key = ["merchant_id", "order_id", "source_marketplace"]
     narrow = silver.select(
@@ -87,6 +89,8 @@ def allocated_fact(
         commission("total_amount", rate).alias("_order_fee"))
     split = allocate(narrow, {"_gross": "total_amount", "_fee": "_order_fee"}, "_value", key,
                      ["line_item_no", "line_item_sku", "_value"], page="line_item_no", place=place)
+    if staged:
+        split = stage(split.drop("total_amount", "_order_fee", "_value"), "split-lines")
     costed = join_cogs(split, cogs)
     qty = F.col("line_item_qty").cast("bigint")
     recipe, packaging = qty * F.col("recipe_cost"), qty * F.col("packaging_cost")

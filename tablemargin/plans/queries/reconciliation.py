@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablemargin.operators import serving, settlement, star
 from tablemargin.plans.registry import query
 from tablemargin.plans.shared_tables import sql_pct
+from tablemargin.session import delete_scratch, scratch_noted
 
 TENANT = "store_007"
 
@@ -21,8 +22,12 @@ def _settled(t, merchant_id=None):
         return df if merchant_id is None else serving.tenant(df, merchant_id=merchant_id)
 
     recon = settlement.settlement_reconciliation(fenced(t.headers()), fenced(t.reports()))
-    fact = star.allocated_fact(fenced(t.lines()), fenced(t.cogs()), place="_place")
-    return settlement.fact_with_settlement(fact, recon, place="_place")
+    with scratch_noted() as used:
+        fact = star.allocated_fact(fenced(t.lines()), fenced(t.cogs()), place="_place", staged=True)
+    settled = settlement.fact_with_settlement(fact, recon, place="_place")
+    # The settled fact reads what it staged itself.
+    delete_scratch(t.spark, used)
+    return settled
 
 
 @query("SELECT * FROM recon", ("recon",))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablemargin.operators import flatten, serving, settlement, star
 from tablemargin.plans.registry import query
 from tablemargin.plans.shared_tables import SALT, sql_pct
+from tablemargin.session import delete_scratch, scratch_noted
 from tablemargin.sources.tables import stage
 
 TENANT = "store_007"
@@ -114,7 +115,13 @@ def menu_engineering_top_k(t):
           FROM docsettled GROUP BY 1""", ("docsettled",))
 def documents_to_leakage(t):
     """End to end: landed documents to lines, allocated sales, settled payout and profit per marketplace."""
-    lines = stage(flatten.silver_orders(t.bronze_orders(), SALT), "lines")
+    with scratch_noted() as used:
+        lines = stage(flatten.silver_orders(t.bronze_orders(), SALT), "lines")
+    delete_scratch(t.spark, used[:-1])
     recon = settlement.settlement_reconciliation(flatten.order_headers(lines), t.reports())
-    return serving.profit_leakage(settlement.fact_with_settlement(
-        star.allocated_fact(lines, t.cogs(), place="_place"), recon, place="_place"))
+    with scratch_noted() as split:
+        fact = star.allocated_fact(lines, t.cogs(), place="_place", staged=True)
+    settled = settlement.fact_with_settlement(fact, recon, place="_place")
+    # The settled fact reads what it staged itself.
+    delete_scratch(t.spark, [*used[-1:], *split])
+    return serving.profit_leakage(settled)
