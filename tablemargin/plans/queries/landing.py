@@ -13,7 +13,7 @@ from tablemargin.operators.incremental import latest_run_wins
 from tablemargin.operators.reports import silver_reports
 from tablemargin.plans.registry import query
 from tablemargin.plans.shared_tables import FIRST_RUN, SALT, SECOND_RUN, landing_date
-from tablemargin.session import scratch_path
+from tablemargin.session import scratch_path, scratch_scope
 from tablemargin.sources import bronze as bronze_source
 from tablemargin.sources.bronze import incomplete_pages, read_bronze, validate_landing, write_bronze, write_report_pair
 from tablemargin.sources.cogs import cogs_in_minor_units, read_cogs_seed
@@ -81,7 +81,8 @@ def parse_bronze_filename(t):
 def landing_round_trip(t):
     """Documents written to the landing zone, read back and conformed."""
     root = scratch_path(t.spark, "landing")
-    write_bronze(t.order_documents(), root)
+    with scratch_scope(t.spark):
+        write_bronze(t.order_documents(), root)
     landed = read_bronze(t.spark, root, "orders")
     orders = latest_run_wins(flatten_orders(landed), ORDER_KEY, "run_timestamp_utc")
     return flatten_items(orders).select(

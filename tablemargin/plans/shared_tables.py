@@ -149,12 +149,8 @@ class SharedTables:
             zone_of(F.col("c_custkey")).alias("store_tz"))
 
     @_once
-    def order_documents(self) -> DataFrame:
-        """Landed order documents: landing columns and the JSON payload.
-
-        An order is one document, as a marketplace sends it, with all its lines and its total.  Orders
-        whose key is a multiple of 3 landed twice, first with a total that is 100 too high.
-        """
+    def orders_with_lines(self) -> DataFrame:
+        """The orders with what their documents' items are made of, computed once for all frames that are made of them."""
         part = self.table("part").select(
             F.col("p_partkey").alias("l_partkey"), "p_name", cents(F.col("p_retailprice")).alias("price"))
         lines = self.table("lineitem").select(
@@ -162,11 +158,21 @@ class SharedTables:
         # What the items are made of is grouped, not the items: they are some three times as long.
         found = F.struct("l_partkey", "l_linenumber", "l_quantity", "p_name", "price")
         nested = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(found)).alias("found"))
+        orders = self.table("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+        return stage(orders.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey"), "orders-with-lines")
+
+    @_once
+    def order_documents(self) -> DataFrame:
+        """Landed order documents: landing columns and the JSON payload.
+
+        An order is one document, as a marketplace sends it, with all its lines and its total.  Orders
+        whose key is a multiple of 3 landed twice, first with a total that is 100 too high.
+        """
         items = F.transform("found", lambda s: F.struct(
             F.concat(F.lit("SKU_"), _text(s["l_partkey"])).alias("sku"), s["p_name"].alias("name"), s["l_quantity"].alias("qty"),
             F.struct(s["price"].alias("amount"), F.lit("USD").alias("currency")).alias("unit_price")))
         # The orders' columns are made after the join, as their hashes would be most of what is shuffled.
-        orders = self._headers_of(self.table("orders").join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left"), "found")
+        orders = self._headers_of(self.orders_with_lines(), "found")
         twice = F.array(F.struct(_ntz(FIRST_RUN).alias("run"), F.lit(100).alias("extra")),
                         F.struct(_ntz(SECOND_RUN).alias("run"), F.lit(0).alias("extra")))
         once = F.array(F.struct(_ntz(FIRST_RUN).alias("run"), F.lit(0).alias("extra")))

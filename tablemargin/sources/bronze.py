@@ -8,7 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tablemargin.functions.naming import ENDPOINTS, MERCHANT_ID_PATTERN, RUN_TIME_FORMAT, parse_bronze_filename
 from tablemargin.schemas import ENDPOINT_SCHEMAS
+from tablemargin.session import shuffles_deleted
 
+# Parts that landing rows are written in, one after the other: only one part's payloads are in shuffle files at a time.
+PARTS = 4
 # One directory per merchant, day and run fences the tenants; with very many small merchants,
 # `DAILY` keeps the number of directories independent of theirs.
 FENCED = ["endpoint", "merchant_id", "year", "month", "day", "run_ts"]
@@ -46,7 +49,9 @@ def write_bronze(payloads: DataFrame, root: str, partitions: list[str] = FENCED)
     It may be a VARIANT too, with `_corrupt_record` beside it (`variant.write_variant`).
     A later run of the same day adds files and never replaces any.  The rebalance brings small
     directories together and splits the ones that are too large for one task; rows are sorted by
-    merchant within a file, so that one tenant's can be skipped to.
+    merchant within a file, so that one tenant's can be skipped to.  A directory is in one part of
+    `PARTS`; `payloads` is read once for each, so stage it first if it is costly to compute.  Files
+    are compressed as the session says.
     """
     day = F.col("target_date")
     laid_out = payloads.select(
@@ -55,9 +60,12 @@ def write_bronze(payloads: DataFrame, root: str, partitions: list[str] = FENCED)
         F.date_format("run_timestamp_utc", RUN_TIME_FORMAT).alias("run_ts"),
         "payload", *[c for c in (CORRUPT,) if c in payloads.columns],
     )
-    spread = laid_out.hint("rebalance", *[F.col(c) for c in partitions])
-    (spread.sortWithinPartitions(*partitions, *[c for c in ("merchant_id", "run_ts") if c not in partitions])
-        .write.mode("append").partitionBy(*partitions).option("compression", "snappy").parquet(root))
+    part = F.pmod(F.xxhash64(*partitions), F.lit(PARTS))
+    with shuffles_deleted(payloads.sparkSession):
+        for k in range(PARTS):
+            spread = laid_out.where(part == k).hint("rebalance", *[F.col(c) for c in partitions])
+            (spread.sortWithinPartitions(*partitions, *[c for c in ("merchant_id", "run_ts") if c not in partitions])
+                .write.mode("append").partitionBy(*partitions).parquet(root))
 
 
 def write_report_pair(jobs: DataFrame, root: str) -> None:
