@@ -5,7 +5,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tablemargin.operators import star
+from tablemargin.operators import incremental, merge, star
 from tablemargin.sources import bronze, tables
 from tablemargin.sources.tables import stage
 
@@ -62,3 +62,31 @@ def test_landing_rows_are_written_in_parts_of_whole_directories(spark, tmp_path)
     jobs = read.select("merchant_id", "day", F.regexp_extract("_metadata.file_name", "part-[0-9]+-([0-9a-f-]{36})", 1).alias("job")).distinct()
     assert jobs.count() == 21 and jobs.select("job").distinct().count() > 1
     assert sorted(r.payload for r in read.collect()) == sorted(r.payload for r in rows.collect())
+
+
+def test_large_merges_go_in_parts_of_whole_partitions(spark, tmp_path, monkeypatch):
+    """The rows are those of a merge in one part; a NULL partition and a key that moves are among them."""
+    schema = "k int, v string, p string"
+    held = spark.createDataFrame([(i, "old", f"p{i % 5}" if i % 7 else None) for i in range(60)], schema)
+    new = spark.createDataFrame([(i, "new", f"p{i % 4}" if i % 9 else None) for i in range(0, 90, 2)], schema)
+    found = []
+    for name, size in (("parts", 1), ("one", 1 << 40)):
+        staged, path = [], str(tmp_path / name)
+        monkeypatch.setattr(merge, "PART_BYTES", size)
+        monkeypatch.setattr(merge, "stage", lambda df, name, *rest: staged.append(name) or stage(df, name, *rest))
+        for rows in (held, new):
+            merge.merge_replace(path, rows, ["k"], ["p"])
+        found.append(sorted(spark.read.schema(schema).parquet(path).collect(), key=str))
+        assert staged.count("merge-out") == (merge.MOST_PARTS if size == 1 else 1)
+    assert found[0] == found[1] and len(found[0]) == 75
+
+
+def test_superseded_runs_are_told_by_keys(spark):
+    """NULL keys and NULL runs count as they do in `latest_run_wins`."""
+    rows = [("a", "x", 1), ("a", "x", 2), ("a", "x", 2), ("a", None, 1), ("a", None, 2), ("b", "x", None), ("b", "x", 3), ("c", "x", None),
+            ("d", "x", 5), ("d", "x", 5)]
+    df = spark.createDataFrame(rows, "k string, l string, run int")
+    older = tables.stage_to_join(incremental.superseded_keys(df, ["k", "l"], "run"), "older")
+    got = incremental.without_superseded(df, older, ["k", "l"], "run")
+    assert sorted(got.collect(), key=str) == sorted(incremental.latest_run_wins(df, ["k", "l"], "run").collect(), key=str)
+    assert older.count() == 2 and "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
