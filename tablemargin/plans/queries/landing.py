@@ -82,6 +82,7 @@ def landing_round_trip(t):
     """Documents written to the landing zone, read back and conformed."""
     root = scratch_path(t.spark, "landing")
     with scratch_scope(t.spark):
+        t.keep_orders_with_lines()
         write_bronze(t.order_documents(), root)
     landed = read_bronze(t.spark, root, "orders")
     orders = latest_run_wins(flatten_orders(landed), ORDER_KEY, "run_timestamp_utc")
@@ -98,6 +99,7 @@ def landing_round_trip(t):
           FROM jobs""", ("jobs",))
 def report_pair_round_trip(t):
     """Requests and results landed together, read back and joined; a pending job's result holds no figures yet."""
+    t.keep_report_jobs()
     root = scratch_path(t.spark, "report-pairs")
     iso = lambda c: F.concat(F.replace(c.cast("string"), F.lit(" "), F.lit("T")), F.lit("Z"))
     money = lambda c: F.struct(F.col(c).alias("amount"), F.col("currency"))

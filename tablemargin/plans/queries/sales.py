@@ -116,6 +116,7 @@ def menu_engineering_top_k(t):
 def documents_to_leakage(t):
     """End to end: landed documents to lines, allocated sales, settled payout and profit per marketplace."""
     with scratch_noted() as used:
+        t.keep_orders_with_lines()
         lines = stage(flatten.silver_orders(t.bronze_orders(), SALT), "lines")
     delete_scratch(t.spark, used[:-1])
     recon = settlement.settlement_reconciliation(flatten.order_headers(lines), t.reports())
